@@ -581,8 +581,8 @@ LEFT JOIN binned b USING ({curve}, bin)""",
 SELECT {curve}, stddev_samp(x) * pow(count(*), -0.2) AS h FROM raw_times GROUP BY {curve}
 HAVING count(*) > 1 AND stddev_samp(x) > 0""",
         "kde": f"""
-SELECT {curve}, point, at AS x, sum(exp(-pow((at - r.x) / h, 2) / 2)) / (any_value(total) * any_value(h) * sqrt(2 * pi())) AS density
-FROM (SELECT *, grid_lo + (grid_hi - grid_lo) * point / 199 AS at FROM
+SELECT {curve}, point, gx AS x, sum(exp(-pow((gx - r.x) / h, 2) / 2)) / (any_value(total) * any_value(h) * sqrt(2 * pi())) AS density
+FROM (SELECT *, grid_lo + (grid_hi - grid_lo) * point / 199 AS gx FROM
         (SELECT *, unnest(range(200))::int AS point FROM spreads JOIN panels USING ({panel})) q) g
 JOIN raw_times r USING ({curve}) GROUP BY ALL""",
     }
