@@ -36,6 +36,10 @@ def _osa_udf(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="Int32")
 
 
+# Spark evaluates a deterministic UDF again for each filter on its result.
+_osa_once = _osa_udf.asNondeterministic()
+
+
 def _pairs_of_letters(text: Column, swapped: bool) -> Column:
     at = F.sequence(F.lit(1), F.greatest(F.length(text) - 1, F.lit(1)))
     if swapped:
@@ -57,5 +61,5 @@ def osa_distance(left: Column, right: Column, levenshtein: Column, swaps: Column
     Without a possible swap, or below distance 2, it equals Levenshtein and Python is skipped.
     """
     needed = (swaps > 0) & (levenshtein > 1)
-    exact = _osa_udf(F.when(needed, left), F.when(needed, right))
+    exact = _osa_once(F.when(needed, left), F.when(needed, right))
     return F.when(needed, exact).otherwise(levenshtein)

@@ -16,7 +16,7 @@ comparing all pairs.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from blotterlake.functions.distance import osa_distance, possible_swaps
 
@@ -55,89 +55,76 @@ def _reductions(text: Column, max_distance: int) -> Column:
     ) if max_distance else last
 
 
-def _key_blocks(keys: DataFrame, d: int, parts: int) -> DataFrame:
-    """(block, key) rows of the key texts."""
-    length = F.length("key")
-    index = F.col("i")
-    start = _segment_start(length, index, parts)
-    size = _segment_start(length, index + 1, parts) - start
-    cut = (
-        keys.where(length >= parts)
-        .withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-        .select(
-            F.concat_ws("|", length, index, F.substr("key", start + 1, size)).alias("block"), "key"
-        )
-    )
-    reduced = keys.where(length < parts).select(
-        F.explode(_reductions(F.col("key"), d)).alias("block"), "key"
-    )
-    return cut.unionByName(reduced.withColumn("block", F.concat(F.lit("~|"), "block")))
+def _reduction_blocks(text: Column, max_distance: int) -> Column:
+    return F.transform(_reductions(text, max_distance), lambda r: F.concat(F.lit("~|"), r))
+
+
+def _segment_block(length: Column, index: Column, segment: Column) -> Column:
+    return F.concat_ws("|", length, index, segment)
+
+
+def _key_blocks(key: Column, d: int, parts: int) -> Column:
+    """Blocks under which a key text is found."""
+    length = F.length(key)
+
+    def block(i: Column) -> Column:
+        start = _segment_start(length, i, parts)
+        size = _segment_start(length, i + 1, parts) - start
+        return _segment_block(length, i, F.substr(key, start + 1, size))
+
+    cut = F.transform(F.sequence(F.lit(0), F.lit(parts - 1)), block)
+    return F.when(length >= parts, cut).otherwise(_reduction_blocks(key, d))
+
+
+def _text_blocks(text: Column, d: int, parts: int) -> Column:
+    """Blocks under which a text looks for keys."""
+    edits, length = parts - 1, F.length(text)
+    nothing = F.array().cast("array<string>")
+
+    def segment_blocks(key_length: Column) -> Column:
+        longer_by = length - key_length
 
+        def shifted(i: Column) -> Column:
+            # The surviving segment i has exactly i edits before it, at most edits - i after it.
+            first = F.greatest(
+                -i, longer_by - (edits - i), F.ceil((longer_by - d) / 2).cast("int")
+            )
+            last = F.least(i, longer_by + (edits - i), F.floor((longer_by + d) / 2).cast("int"))
+            start = _segment_start(key_length, i, parts)
+            size = _segment_start(key_length, i + 1, parts) - start
+            first, last = F.greatest(first, -start), F.least(last, length - size - start)
+            places = F.when(first <= last, F.sequence(first, last))
+            block = lambda s: _segment_block(key_length, i, F.substr(text, start + s + 1, size))
+            return F.coalesce(F.transform(places, block), nothing)
+
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(parts - 1)), shifted))
 
-def _text_blocks(texts: DataFrame, d: int, parts: int) -> DataFrame:
-    """(block, text) rows under which a text looks for keys."""
-    edits = parts - 1
-    length, key_length, index = F.length("text"), F.col("key_length"), F.col("i")
-    longer_by = length - key_length
     lengths = F.sequence(F.greatest(length - d, F.lit(parts)), length + d)
-    # The surviving segment i has exactly i edits before it and at most edits - i after it.
-    first = F.greatest(
-        -index, longer_by - (edits - index), F.ceil((longer_by - d) / 2).cast("int")
-    )
-    last = F.least(
-        index, longer_by + (edits - index), F.floor((longer_by + d) / 2).cast("int")
-    )
-    start = _segment_start(key_length, index, parts)
-    size = _segment_start(key_length, index + 1, parts) - start
-    probes = (
-        texts.where(length + d >= parts)
-        .withColumn("key_length", F.explode(lengths))
-        .withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-        .withColumns({"start": start, "size": size, "first": first, "last": last})
-        .where("first <= last")
-        .withColumn("shift", F.explode(F.sequence("first", "last")))
-        .where((F.col("start") + F.col("shift") >= 0)
-               & (F.col("start") + F.col("shift") + F.col("size") <= length))
-        .select(
-            F.concat_ws(
-                "|", "key_length", "i",
-                F.substr("text", F.col("start") + F.col("shift") + 1, F.col("size")),
-            ).alias("block"),
-            "text",
-        )
-    )
-    reduced = texts.where(length < parts + d).select(
-        F.explode(_reductions(F.col("text"), d)).alias("block"), "text"
-    )
-    return probes.unionByName(reduced.withColumn("block", F.concat(F.lit("~|"), "block")))
+    cut = F.when(length + d >= parts, F.flatten(F.transform(lengths, segment_blocks)))
+    short = F.when(length < parts + d, _reduction_blocks(text, d))
+    return F.concat(F.coalesce(cut, nothing), F.coalesce(short, nothing))
 
 
-def fuzzy_candidates(
-    texts: DataFrame, keys: DataFrame, *, max_distance: int = 4, metric: str = "osa"
-) -> DataFrame:
-    """(text, key, distance) for every pair within the distance; a pair may come repeatedly.
+def near_pairs(texts: DataFrame, keys: DataFrame, *, max_distance: int, metric: str) -> DataFrame:
+    """(text, key, edits): every pair within ``max_distance``, and for ``osa`` also those that
+    swaps could bring there.  ``edits`` is the Levenshtein distance.  A pair may come repeatedly.
 
     Both inputs have one column and distinct non-null values.
     """
     parts = _parts(max_distance, metric)
-    texts, keys = texts.toDF("text"), keys.toDF("key")
-    pairs = _text_blocks(texts, max_distance, parts).join(
-        _key_blocks(keys, max_distance, parts), "block"
+    spark = texts.sparkSession
+    tasks = max(
+        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    )
+    # A text makes a few hundred probes, so the few bytes of input must not end in one task.
+    probes = texts.toDF("text").repartition(tasks, "text").select(
+        "text", F.explode(_text_blocks(F.col("text"), max_distance, parts)).alias("block")
     )
-    text, key, edits = F.col("text"), F.col("key"), F.col("edits")
-    pairs = pairs.select(
-        "text", "key", F.levenshtein(text, key, parts - 1).alias("edits")
-    ).where("edits >= 0")
-    if metric == "levenshtein":
-        return pairs.withColumnRenamed("edits", "distance")
-    swaps = F.col("swaps")
-    return (
-        pairs.withColumn("swaps", F.when(edits > 1, possible_swaps(text, key)).otherwise(0))
-        .where(edits - swaps <= max_distance)
-        .withColumn("distance", osa_distance(text, key, edits, swaps))
-        .where(F.col("distance") <= max_distance)
-        .select("text", "key", "distance")
+    index = keys.toDF("key").select(
+        "key", F.explode(_key_blocks(F.col("key"), max_distance, parts)).alias("block")
     )
+    edits = F.levenshtein("text", "key", parts - 1)
+    return probes.join(index, "block").select("text", "key", edits.alias("edits")).where("edits >= 0")
 
 
 def fuzzy_match(
@@ -147,6 +134,21 @@ def fuzzy_match(
 
     Among keys at the least distance the alphabetically first is taken.
     """
-    found = fuzzy_candidates(texts, keys, max_distance=max_distance, metric=metric)
-    best = F.min(F.struct("distance", "key")).alias("best")
-    return found.groupBy("text").agg(best).select("text", "best.key", "best.distance")
+    pairs = near_pairs(texts, keys, max_distance=max_distance, metric=metric)
+    if metric == "osa":
+        # A swap saves one edit, so a pair can only win when half its edits are no more than the
+        # best Levenshtein distance of its text: few pairs need their swaps looked at.
+        text, key, edits, reach = F.col("text"), F.col("key"), F.col("edits"), F.col("reach")
+        best = F.min("edits").over(Window.partitionBy("text"))
+        pairs = (
+            pairs.withColumn("reach", F.least(best, F.lit(max_distance)))
+            .where(edits <= reach * 2)
+            .withColumn("swaps", F.when(edits > 1, possible_swaps(text, key)).otherwise(0))
+            .where(edits - F.col("swaps") <= reach)
+            .withColumn("edits", osa_distance(text, key, edits, F.col("swaps")))
+            .where(edits <= max_distance)
+        )
+    nearest = F.min(F.struct("edits", "key")).alias("best")
+    return pairs.groupBy("text").agg(nearest).select(
+        "text", "best.key", F.col("best.edits").alias("distance")
+    )
