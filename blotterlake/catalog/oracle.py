@@ -514,6 +514,10 @@ oracle(
     "total_count",
     "SELECT count(*) AS n_records FROM flagged WHERE lead_charge_police_related IS NOT NULL", "flagged",
 )
+oracle(
+    "null_key_count",
+    "SELECT count(*) AS n_dropped FROM flagged WHERE lead_charge_police_related IS NULL", "flagged",
+)
 oracle(
     "year_span",
     "SELECT min(year(o_orderdate))::int AS min_year, max(year(o_orderdate))::int AS max_year FROM orders",

@@ -65,7 +65,8 @@ def to_rules(spark: SparkSession, sf: str) -> DataFrame:
     """Cascade without the classifiers."""
     crosswalk = charge_crosswalk(spark, sf)
     values = cascade.crosswalk_values(crosswalk)
-    matched = cascade.direct_stage(descriptions(spark, sf), values)
+    stored = materialize(descriptions(spark, sf), "descriptions")
+    matched = cascade.direct_stage(stored, values)
     matched = cascade.fuzzy_stage(matched, values, PLAIN)
     return cascade.rule_stage(matched, cascade.macro_values(crosswalk), PLAIN)
 
@@ -496,8 +497,7 @@ def zscore(spark, sf):
 
 @query
 def radar_series(spark, sf):
-    classified = flagged(spark, sf)
-    series = hourly.radar_series(classified)
+    series = hourly.radar_series(hourly.store_groups(flagged(spark, sf)))
     return series.select(
         "chart", *hourly.COUNT_KEYS, "arrest_id_count", "lead_charge_code_type",
         F.round("arrest_id_count_zscore", 6).alias("arrest_id_count_zscore"),
@@ -507,9 +507,14 @@ def radar_series(spark, sf):
 
 @query
 def pct_of_total(spark, sf):
-    led = flagged(spark, sf)
-    total = hourly.total_count(hourly.hourly_counts(led)).scalar()
-    return hourly.percent_of_total(hourly.radar_series(led), total)
+    groups = hourly.store_groups(flagged(spark, sf))
+    total = hourly.total_count(groups.dropna()).scalar()
+    return hourly.percent_of_total(hourly.radar_series(groups), total)
+
+
+@query
+def null_key_count(spark, sf):
+    return hourly.null_key_count(hourly.store_groups(flagged(spark, sf)))
 
 
 @query
@@ -521,29 +526,33 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 6) for c in columns})
 
 
+def unit_times(spark: SparkSession, sf: str) -> DataFrame:
+    return materialize(density.unit_time_counts(flagged(spark, sf)), "unit-times")
+
+
 @query
 def unit_time_hist(spark, sf):
-    counts = density.panels_by_unit(density.unit_time_counts(flagged(spark, sf)))
+    counts = density.panels_by_unit(unit_times(spark, sf))
     bins = density.unit_histogram(counts, *density.BY_UNIT)
     return _rounded(bins, "bin_start", "bin_width", "density")
 
 
 @query
 def unit_time_kde(spark, sf):
-    counts = density.panels_by_unit(density.unit_time_counts(flagged(spark, sf)))
+    counts = density.panels_by_unit(unit_times(spark, sf))
     return _rounded(density.unit_kde(counts, *density.BY_UNIT), "x", "density")
 
 
 @query
 def unit_time_hist_by_flag(spark, sf):
-    counts = density.panels_by_flag(density.unit_time_counts(flagged(spark, sf)))
+    counts = density.panels_by_flag(unit_times(spark, sf))
     bins = density.unit_histogram(counts, *density.BY_FLAG_AND_UNIT)
     return _rounded(bins, "bin_start", "bin_width", "density")
 
 
 @query
 def unit_time_kde_by_flag(spark, sf):
-    counts = density.panels_by_flag(density.unit_time_counts(flagged(spark, sf)))
+    counts = density.panels_by_flag(unit_times(spark, sf))
     return _rounded(density.unit_kde(counts, *density.BY_FLAG_AND_UNIT), "x", "density")
 
 

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from blotterlake.operators.hourly import with_charge_type
+from blotterlake.session import materialize
 
 TYPE, FLAG, UNIT = "lead_charge_code_type", "lead_charge_police_related", "unit"
 BY_UNIT = ((TYPE,), (TYPE, UNIT))
@@ -135,8 +136,11 @@ def unit_kde(
 def unit_stats(
     df: DataFrame, *, bin_width: float | None = None
 ) -> DataFrame:
-    """Both charts of every charge type, curves and bins, as one long table."""
-    counts = unit_time_counts(df)
+    """Both charts of every charge type, curves and bins, as one long table.
+
+    Runs one job, which groups the fact table and stores the counts that all charts read.
+    """
+    counts = materialize(unit_time_counts(df), "unit-times")
     views = {
         "by_unit": (panels_by_unit(counts), *BY_UNIT),
         "by_flag_and_unit": (panels_by_flag(counts), *BY_FLAG_AND_UNIT),

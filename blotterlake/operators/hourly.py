@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from blotterlake.config import CHARGE_TYPES, Settings
 from blotterlake.functions.severity import charge_type, severity_code
+from blotterlake.session import materialize
 
 COUNT_KEYS = (
     "lead_charge_police_related", "lead_charge_code",
@@ -75,6 +76,12 @@ def hourly_counts(
     return count_groups(df, id_col=id_col)
 
 
+def null_key_count(groups: DataFrame, n_col: str = "arrest_id_count") -> DataFrame:
+    """Arrests that ``hourly_counts`` leaves out because a key is null."""
+    missing = F.greatest(*[F.col(c).isNull() for c in COUNT_KEYS])
+    return groups.agg(F.coalesce(F.sum(F.when(missing, F.col(n_col))), F.lit(0)).alias("n_dropped"))
+
+
 def total_count(hourly: DataFrame, n_col: str = "arrest_id_count") -> DataFrame:
     return hourly.agg(F.sum(n_col).alias("n_records"))
 
@@ -109,12 +116,17 @@ def remove_outliers(df: DataFrame, limit: float | None = 3.0, *, zscore_col: str
     return df if limit is None else df.where(F.abs(F.col(zscore_col)) <= limit)
 
 
-def radar_series(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def store_groups(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """``count_groups``, run once and stored: all a chart needs of the fact table."""
+    return materialize(count_groups(df, id_col=settings.id_col), "hourly")
+
+
+def radar_series(groups: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Rows of the five charts: all arrests, and each charge type without outliers.
 
-    The fact table is grouped once; the hours that occur are read off that same result.
+    ``groups`` comes from ``store_groups``; it is read several times.  Its null keys are left out
+    of the charts, but their hours count towards the number of angles.
     """
-    groups = count_groups(df, id_col=settings.id_col)
     if settings.n_hours is None:
         n_hours = count_distinct_hours(groups).scalar()
     else:
