@@ -38,6 +38,7 @@ class Settings:
     redact: tuple[str, ...] = REDACT_COLUMNS
     drop: tuple[str, ...] = DROP_COLUMNS
     timestamp_columns: tuple[str, ...] = ("received_in_lockup", "released_from_lockup")
+    profile_types: bool = False  # narrow the types of a source without a schema; runs a job
     rules: tuple[tuple[str, str, str], ...] = MANUAL_RULES
     max_edit_distance: int = 4
     edit_metric: str = "osa"

@@ -25,6 +25,7 @@ from blotterlake.functions.keys import holdout_bucket
 from blotterlake.functions.text import tokens
 from blotterlake.session import materialize
 
+FEW_LABELS = 64
 SCORE_DIGITS = 9  # scores equal to this many digits tie, and the first label wins
 
 
@@ -137,28 +138,41 @@ def _rank(score: Column, label: Column) -> Column:
     return F.struct((-F.round(score, SCORE_DIGITS)).alias("cost"), label.alias("label"))
 
 
-def predict(
-    model: NaiveBayesModel, df: DataFrame, key: str, text_col: str, *, output_col: str = "prediction"
-) -> DataFrame:
-    """(key, prediction, score) for every row; ``key`` must be unique.
+def _hits(model_words: DataFrame, df: DataFrame, key: str, text_col: str) -> DataFrame:
+    """One row per word of each text with the word's model row; a text without words has one."""
+    words = df.select(key, F.explode_outer(tokens(F.col(text_col))).alias("word"))
+    return words.join(model_words, "word", "left")
 
-    Words outside the vocabulary are ignored.  A text with no known word, and a tie, go to the
-    first label in sorted order.
-    """
-    first_label = model.labels.agg(F.min("label")).scalar()
+
+def _best_of_few(model: NaiveBayesModel, labels: list, df: DataFrame, key: str, text_col: str):
+    """With few labels: one lift column per label, so one aggregate per text does it all."""
+    lift_of = F.map_from_arrays(F.col("lifts.label"), F.col("lifts.lift"))
+    columns = {f"l{i}": F.coalesce(lift_of[row.label], F.lit(0.0)) for i, row in enumerate(labels)}
+    wide = model.words.select("word", "base", *[c.alias(n) for n, c in columns.items()])
+    sums = _hits(wide, df, key, text_col).groupBy(key).agg(
+        F.sum("base").alias("base"), F.count("base").alias("n_words"),
+        *[F.sum(n).alias(n) for n in columns],
+    )
+    ranks = [
+        _rank(F.col("base") + F.col("n_words") * F.lit(row.log_d) + F.col(f"l{i}"), F.lit(row.label))
+        for i, row in enumerate(labels)
+    ]
+    return sums.select(key, "n_words", F.array_min(F.array(*ranks)).alias("best"))
+
+
+def _best_of_many(model: NaiveBayesModel, df: DataFrame, key: str, text_col: str) -> DataFrame:
+    """With any number of labels: one row per label seen with a word of the text."""
     widest = F.min_by("label", F.struct(-F.col("log_d"), F.col("label")))
     default_label = model.labels.agg(widest).scalar()
     default_log_d = model.labels.agg(F.max("log_d")).scalar()
-
-    # One row per (text, label seen with one of its words), plus one with a null label that
-    # carries the text's totals.  All words of a text are in one partition, so the first
-    # aggregate shrinks them before anything is shuffled.
-    words = df.select(key, F.explode_outer(tokens(F.col(text_col))).alias("word"))
-    hits = words.join(model.words, "word", "left")
+    # A null entry per word carries the text's totals.  All words of a text are in one partition,
+    # so the first aggregate shrinks them before anything is shuffled.
     lifts_type = model.words.schema["lifts"].dataType
     total_row = F.array(F.lit(None).cast(lifts_type.elementType))
     lifts = F.coalesce("lifts", F.array().cast(lifts_type))
-    spread = hits.select(key, "base", F.explode(F.concat(total_row, lifts)).alias("l"))
+    spread = _hits(model.words, df, key, text_col).select(
+        key, "base", F.explode(F.concat(total_row, lifts)).alias("l")
+    )
     per_label = spread.groupBy(key, F.col("l.label").alias("label")).agg(
         F.sum("l.lift").alias("lift"),
         F.max("l.log_d").alias("log_d"),
@@ -174,10 +188,33 @@ def predict(
     score = lambda log_d, lift: F.col("base") + F.col("n_words") * log_d + lift
     candidates = F.transform("seen", lambda s: _rank(score(s["log_d"], s["lift"]), s["label"]))
     default = F.array(_rank(score(default_log_d, F.lit(0.0)), default_label))
-    best = F.array_min(F.concat(candidates, default))
+    return per_text.select(key, "n_words", F.array_min(F.concat(candidates, default)).alias("best"))
+
+
+def predict(
+    model: NaiveBayesModel,
+    df: DataFrame,
+    key: str,
+    text_col: str,
+    *,
+    output_col: str = "prediction",
+    few_labels: int = FEW_LABELS,
+) -> DataFrame:
+    """(key, prediction, score) for every row; ``key`` must be unique.
+
+    Words outside the vocabulary are ignored.  A text with no known word, and a tie, go to the
+    first label in sorted order.  Reads up to ``few_labels`` labels of the model to choose the
+    cheaper of two equal ways.
+    """
+    labels = model.labels.orderBy("label").limit(few_labels + 1).collect()
+    if 0 < len(labels) <= few_labels:
+        best = _best_of_few(model, labels, df, key, text_col)
+    else:
+        best = _best_of_many(model, df, key, text_col)
+    first_label = model.labels.agg(F.min("label")).scalar()
     empty = F.col("n_words") == 0
-    return per_text.select(
+    return best.select(
         key,
-        F.when(empty, first_label).otherwise(best["label"]).alias(output_col),
-        F.when(empty, F.lit(0.0)).otherwise(-best["cost"]).alias("score"),
+        F.when(empty, first_label).otherwise(F.col("best.label")).alias(output_col),
+        F.when(empty, F.lit(0.0)).otherwise(-F.col("best.cost")).alias("score"),
     )

@@ -82,10 +82,8 @@ def unpivot_charges(
             for i in settings.slot_numbers
         ]
     )
-    filled = F.filter(slots, lambda s: s["description"].isNotNull())
-    return df.select(settings.id_col, *keep, F.explode(filled).alias("charge")).select(
-        settings.id_col, *keep, "charge.*"
-    )
+    long = df.select(settings.id_col, *keep, F.explode(slots).alias("charge"))
+    return long.select(settings.id_col, *keep, "charge.*").where("description is not null")
 
 
 def pivot_charges(

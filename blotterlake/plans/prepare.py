@@ -9,7 +9,9 @@ from blotterlake.functions.dates import rounded_minute_fraction, time_of_day
 from blotterlake.functions.keys import number_key
 from blotterlake.functions.severity import severity_code
 from blotterlake.operators.lookups import lookup_unit
-from blotterlake.operators.schema import drop_columns, force_types, normalize_columns, redact
+from blotterlake.operators.schema import (
+    drop_columns, force_types, normalize_columns, optimize_types, redact,
+)
 from blotterlake.sources.tables import read_or_build
 
 
@@ -63,16 +65,18 @@ def key_columns(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
 def prepare(df: DataFrame, unit_beats: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Raw to prepared in one pass: narrow steps and one lookup join, no job of its own.
 
-    Types beyond the forced ones come from the source schema; run ``optimize_types`` on a source
-    that has none.
+    Types beyond the forced ones come from the source schema; ``profile_types`` infers them for a
+    source that has none.
     """
     descriptions = [settings.description(i) for i in settings.slot_numbers]
     types = {"string": descriptions, "timestamp_ntz": list(settings.timestamp_columns)}
+    df = df.transform(normalize_columns).transform(redact, settings.redact)
+    if settings.profile_types:
+        df = optimize_types(df, special=types, exclude=[settings.id_col, *settings.drop])
+    else:
+        df = force_types(df, types)
     return (
-        df.transform(normalize_columns)
-        .transform(force_types, types)
-        .transform(redact, settings.redact)
-        .transform(drop_columns, settings.drop)
+        df.transform(drop_columns, settings.drop)
         .transform(add_date_parts, date_col=settings.date_col)
         .transform(add_severity_codes)
         .transform(key_columns, settings)

@@ -55,11 +55,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers (the same as ``spark-submit --py-files``)."""
-    if any(name.startswith("blotterlake-") for name in spark.sparkContext.listFiles):
+    archive_name = "blotterlake-src"
+    if any(archive_name in name for name in spark.sparkContext.listFiles):
         return
     package = Path(__file__).resolve().parent
     folder = tempfile.mkdtemp(prefix="blotterlake-")
     archive = shutil.make_archive(
-        f"{folder}/blotterlake-src", "zip", root_dir=package.parent, base_dir=package.name
+        f"{folder}/{archive_name}", "zip", root_dir=package.parent, base_dir=package.name
     )
     spark.sparkContext.addPyFile(archive)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructType, TimestampNTZType
 
 from blotterlake.config import DROP_COLUMNS, REDACT_COLUMNS, Settings
+from blotterlake.functions.keys import zero_fill
 
 
 def incident_schema(settings: Settings = Settings()) -> StructType:
@@ -63,7 +64,8 @@ def read_lookup(
 def read_unit_beats(spark: SparkSession, path: str) -> DataFrame:
     """Unit and beat crosswalk with zero-padded text keys."""
     return read_lookup(spark, path, "unit string, beat string").select(
-        F.lpad("unit", 3, "0").alias("unit"), F.lpad("beat", 4, "0").alias("beat"), "line_no"
+        zero_fill(F.col("unit"), 3).alias("unit"), zero_fill(F.col("beat"), 4).alias("beat"),
+        "line_no",
     )
 
 
