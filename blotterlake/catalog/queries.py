@@ -636,7 +636,7 @@ def _rounded_scores(said: DataFrame) -> DataFrame:
 @query
 def nb_predict(spark, sf):
     rows = with_text(descriptions(spark, sf).select("description"))
-    model = bayes.keep(fixture_micro_model(spark, sf))
+    model = fixture_micro_model(spark, sf)
     return _rounded_scores(bayes.predict(model, rows, "description", "text"))
 
 
@@ -658,7 +658,7 @@ def labelled_documents(spark, sf, label: str) -> DataFrame:
 
 def _judged_documents(spark, sf, label: str) -> DataFrame:
     docs = materialize(labelled_documents(spark, sf, label), "documents")
-    model = bayes.keep(bayes.fit(docs.where("is_train"), "text", label))
+    model = bayes.fit(docs.where("is_train"), "text", label)
     return docs.select("doc_id", "is_train", label).join(
         bayes.predict(model, docs, "doc_id", "text"), "doc_id"
     )

@@ -20,6 +20,8 @@ CATEGORY_RATIO = 0.1
 CATEGORY_MAX_DISTINCT = 20
 INTEGER_TYPES = (("tinyint", 8), ("smallint", 16), ("int", 32), ("bigint", 64))
 # ---- end of fixed values ------------------------------------------------------------------
+SKETCH_ERROR = 0.01  # relative deviation of an approximate distinct count
+NEAR_THRESHOLD = 5 * SKETCH_ERROR
 
 
 def normalize_columns(df: DataFrame) -> DataFrame:
@@ -121,11 +123,12 @@ def profile_columns(
     """One row per column: counts, range and the narrowest type that holds all its values.
 
     One aggregate pass.  Exact distinct counts make Spark expand each row once per text column;
-    ``exact_distinct=False`` counts those with HyperLogLog instead, which can misjudge only
-    columns whose distinct count is near the category thresholds.
+    ``exact_distinct=False`` counts those with HyperLogLog instead.
     """
     fields = [f for f in df.schema.fields if f.name not in set(exclude)]
-    count = F.count_distinct if exact_distinct else (lambda c: F.approx_count_distinct(c, 0.01))
+    count = F.count_distinct if exact_distinct else (
+        lambda c: F.approx_count_distinct(c, SKETCH_ERROR)
+    )
     aggregates, per_field = [F.count(F.lit(1)).alias("n_records")], []
     for i, field in enumerate(fields):
         is_text = isinstance(field.dataType, StringType)
@@ -164,23 +167,36 @@ def apply_profile(df: DataFrame, targets: Mapping[str, str]) -> DataFrame:
     return df.withColumns(out)
 
 
+def _near_a_threshold(row) -> bool:
+    """True where the error of an approximate distinct count could change the type."""
+    limits = (CATEGORY_MAX_DISTINCT, row.n_records * CATEGORY_RATIO)
+    return row.n_distinct is not None and any(
+        abs(row.n_distinct - limit) <= max(1, limit * NEAR_THRESHOLD) for limit in limits
+    )
+
+
 def optimize_types(
     df: DataFrame,
     *,
     special: Mapping[str, Iterable[str]] | None = None,
     exclude: Iterable[str] = (),
-    exact_distinct: bool = True,
 ) -> DataFrame:
     """Force the ``special`` types, then narrow every other column by its profile.
 
-    Runs the profile job; only its one row per column comes to the driver.
+    Runs the profile with approximate distinct counts, and again with exact ones for the text
+    columns whose count is too near a threshold to tell.  Only one row per column comes to the
+    driver.
     """
     special = special or {}
     forced = force_types(df, special)
     skip = {*exclude, *(c for cols in special.values() for c in cols)}
-    profile = profile_columns(forced, exclude=skip, exact_distinct=exact_distinct)
-    rows = profile.where("source_type <> target_type").select("column_name", "target_type")
-    return apply_profile(forced, {r.column_name: r.target_type for r in rows.collect()})
+    rows = profile_columns(forced, exclude=skip, exact_distinct=False).collect()
+    unsure = [r.column_name for r in rows if _near_a_threshold(r)]
+    if unsure:
+        checked = profile_columns(forced.select(*[F.col(f"`{c}`") for c in unsure])).collect()
+        rows = [r for r in rows if r.column_name not in unsure] + checked
+    changes = {r.column_name: r.target_type for r in rows if r.target_type != r.source_type}
+    return apply_profile(forced, changes)
 
 
 # ---- row ids ------------------------------------------------------------------------------

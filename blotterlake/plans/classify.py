@@ -115,8 +115,7 @@ def _train(known: DataFrame, label: str, settings: Settings, model_path: str | N
 
     def build(weights: str) -> bayes.NaiveBayesModel:
         rows = known.withColumn("__n", F.expr(weights)).where("__n > 0")
-        model = bayes.fit(rows, "text", label, weight_col="__n", alpha=settings.nb_alpha)
-        return bayes.keep(model)
+        return bayes.fit(rows, "text", label, weight_col="__n", alpha=settings.nb_alpha)
 
     if model_path is None:
         model = build(weight)

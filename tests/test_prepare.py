@@ -156,6 +156,15 @@ def test_approximate_profile_agrees_away_from_the_thresholds(spark):
     assert exact == rough and [r.target_type for r in exact] == ["string", "category"]
 
 
+def test_counts_near_a_threshold_are_made_exact(spark):
+    df = spark.range(1000).selectExpr(
+        "concat('v', id % 19) a", "concat('v', id % 20) b", "concat('v', id % 99) c", "concat('v', id % 100) d"
+    )
+    typed = schema.optimize_types(df)
+    changed = [c for c in df.columns if typed.first()[c] != df.first()[c]]
+    assert changed == ["a", "b", "c"]  # under 20 values, or under a tenth of the rows
+
+
 def test_surrogate_ids_are_contiguous_in_order(spark):
     df = spark.range(1000).selectExpr("id % 3 as hot", "1000 - id as k").repartition(7)
     rows = schema.surrogate_id(df, ["hot", "k"]).orderBy("arrest_id").collect()
