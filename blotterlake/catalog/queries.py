@@ -138,7 +138,7 @@ def sink_roundtrip_csv(spark, sf):
 
 @query
 def geo_points(spark, sf):
-    """One GeoJSON collection file per nation, written from the suppliers, then scanned."""
+    """GeoJSON collections of up to 1000 suppliers, one per file, written and then scanned."""
     path = scratch_path(spark, "points")
     s = table(spark, sf, "supplier")
     feature = F.struct(
@@ -149,9 +149,8 @@ def geo_points(spark, sf):
             F.array(F.col("s_acctbal") / 100, F.col("s_suppkey") / F.lit(8.0)).alias("coordinates")
         ).alias("geometry"),
     )
-    collections = s.groupBy("s_nationkey", F.pmod("s_suppkey", F.lit(64)).alias("part")).agg(
-        F.collect_list(feature).alias("features")
-    )
+    block = F.floor(F.col("s_suppkey") / 1000).alias("block")
+    collections = s.groupBy(block).agg(F.collect_list(feature).alias("features"))
     collections.write.option("maxRecordsPerFile", 1).json(path)
     points = tables.read_points(spark, path, "dist_label string, dist_num string")
     return points.select(

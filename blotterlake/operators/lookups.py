@@ -105,6 +105,31 @@ RESOLVED_COLUMNS = {
 }
 
 
+HOT_KEYS = 1000  # most frequent keys joined by broadcast; every other holds under 1/1000 of rows
+
+
+def join_spread(
+    df: DataFrame, lookup: DataFrame, key: str, frequency: Column, *, spread_by: str
+) -> DataFrame:
+    """Left join on a large lookup with unique keys, without a task per hot key.
+
+    The ``HOT_KEYS`` keys of highest ``frequency`` (a column of the lookup) are broadcast.  Rows
+    they resolve go through the shuffle join under many different keys that match nothing, so no
+    key of that join holds more than a sliver of the rows.
+    """
+    values = [c for c in lookup.columns if c != key]
+    hot = lookup.orderBy(frequency.desc(), key).limit(HOT_KEYS)
+    hot = hot.select(key, *[F.col(c).alias(f"__hot_{c}") for c in values], F.lit(True).alias("__hot"))
+    done = F.col("__hot").isNotNull()
+    filler = F.concat(F.lit("\0"), F.pmod(F.xxhash64(spread_by), F.lit(10_000)).cast("string"))
+    rows = df.join(F.broadcast(hot), key, "left").withColumn(
+        "__key", F.when(done | F.col(key).isNull(), filler).otherwise(F.col(key))
+    )
+    joined = rows.join(lookup.withColumnRenamed(key, "__key"), "__key", "left")
+    chosen = {c: F.when(done, F.col(f"__hot_{c}")).otherwise(F.col(c)) for c in values}
+    return joined.withColumns(chosen).drop("__key", "__hot", *[f"__hot_{c}" for c in values])
+
+
 def attach_resolved(df: DataFrame, resolved: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Add micro, macro and police columns for every charge slot from a description table.
 
@@ -114,7 +139,6 @@ def attach_resolved(df: DataFrame, resolved: DataFrame, settings: Settings = Set
     shuffles and one wide one, however many slots there are.
     """
     names = {c: f"charge_{{}}_{suffix}" for c, suffix in RESOLVED_COLUMNS.items()}
-    resolved = resolved.select("description", *RESOLVED_COLUMNS)
     if resolved.count() <= settings.broadcast_rows:
         for i in settings.slot_numbers:
             side = resolved.select(
@@ -123,7 +147,12 @@ def attach_resolved(df: DataFrame, resolved: DataFrame, settings: Settings = Set
             )
             df = df.join(F.broadcast(side), settings.description(i), "left")
         return df
-    long = unpivot_charges(df, settings).join(resolved, "description")
+    counts = [F.col(c) for c in resolved.columns if c.startswith("n_slot_")]
+    lookup = resolved.select("description", *RESOLVED_COLUMNS, sum(counts, F.lit(0)).alias("__n"))
+    long = join_spread(
+        unpivot_charges(df, settings), lookup, "description", F.col("__n"),
+        spread_by=settings.id_col,
+    )
     for column, suffix in RESOLVED_COLUMNS.items():
         long = long.withColumnRenamed(column, suffix)
     folded = pivot_charges(long, list(RESOLVED_COLUMNS.values()), settings)

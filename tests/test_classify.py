@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from blotterlake.config import Settings
 from blotterlake.functions.stem import stem_word
 from blotterlake.functions.text import clean_text
-from blotterlake.operators import bayes
+from blotterlake.operators import bayes, lookups
 from blotterlake.operators.fuzzy import fuzzy_match
 from blotterlake.operators.lookups import attach_resolved, pivot_charges, unpivot_charges
 from blotterlake.operators.quality import (
@@ -261,6 +261,18 @@ def test_both_ways_to_write_back_agree(spark, small):
     assert all(empty[c] is None for c in columns if c != "arrest_id")
 
 
+def test_spread_join_equals_plain_join(spark, monkeypatch):
+    monkeypatch.setattr(lookups, "HOT_KEYS", 2)
+    keys = ["hot"] * 50 + ["warm"] * 5 + ["cold", "unknown", None]
+    df = spark.createDataFrame(list(enumerate(keys)), "id bigint, k string")
+    lookup = spark.createDataFrame(
+        [("hot", None, 50), ("warm", "w", 5), ("cold", "c", 1), ("unused", "u", 0)], "k string, v string, n int"
+    )
+    spread = lookups.join_spread(df, lookup, "k", F.col("n"), spread_by="id").select("id", "k", "v")
+    plain = df.join(lookup, "k", "left").select("id", "k", "v")
+    assert sorted(map(str, spread.collect())) == sorted(map(str, plain.collect()))
+
+
 def test_coverage_counts_every_slot_once(small):
     report = coverage_report(small[2].resolved, SMALL).collect()
     for target in ("micro", "police"):
