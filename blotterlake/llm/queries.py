@@ -39,3 +39,18 @@ def token_records(spark, sf_dir):
     path = scratch_path(spark, "token-records")
     index = token_records(table(spark, sf_dir, "documents"), path, default_tokenizer())
     return index.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+@query("op7_mixing")
+def mixing(spark, sf_dir):
+    from blotterlake.llm.mixing import taken
+
+    mixed = taken(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
+@query("op8_fingerprints")
+def fingerprints(spark, sf_dir):
+    from blotterlake.llm.syncmers import fingerprints
+
+    return fingerprints(table(spark, sf_dir, "documents"))
