@@ -54,3 +54,10 @@ def fingerprints(spark, sf_dir):
     from blotterlake.llm.syncmers import fingerprints
 
     return fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query("op5_simhash")
+def simhash(spark, sf_dir):
+    from blotterlake.llm.simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
