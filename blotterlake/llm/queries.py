@@ -61,3 +61,11 @@ def simhash(spark, sf_dir):
     from blotterlake.llm.simhash import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op6_language_id")
+def language_id(spark, sf_dir):
+    from blotterlake.llm.langid import fit, identify, training_rows
+
+    docs = table(spark, sf_dir, "documents")
+    return identify(docs, fit(training_rows(docs)))
