@@ -69,3 +69,10 @@ def language_id(spark, sf_dir):
 
     docs = table(spark, sf_dir, "documents")
     return identify(docs, fit(training_rows(docs)))
+
+
+@query("op4_lm_scores")
+def lm_scores(spark, sf_dir):
+    from blotterlake.llm.lm import score_documents
+
+    return score_documents(table(spark, sf_dir, "documents"))
