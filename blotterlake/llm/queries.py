@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from blotterlake.llm.common import prepare, scratch_path, table
+from blotterlake.llm.common import materialize, prepare, scratch_path, table
 from blotterlake.llm.tokens import default_tokenizer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,18 @@ def lm_scores(spark, sf_dir):
     from blotterlake.llm.lm import score_documents
 
     return score_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op10_nearest")
+def nearest(spark, sf_dir):
+    from blotterlake.llm.hnsw import nearest, query_rows, usable
+
+    rows = materialize(usable(table(spark, sf_dir, "embeddings")), "vectors")
+    return nearest(rows, query_rows(rows))
+
+
+@query("op2_url_filter")
+def url_filter(spark, sf_dir):
+    from blotterlake.llm.url_filter import judge
+
+    return judge(table(spark, sf_dir, "pages"))
