@@ -91,3 +91,10 @@ def url_filter(spark, sf_dir):
     from blotterlake.llm.url_filter import judge
 
     return judge(table(spark, sf_dir, "pages"))
+
+
+@query("op3_suffix_dedup")
+def suffix_dedup(spark, sf_dir):
+    from blotterlake.llm.suffix_dedup import repeat_report
+
+    return repeat_report(table(spark, sf_dir, "documents"))
