@@ -131,7 +131,7 @@ def mix_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: float
     flat = joined.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__mix_row"), "__mix_size", "__mix_hash", "__mix_plan.*"
     )
-    copies = F.round(_taken(F.col("__mix_size"), "__mix_hash") / F.col("__mix_size")).cast("int")
+    copies = F.round(F.try_divide(_taken(F.col("__mix_size"), "__mix_hash"), F.col("__mix_size"))).cast("int")
     repeated = flat.select(
         "__mix_row", F.explode(F.array_repeat(F.lit(0), F.coalesce(copies, F.lit(1)))).alias("__mix_copy")
     )
