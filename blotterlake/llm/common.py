@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from blotterlake.session import materialize, scratch_path, ship_package  # noqa: F401  (used by the operators)
@@ -71,10 +72,16 @@ def byte_view(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return flat, offsets - offsets[0] if len(wide) else np.zeros(1, np.int64)
 
 
-def chunks(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+def by_bytes(batches: Iterator[pa.RecordBatch], column: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches that hold about ``most`` bytes of a string column each."""
     for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+        if not batch.num_rows:
+            continue
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        slot = (np.cumsum(sizes, dtype=np.int64) - sizes) // most
+        starts = np.concatenate((np.flatnonzero(np.diff(slot, prepend=-1)), [batch.num_rows]))
+        for a, b in zip(starts.tolist(), starts[1:].tolist()):
+            yield batch.slice(a, b - a)
 
 
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

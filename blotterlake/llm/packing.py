@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from blotterlake.llm.common import texts
+from blotterlake.llm.common import by_bytes, texts
 from blotterlake.llm.tokens import encoder
 
 WAITING_TOKENS = 1 << 22  # packed down to a sixteenth of this whenever more wait
@@ -224,7 +224,7 @@ def pack_documents(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, packer = encoder(tokenizer), _packer(limits, True, with_ids)
-        for batch in batches:
+        for batch in by_bytes(batches, 1):
             ids, ends = words.texts(batch.column(1))
             for doc_id, a, b in zip(batch.column(0).to_pylist(), ends.tolist(), ends[1:].tolist()):
                 packer.add(Example(doc_id, ids[a:b], None))

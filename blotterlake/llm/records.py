@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from blotterlake.llm.common import materialize, text_parts, texts
+from blotterlake.llm.common import by_bytes, materialize, text_parts, texts
 from blotterlake.llm.tokens import encoder
 
 SHARD_BYTES = 32 << 20  # of text; a shard is read as one value, so it stays small
@@ -81,7 +81,7 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, *, shard_bytes: in
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = encoder(tokenizer)
-        for batch in batches:
+        for batch in by_bytes(batches, 1):
             ids, ends = words.texts(batch.column(1))
             rows = [frame(d, ids[a:b]) for d, a, b in zip(batch.column(0).to_pylist(), ends, ends[1:])]
             yield pa.record_batch({"record": pa.array(rows, pa.binary())})

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHE_WORDS = 1_500_000  # words remembered per Python worker; a full memory is emptied
+CACHE_WORDS = 800_000  # words remembered per Python worker; a full memory is emptied
 END_ID = 1
 _ENCODERS: dict[str, WordEncoder] = {}
 
@@ -91,7 +91,8 @@ class WordEncoder:
         """All ids, each text's followed by ``END_ID``, and the len + 1 offsets of the texts."""
         if not len(texts):
             return np.empty(0, self.kind), np.zeros(1, np.int64)
-        texts = texts.cast(pa.large_string())
+        # A copy that starts at offset 0: ascii_lower misreads slices of an array.
+        texts = texts.take(pa.array(np.arange(len(texts)))).cast(pa.large_string())
         # The tokenizer lower-cases, so words that differ in ASCII case have the same ids, but for
         # its special tokens, which are found before that.
         if not pc.any(pc.match_substring(texts, "<|")).as_py():
@@ -104,9 +105,10 @@ class WordEncoder:
         starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
         counts = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
         ends = np.cumsum(counts)
-        order = np.insert(coded.indices.to_numpy().astype(np.int64), ends, len(known) - 1)
+        order = np.insert(coded.indices.to_numpy(), ends, len(known) - 1)
         lengths = sizes[order]
         total = np.concatenate(([0], np.cumsum(lengths)))
-        shift = np.repeat(starts[order] - total[:-1], lengths)
-        ids = flat[shift + np.arange(total[-1])]
+        places = np.repeat((starts[order] - total[:-1]).astype(np.int32), lengths)
+        places += np.arange(total[-1], dtype=np.int32)
+        ids = flat[places]
         return ids, np.concatenate(([0], total[ends + np.arange(1, len(ends) + 1)]))
