@@ -60,7 +60,7 @@ def fingerprints(spark, sf_dir):
 def simhash(spark, sf_dir):
     from blotterlake.llm.simhash import near_duplicates
 
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 @query("op6_language_id")

@@ -52,15 +52,16 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and the 64 bits as a signed long."""
+    """doc_id, a hash of the text, and the 64 bits as a signed long."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, 1):
             found = [fingerprint(t.as_buffer().to_pybytes(), shingle) for t in batch.column(1)]
             values = np.array(found, np.uint64).view(np.int64)
-            yield pa.record_batch({"doc_id": batch.column(0), "bits": pa.array(values)})
+            yield pa.record_batch({"doc_id": batch.column(0), "text_hash": batch.column(2), "bits": pa.array(values)})
 
-    return texts(docs).mapInArrow(run, "doc_id long, bits long")
+    rows = texts(docs).withColumn("text_hash", F.xxhash64("text"))
+    return rows.mapInArrow(run, "doc_id long, text_hash long, bits long")
 
 
 def _pairs(value: Column, width: int, at: int, blocks: int) -> list[Column]:
@@ -132,7 +133,7 @@ def links(distinct: DataFrame, radius: int = RADIUS, hot_group: int = HOT_GROUP)
 def near_duplicates(
     docs: DataFrame, *, shingle: int = SHINGLE, radius: int = RADIUS, hot_group: int = HOT_GROUP
 ) -> DataFrame:
-    """doc_id, fingerprint and component_id, the smallest doc_id that links reach."""
+    """doc_id, fingerprint and component_id, the smallest doc_id that links reach; and a hash of the text."""
     prints = materialize(fingerprints(docs, shingle), "fingerprints")
     distinct = materialize(prints.groupBy("bits").agg(F.min("doc_id").alias("least_doc")), "distinct-fingerprints")
     roots = components(links(distinct, radius, hot_group))
@@ -142,15 +143,18 @@ def near_duplicates(
     named = rooted.groupBy("root").agg(F.min("least_doc").alias("component_id"))
     of_bits = rooted.join(named, "root").select(F.col("bits").alias("of_bits"), "component_id")
     return prints.join(of_bits, F.col("bits") == F.col("of_bits")).select(
-        "doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id"
+        "doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id", "text_hash"
     )
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """The document with the smallest doc_id of each component; all columns as given.
 
-    Documents without an id stay only where no document of their component has one.
+    Documents without an id stay only where no document of their component has one.  Rows that repeat
+    the id that stays stay with it.
     """
-    found = near_duplicates(docs, **options)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept_id"))
-    return docs.join(kept.distinct(), F.col("doc_id").cast("long").eqNullSafe(F.col("__kept_id")), "left_semi")
+    found = near_duplicates(docs, **options).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = found.select(F.col("doc_id").alias("__kept_id"), F.col("text_hash").alias("__kept_text")).distinct()
+    of_text = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__kept_id")) & (of_text == F.col("__kept_text"))
+    return docs.join(kept, same, "left_semi")

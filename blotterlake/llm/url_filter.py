@@ -57,7 +57,7 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 
 
 def rules_of_hosts(hosts: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """For each host that rules fit: its rules, longest first.  ``hosts`` holds distinct names."""
+    """For each host that rules fit: its rules, longest first, then by path.  ``hosts`` holds distinct names."""
     spark = hosts.sparkSession
     schema = "rule_host string, rule struct<size: int, path: string, text: string, verdict: string>"
     listed = spark.createDataFrame([(r.host, (len(r.text), r.path, r.text, r.verdict)) for r in rules], schema)
