@@ -39,15 +39,16 @@ from blotterlake.llm.suffixes import common_prefixes, maximal_repeats, suffix_ar
 LENGTH = 50
 GRAM = 20
 CHUNK_BYTES = 8 << 20
-BUCKET_BYTES = 16 << 20  # of text whose keys one bucket gets
-HOT_RUNS = 100_000
+BUCKET_BYTES = 8 << 20  # of text whose keys one bucket gets
+HOT_RUNS = 10_000
 SEGMENT = 1 << 20
+SUFFIXES = 1 << 15
 LAST = np.iinfo(np.int64).max
 REPORT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 _BASE = 0x9E3779B97F4A7C15
 _BYTES = np.random.default_rng(50).integers(1, 1 << 63, 256).astype(np.uint64)
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_POWERS: dict[int, np.ndarray] = {}
 
 
 # ---- chunks -------------------------------------------------------------------------------
@@ -114,7 +115,10 @@ class Chunk:
 
 
 def least_grams(flat: np.ndarray) -> np.ndarray:
-    """For each start of LENGTH bytes the least 48-bit hash of the grams within them."""
+    """For each start of LENGTH bytes the least 48-bit hash of the grams within them.
+
+    Least values lie near zero; they are mixed again, one to one, so that keys are even over their range.
+    """
     power = lambda e: np.uint64(pow(_BASE, e, 1 << 64))
     h1 = _BYTES[flat]
     h2 = h1[:-1] * power(1) + h1[1:]
@@ -131,23 +135,48 @@ def least_grams(flat: np.ndarray) -> np.ndarray:
     while reach * 2 <= width:
         x = np.minimum(x[:-reach], x[reach:])
         reach *= 2
-    return np.minimum(x[: len(x) - (width - reach)], x[width - reach :]) if width > reach else x
+    x = np.minimum(x[: len(x) - (width - reach)], x[width - reach :]) if width > reach else x
+    x = (x * np.uint64(0x9E3779B97F4A7C15)) & np.uint64((1 << 48) - 1)
+    x ^= x >> np.uint64(24)
+    return (x * np.uint64(0xBF58476D1CE4E5B9)) & np.uint64((1 << 48) - 1)
 
 
 def content_hashes(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """64-bit polynomial hash of each stretch."""
-    if len(flat) not in _POWERS:
-        _POWERS.clear()
-        step = np.full(len(flat) + 1, _BASE, np.uint64)
-        back = np.full(len(flat) + 1, pow(_BASE, -1, 1 << 64), np.uint64)
-        step[0] = back[0] = 1
-        _POWERS[len(flat)] = np.cumprod(step, dtype=np.uint64), np.cumprod(back, dtype=np.uint64)
-    step, back = _POWERS[len(flat)]
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTES[flat] * step[:-1], dtype=np.uint64)))
-    x = (sums[starts + lengths] - sums[starts]) * back[starts]
-    x ^= x >> np.uint64(32)
-    x *= np.uint64(0x94D049BB133111EB)
-    return x ^ x >> np.uint64(29)
+    """64-bit polynomial hash of each stretch; works through the bytes by segments."""
+    out = np.empty(len(starts), np.uint64)
+    slot = starts // SEGMENT
+    order = np.argsort(slot, kind="stable")
+    edges = np.append(np.flatnonzero(np.diff(slot[order], prepend=-1)), len(order))
+    for a, b in zip(edges.tolist(), edges[1:].tolist()):
+        some = order[a:b]
+        base = int(slot[some[0]]) * SEGMENT
+        at, n = starts[some] - base, lengths[some]
+        part = _BYTES[flat[base : base + int((at + n).max())]]
+        step, back = _powers(len(part) + 1)
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(part * step[: len(part)], dtype=np.uint64)))
+        out[some] = (sums[at + n] - sums[at]) * back[at]
+    out ^= out >> np.uint64(32)
+    out *= np.uint64(0x94D049BB133111EB)
+    return out ^ out >> np.uint64(29)
+
+
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, kept by the worker."""
+    if not _POWERS or len(_POWERS[0]) < size:
+        size = max(size, SEGMENT + (1 << 17))
+        for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            powers = np.full(size, base, np.uint64)
+            powers[0] = 1
+            _POWERS[i] = np.cumprod(powers, dtype=np.uint64)
+    return _POWERS[0], _POWERS[1]
+
+
+def gather(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> bytes:
+    """The stretches one after another."""
+    ends = np.cumsum(lengths)
+    slot = ends // SEGMENT
+    edges = np.append(np.flatnonzero(np.diff(slot, prepend=-1)), len(starts)).tolist()
+    return b"".join(flat[ranges(starts[a:b], lengths[a:b])].tobytes() for a, b in zip(edges, edges[1:]))
 
 
 def _buckets(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -258,7 +287,7 @@ def _run_rows(number, chunk, key, start, length, doc, content, buckets) -> pa.Ta
     rows = {"bucket": [-1 - number], "chunk": [number], "strings": [None]}
     rows["places"] = [pack_columns(at=start[later].astype(np.uint32), n=length[later].astype(np.uint32))]
     at, n = start[first], length[first]
-    flat = pa.py_buffer(chunk.flat[ranges(at, n)].tobytes())
+    flat = pa.py_buffer(gather(chunk.flat, at, n))
     strings = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(np.append(0, np.cumsum(n)).astype(np.int64).tobytes()), flat])
     sent = np.flatnonzero(~later)
     bucket = _buckets(key[first], buckets)
@@ -278,15 +307,27 @@ def _run_rows(number, chunk, key, start, length, doc, content, buckets) -> pa.Ta
 
 
 def repeat_groups(keys: np.ndarray, strings: pa.Array, least_doc: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Maximal repeats among distinct strings that share a key: (group, string, offset, length, group's document).
+    """What maximal repeats cover of distinct strings that share a key: (string, offset, length).
 
-    ``least_doc`` is each string's smallest document; strings are sorted by key.  A string that is
-    alone under its key is not looked at here.
+    ``least_doc`` is each string's smallest document; strings are sorted by key.  Of every repeat group all
+    occurrences outside its smallest document count.  A string that is alone under its key is not looked at here.
     """
     new = np.diff(keys, prepend=keys[:1] + np.uint64(1)) != 0
     group = np.cumsum(new) - 1
     several = np.bincount(group)[group] > 1 if len(group) else np.empty(0, bool)
     some = np.flatnonzero(several)
+    # Groups are independent: some at a time, so that one array holds about SUFFIXES of them.
+    sizes = pc.binary_length(strings).to_numpy()[some].astype(np.int64)
+    slot = (np.cumsum(np.maximum(sizes - LENGTH + 1, 0)) - 1) // SUFFIXES
+    opens = np.concatenate(([True], group[some][1:] != group[some][:-1])) if len(some) else np.empty(0, bool)
+    slot = slot[np.maximum.accumulate(np.where(opens, np.arange(len(some)), 0))]
+    cuts = np.append(np.flatnonzero(np.diff(slot, prepend=-1)), len(some)).tolist()
+    parts = [_repeats(some[a:b], strings, least_doc) for a, b in zip(cuts, cuts[1:])]
+    empty = np.empty(0, np.int64)
+    return tuple(np.concatenate(c) for c in zip(*parts)) if parts else (empty,) * 3
+
+
+def _repeats(some: np.ndarray, strings: pa.Array, least_doc: np.ndarray) -> tuple[np.ndarray, ...]:
     flat, offsets = byte_view(strings.take(pa.array(some)))
     sizes = np.diff(offsets)
     suffixes = np.maximum(sizes - LENGTH + 1, 0)
@@ -298,14 +339,30 @@ def repeat_groups(keys: np.ndarray, strings: pa.Array, least_doc: np.ndarray) ->
     prefix = common_prefixes(flat, starts, ends)
     found = maximal_repeats(flat, starts, ends, offsets[:-1][string], prefix, LENGTH)
     if not found:
-        return tuple(np.empty(0, np.int64) for _ in range(5))
+        return tuple(np.empty(0, np.int64) for _ in range(3))
     depth, first, last = np.array(found, np.int64).T
     size = last - first + 1
     at = ranges(first, size)
     number = np.repeat(np.arange(len(found)), size)
     docs = least_doc[some][string[at]]
-    smallest = np.minimum.reduceat(docs, np.cumsum(size) - size)
-    return number, some[string[at]], starts[at] - offsets[:-1][string[at]], depth[number], smallest[number]
+    later = docs > np.minimum.reduceat(docs, np.cumsum(size) - size)[number]
+    at, number = at[later], number[later]
+    string, begin, _, length = merged(string[at], starts[at], depth[number])
+    return some[string], begin - offsets[:-1][string], length
+
+
+def merged(owner: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Owner, start, end and length of the unions of stretches that overlap or touch; starts rise with the owner."""
+    if not len(start):
+        return owner, start, start, length
+    order = np.argsort(start, kind="stable")
+    owner, start, end = owner[order], start[order], (start + length)[order]
+    reach = np.maximum.accumulate(end)
+    opens = np.ones(len(start), bool)
+    opens[1:] = (start[1:] > reach[:-1]) | (owner[1:] != owner[:-1])
+    first = np.flatnonzero(opens)
+    last = np.append(first[1:], len(start)) - 1
+    return owner[first], start[first], reach[last], reach[last] - start[first]
 
 
 def removed_places(runs: DataFrame) -> DataFrame:
@@ -334,11 +391,9 @@ def removed_places(runs: DataFrame) -> DataFrame:
         whole = np.flatnonzero(doc > least[string])
         out = [(chunk[whole], at[whole], sizes[string[whole]])]
         by_key = np.argsort(key, kind="stable")
-        _, of, offset, depth, smallest = repeat_groups(key[by_key], coded.dictionary.take(pa.array(by_key)), least[by_key])
+        of, offset, depth = repeat_groups(key[by_key], coded.dictionary.take(pa.array(by_key)), least[by_key])
         # Each repeat's places: the string's places in its smallest document (the others have gone already).
         of = by_key[of] if len(of) else of
-        gone = least[of] > smallest
-        of, offset, depth = of[gone], offset[gone], depth[gone]
         rest = np.flatnonzero(doc == least[string])
         rest = rest[np.argsort(string[rest], kind="stable")]
         begin = np.searchsorted(string[rest], of, "left")
@@ -370,9 +425,9 @@ def _apply(docs: DataFrame, result: Callable[[Chunk, np.ndarray], pa.Table], sch
         change = np.zeros(len(chunk.flat) + 1, np.int32)
         for blob in right.column("places"):
             at, n = (x.astype(np.int64) for x in numpy_columns(blob.as_buffer(), "at", "n"))
-            change += np.bincount(at, minlength=len(change)).astype(np.int32)
-            change -= np.bincount(at + n, minlength=len(change)).astype(np.int32)
-        return result(chunk, np.cumsum(change[:-1]) > 0)
+            np.add.at(change, at, 1)
+            np.subtract.at(change, at + n, 1)
+        return result(chunk, np.cumsum(change[:-1], dtype=np.int32) > 0)
 
     return chunks.groupBy("chunk").cogroup(gone.groupBy("chunk")).applyInArrow(finish, schema)
 
@@ -381,19 +436,19 @@ def repeat_report(docs: DataFrame, *, hot_runs: int = HOT_RUNS, chunk_bytes: int
     """doc_id, n_bytes, n_removed, n_spans and the SHA-256 of what is kept, per document."""
 
     def report(chunk: Chunk, gone: np.ndarray) -> pa.Table:
-        total = np.concatenate(([0], np.cumsum(gone)))
+        total = np.concatenate(([0], np.cumsum(gone, dtype=np.int32)))
         opens = gone.copy()
         opens[1:] &= ~gone[:-1]
         inner = chunk.offsets[:-1][np.diff(chunk.offsets) > 0]
         opens[inner] = gone[inner]  # spans end with their document
-        spans = np.concatenate(([0], np.cumsum(opens)))
+        spans = np.concatenate(([0], np.cumsum(opens, dtype=np.int32)))
         a, b = chunk.offsets[:-1], chunk.offsets[1:]
         kept = chunk.flat[~gone].tobytes()
         edge = (chunk.offsets - total[chunk.offsets]).tolist()
         hashes = [hashlib.sha256(kept[i:j]).hexdigest() for i, j in zip(edge, edge[1:])]
         return pa.table({
-            "doc_id": chunk.table.column(0).cast(pa.int64()), "n_bytes": pa.array(b - a), "n_removed": pa.array(total[b] - total[a]),
-            "n_spans": pa.array(spans[b] - spans[a]), "kept_sha256": pa.array(hashes, pa.string()),
+            "doc_id": chunk.table.column(0).cast(pa.int64()), "n_bytes": pa.array(b - a), "n_removed": pa.array((total[b] - total[a]).astype(np.int64)),
+            "n_spans": pa.array((spans[b] - spans[a]).astype(np.int64)), "kept_sha256": pa.array(hashes, pa.string()),
         })
 
     return _apply(texts(docs), report, REPORT, hot_runs, chunk_bytes)
@@ -408,7 +463,7 @@ def remove_repeats(docs: DataFrame, *, hot_runs: int = HOT_RUNS, chunk_bytes: in
     count_at = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
     def cut(chunk: Chunk, gone: np.ndarray) -> pa.Table:
-        total = np.concatenate(([0], np.cumsum(gone)))
+        total = np.concatenate(([0], np.cumsum(gone, dtype=np.int32)))
         kept = chunk.flat[~gone].tobytes()
         edge = (chunk.offsets - total[chunk.offsets]).tolist()
         null = chunk.table.column(text_at).is_null().to_pylist()

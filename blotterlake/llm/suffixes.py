@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import numpy as np
 
-from blotterlake.llm.common import ranges
-
 
 def suffix_array(text: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Order of the suffixes text[start:end]; equal ones keep their order."""
@@ -18,20 +16,19 @@ def common_prefixes(flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> n
     out = np.zeros(len(starts), np.int64)
     if len(starts) < 2:
         return out
+    padded = np.concatenate((flat, np.zeros(8, np.uint8)))
+    words = np.ndarray(len(flat) + 1, "<u8", padded, strides=(1,))  # the eight bytes from each place on
     a, b = starts[:-1], starts[1:]
     most = np.minimum(ends[:-1] - a, ends[1:] - b)
-    live = np.flatnonzero(most > 0)
     depth = np.zeros(len(a), np.int64)
+    live = np.flatnonzero(most > 0)
     while len(live):
-        step = np.minimum(most[live] - depth[live], 32)
-        at = ranges(np.zeros(len(live), np.int64), step)
-        of = np.repeat(np.arange(len(live)), step)
-        same = flat[a[live][of] + depth[live][of] + at] == flat[b[live][of] + depth[live][of] + at]
-        # The first difference in the stretch, or all of it.
-        bad = np.where(same, 32, at)
-        equal = np.minimum(np.minimum.reduceat(bad, np.cumsum(step) - step), step)
-        depth[live] += equal
-        live = live[(equal == step) & (depth[live] < most[live])]
+        at = depth[live]
+        differ = words[a[live] + at] ^ words[b[live] + at]
+        # Bytes before the first that differs: the trailing zero bits, by eight.
+        equal = np.bitwise_count((differ & -differ) - np.uint64(1)).astype(np.int64) >> 3
+        depth[live] = np.minimum(at + equal, most[live])
+        live = live[(equal == 8) & (depth[live] < most[live])]
     out[1:] = depth
     return out
 
