@@ -228,9 +228,9 @@ oracle("scan_incidents", "SELECT arrest_id, charge_1_description, charge_1_class
 oracle("scan_unit_beat_crosswalk", "SELECT unit, beat FROM beats", "beats")
 oracle(
     "crosswalk_lookups",
-    """SELECT 'micro' AS lookup, description AS key, micro_category AS value FROM xw GROUP BY ALL
+    """SELECT 'micro' AS lookup, description || ' "x", y' AS key, micro_category AS value FROM xw GROUP BY ALL
 UNION ALL SELECT 'macro', micro_category, macro_category FROM xw GROUP BY ALL
-UNION ALL SELECT 'police', description, cast(police_related AS varchar) FROM xw GROUP BY ALL""",
+UNION ALL SELECT 'police', description || ' "x", y', cast(police_related AS varchar) FROM xw GROUP BY ALL""",
     "xw",
 )
 oracle("read_or_build", "SELECT arrest_id, beat, unit, arrest_year FROM prepared", "prepared")
@@ -240,7 +240,9 @@ oracle(
 )
 oracle(
     "sink_roundtrip_csv",
-    "SELECT arrest_id, charge_1_description, unit, beat, arrest_time FROM prepared", "prepared",
+    """SELECT arrest_id, '"a"' || chr(10) || ',' || charge_1_description AS charge_1_description, unit, beat,
+       arrest_time FROM prepared""",
+    "prepared",
 )
 oracle(
     "geo_points",
@@ -757,12 +759,15 @@ resolved(
        round(coalesce(sum(n_test) FILTER (known_micro = said_micro), 0) / sum(n_test), 6) AS accuracy
 FROM resolved WHERE known_micro IS NOT NULL""",
 )
-resolved(
-    "confusion_matrix",
-    """SELECT a.micro AS label, b.micro AS prediction, coalesce(sum(r.n_test), 0)::bigint AS n
-FROM macros a CROSS JOIN macros b
-LEFT JOIN resolved r ON r.known_micro = a.micro AND r.said_micro = b.micro GROUP BY a.micro, b.micro""",
-)
+for _key in ("confusion_matrix", "confusion_csv"):
+    resolved(
+        _key,
+        """, tested AS (SELECT * FROM resolved WHERE known_micro IS NOT NULL AND n_test > 0),
+seen AS (SELECT known_micro AS micro FROM tested UNION SELECT said_micro FROM tested)
+SELECT a.micro AS label, b.micro AS prediction, coalesce(sum(r.n_test), 0)::bigint AS n
+FROM seen a CROSS JOIN seen b
+LEFT JOIN tested r ON r.known_micro = a.micro AND r.said_micro = b.micro GROUP BY a.micro, b.micro""",
+    )
 resolved(
     "binary_confusion",
     "SELECT "
@@ -773,6 +778,20 @@ resolved(
     + " FROM resolved",
 )
 
+oracle(
+    "attach_large",
+    "SELECT CASE WHEN arrest_id % 5 <> 0 THEN arrest_id // 3 END AS arrest_id, "
+    + ", ".join(
+        f"charge_{s}_description, v{s}.micro_category AS charge_{s}_description_category_micro, "
+        f"v{s}.macro_category AS charge_{s}_description_category_macro, "
+        f"v{s}.police_related AS charge_{s}_description_police_related"
+        for s in SLOTS
+    )
+    + " FROM incidents "
+    + " ".join(f"LEFT JOIN xw v{s} ON v{s}.description = charge_{s}_description" for s in SLOTS),
+    "incidents", "xw",
+)
+
 # whole runs
 oracle("prepare_incidents", "SELECT * FROM prepared", "prepared")
 resolved(

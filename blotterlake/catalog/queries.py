@@ -27,6 +27,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 # DuckDB has no stemmer, so queries it checks leave stemming out.
 PLAIN = Settings(stem=False)
+CLASSIFIED = [
+    name(i) for i in PLAIN.slot_numbers for name in (PLAIN.micro, PLAIN.macro, PLAIN.police)
+]
 
 
 def query(function: Query) -> Query:
@@ -95,9 +98,14 @@ def scan_unit_beat_crosswalk(spark, sf):
 
 @query
 def crosswalk_lookups(spark, sf):
+    """From a CSV with headers of mixed case in another order, a column too many, and quotes."""
     path = scratch_path(spark, "charge-crosswalk")
-    charge_crosswalk(spark, sf).write.parquet(path)
-    lookup = tables.crosswalk_lookups(tables.read_charge_crosswalk(spark, path, fmt="parquet"))
+    charge_crosswalk(spark, sf).select(
+        F.col("police_related").cast("string").alias("Police Related"), F.lit("x,\n\"").alias("Note"),
+        F.col("macro_category").alias("macro-category"),
+        F.concat("description", F.lit(' "x", y')).alias("DESCRIPTION"), F.col("micro_category").alias("Micro_Category"),
+    ).write.option("header", True).option("escape", '"').csv(path)
+    lookup = tables.crosswalk_lookups(tables.read_charge_crosswalk(spark, path))
     out = None
     for name, df in lookup._asdict().items():
         key, value = df.columns
@@ -130,7 +138,7 @@ def sink_roundtrip_parquet(spark, sf):
 def sink_roundtrip_csv(spark, sf):
     path = scratch_path(spark, "sink-csv")
     rows = prepared(spark, sf).select(
-        "arrest_id", "charge_1_description", "unit", "beat", "arrest_time"
+        "arrest_id", F.concat(F.lit('"a"\n,'), "charge_1_description").alias("charge_1_description"), "unit", "beat", "arrest_time"
     )
     tables.write_shared_csv(rows, path)
     return tables.read_shared_csv(spark, path, rows.schema)
@@ -250,6 +258,7 @@ def forced_casts(spark, sf):
     forced = schema.force_types(
         incidents(spark, sf),
         {"bigint": ["cb_no", "case_number", "middle_name"], "timestamp_ntz": ["received_in_lockup"]},
+        on_error="null",
     )
     return forced.select(
         "arrest_id", "cb_no", "case_number", "middle_name",
@@ -415,6 +424,20 @@ def fuzzy_match_query(spark, sf):
     return fuzzy_match(unmatched_descriptions(spark, sf), keys, max_distance=4)
 
 
+@query
+def attach_large(spark, sf):
+    """Writing back without a broadcast, on rows whose ids are repeated or null."""
+    values = cascade.crosswalk_values(charge_crosswalk(spark, sf))
+    found = cascade.direct_stage(descriptions(spark, sf), values).join(
+        cascade.macro_values(charge_crosswalk(spark, sf)), "micro", "left"
+    )
+    ids = F.when(F.col("arrest_id") % 5 != 0, F.floor(F.col("arrest_id") / 3))
+    rows = incidents(spark, sf).withColumn("arrest_id", ids)
+    large = Settings(stem=False, broadcast_bytes=0)
+    attached = lookups.attach_resolved(rows, materialize(found, "resolved"), large)
+    return attached.select("arrest_id", *map(PLAIN.description, PLAIN.slot_numbers), *CLASSIFIED)
+
+
 @query
 def coalesce_update(spark, sf):
     base = flagged(spark, sf).select("arrest_id", "unit", PLAIN.police(1))
@@ -703,9 +726,19 @@ def accuracy(spark, sf):
 
 @query
 def confusion_matrix(spark, sf):
-    domain = [r[0] for r in cascade.macro_values(charge_crosswalk(spark, sf)).select("micro").collect()]
-    pairs = _stored_resolution(spark, sf).micro_evaluation.confusion
-    return quality.confusion_cells(pairs, sorted(domain))
+    return quality.confusion_cells(_stored_resolution(spark, sf).micro_evaluation.confusion)
+
+
+@query
+def confusion_csv(spark, sf):
+    """The matrix file that a run leaves, read back into its cells."""
+    path = scratch_path(spark, "matrix")
+    cells = quality.confusion_cells(_stored_resolution(spark, sf).micro_evaluation.confusion)
+    tables.write_matrix_csv(quality.confusion_matrix(cells), path)
+    wide = spark.read.option("header", True).option("escape", '"').csv(path)
+    labels = [c for c in wide.columns if c != "label"]
+    long = wide.unpivot(["label"], [F.col(f"`{c}`") for c in labels], "prediction", "n")
+    return long.withColumn("n", F.col("n").cast("bigint"))
 
 
 @query
@@ -721,11 +754,6 @@ def prepare_incidents(spark, sf):
     return prepared(spark, sf).drop("arrest_date", *PLAIN.timestamp_columns)
 
 
-CLASSIFIED = [
-    name(i) for i in PLAIN.slot_numbers for name in (PLAIN.micro, PLAIN.macro, PLAIN.police)
-]
-
-
 @query
 def classify_incidents(spark, sf):
     classified, _ = cascade.classify(prepared(spark, sf), charge_crosswalk(spark, sf), PLAIN)

@@ -52,8 +52,8 @@ class Settings:
     target_year: int | None = None
     n_hours: int | None = None  # None: as many angles as hours observed
     carry_hour: bool = False
-    # Most rows a lookup may have to be broadcast into the fact table; above it, shuffle joins.
-    broadcast_rows: int = 1_000_000
+    # Most stored bytes a lookup may have to be broadcast into the fact table; above it, shuffle joins.
+    broadcast_bytes: int = 16 << 20
 
     def description(self, slot: int) -> str:
         return f"charge_{slot}_description"

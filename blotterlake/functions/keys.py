@@ -11,8 +11,9 @@ def zero_fill(text: Column, width: int) -> Column:
 
 
 def number_key(number: Column, width: int = 0) -> Column:
-    """Nullable number to text key: null becomes 0, fractions are cut, then zero-filled."""
-    text = F.coalesce(number, F.lit(0)).cast("bigint").cast("string")
+    """Nullable number to text key: null and NaN become 0, fractions are cut, then zero-filled."""
+    known = F.when(~F.isnan(number.cast("double")), number)
+    text = F.coalesce(known, F.lit(0)).cast("bigint").cast("string")
     return zero_fill(text, width) if width else text
 
 

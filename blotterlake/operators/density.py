@@ -96,10 +96,16 @@ def unit_histogram(
     )
 
 
-def _bandwidth(n: Column, sum_x: Column, sum_xx: Column) -> Column:
-    """Scott's bandwidth: sample deviation times n^(-1/5); null when there is none."""
-    variance = (sum_xx - sum_x * sum_x / n) / F.nullif(n - 1, F.lit(0))
-    return F.when(variance > 0, F.sqrt(variance) * F.pow(n, F.lit(-0.2)))
+def _bandwidth(values: Column) -> Column:
+    """Scott's bandwidth: sample deviation times n^(-1/5); null for fewer than two values.
+
+    Deviations are taken about the mean, so equal values in any number have none.
+    """
+    add = lambda part: F.aggregate(values, F.lit(0.0), lambda total, v: total + part(v))
+    n = add(lambda v: v["n"])
+    mean = add(lambda v: v["n"] * v["x"]) / n
+    variance = add(lambda v: v["n"] * (v["x"] - mean) * (v["x"] - mean)) / (n - 1)
+    return F.when(F.size(values) > 1, F.sqrt(variance) * F.pow(n, F.lit(-0.2)))
 
 
 def unit_kde(
@@ -112,11 +118,11 @@ def unit_kde(
     panels = counts.groupBy(*panel).agg(
         F.min("x").alias("lo"), F.max("x").alias("hi"), F.sum("n").alias("total")
     )
-    x, n = F.col("x"), F.col("n")
-    curves = counts.groupBy(*curve).agg(
-        _bandwidth(F.sum(n).cast("double"), F.sum(n * x), F.sum(n * x * x)).alias("h"),
-        F.collect_list(F.struct("x", "n")).alias("values"),  # at most 96 quarter hours
-    )
+    # One entry per value: a caller's counts may hold a value twice.
+    merged = counts.groupBy(*curve, "x").agg(F.sum("n").alias("n"))
+    curves = merged.groupBy(*curve).agg(
+        F.array_sort(F.collect_list(F.struct("x", "n"))).alias("values")  # at most 96 quarter hours
+    ).withColumn("h", _bandwidth(F.col("values")))
     grid = curves.where("h is not null").join(panels, list(panel)).withColumn(
         "point", F.explode(F.sequence(F.lit(0), F.lit(points - 1)))
     )
@@ -125,7 +131,7 @@ def unit_kde(
         -F.pow((F.col("at") - v["x"]) / F.col("h"), F.lit(2.0)) / 2
     )
     height = F.aggregate(
-        F.array_sort(F.col("values")), F.lit(0.0), lambda total, v: total + bump(v)
+        F.col("values"), F.lit(0.0), lambda total, v: total + bump(v)
     )
     scale = F.col("total") * F.col("h") * F.sqrt(F.lit(2.0) * F.pi())
     return grid.withColumn("at", at).select(

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from blotterlake.config import Settings
+from blotterlake.session import materialize, plan_bytes
 
 
 def _has_order(columns: Sequence[str], order_col: str | None) -> bool:
@@ -113,33 +115,30 @@ def join_spread(
 ) -> DataFrame:
     """Left join on a large lookup with unique keys, without a task per hot key.
 
-    The ``HOT_KEYS`` keys of highest ``frequency`` (a column of the lookup) are broadcast.  Rows
-    they resolve go through the shuffle join under many different keys that match nothing, so no
-    key of that join holds more than a sliver of the rows.
+    Rows of the ``HOT_KEYS`` keys of highest ``frequency`` (a column of the lookup) are joined by
+    broadcast and not shuffled; only the others go through the shuffle join.  Rows with a null key
+    go there under many different keys that match nothing.  ``df`` is read twice.
     """
     values = [c for c in lookup.columns if c != key]
-    hot = lookup.orderBy(frequency.desc(), key).limit(HOT_KEYS)
-    hot = hot.select(key, *[F.col(c).alias(f"__hot_{c}") for c in values], F.lit(True).alias("__hot"))
-    done = F.col("__hot").isNotNull()
+    hot = F.broadcast(lookup.orderBy(frequency.desc(), key).limit(HOT_KEYS))
+    found = df.join(hot, key)
     filler = F.concat(F.lit("\0"), F.pmod(F.xxhash64(spread_by), F.lit(10_000)).cast("string"))
-    rows = df.join(F.broadcast(hot), key, "left").withColumn(
-        "__key", F.when(done | F.col(key).isNull(), filler).otherwise(F.col(key))
-    )
-    joined = rows.join(lookup.withColumnRenamed(key, "__key"), "__key", "left")
-    chosen = {c: F.when(done, F.col(f"__hot_{c}")).otherwise(F.col(c)) for c in values}
-    return joined.withColumns(chosen).drop("__key", "__hot", *[f"__hot_{c}" for c in values])
+    rest = df.join(hot.select(key), key, "left_anti").withColumn("__key", F.coalesce(key, filler))
+    joined = rest.join(lookup.withColumnRenamed(key, "__key"), "__key", "left").drop("__key")
+    return found.select(*df.columns, *values).unionByName(joined.select(*df.columns, *values))
 
 
 def attach_resolved(df: DataFrame, resolved: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Add micro, macro and police columns for every charge slot from a description table.
 
-    ``resolved`` must be stored (its rows are counted).  Up to ``broadcast_rows`` rows it is
-    broadcast once per slot and the fact table is not shuffled.  Above that the non-null slots
-    are unpivoted, joined by description, folded back per id and joined by id: two narrow
-    shuffles and one wide one, however many slots there are.
+    Every row gets the values of its own descriptions, whatever its id.  ``resolved`` must be stored:
+    its files' size decides how.  Up to ``broadcast_bytes`` it is broadcast once per slot and the
+    fact table is not shuffled.  Above that the fact table is stored with a number for each row; the
+    non-null slots are unpivoted, joined by description, folded by number and joined by number: two
+    narrow shuffles and one wide one, however many slots there are.
     """
     names = {c: f"charge_{{}}_{suffix}" for c, suffix in RESOLVED_COLUMNS.items()}
-    if resolved.count() <= settings.broadcast_rows:
+    if plan_bytes(resolved) <= settings.broadcast_bytes:
         for i in settings.slot_numbers:
             side = resolved.select(
                 F.col("description").alias(settings.description(i)),
@@ -149,11 +148,12 @@ def attach_resolved(df: DataFrame, resolved: DataFrame, settings: Settings = Set
         return df
     counts = [F.col(c) for c in resolved.columns if c.startswith("n_slot_")]
     lookup = resolved.select("description", *RESOLVED_COLUMNS, sum(counts, F.lit(0)).alias("__n"))
+    numbered = materialize(df.withColumn("__row", F.monotonically_increasing_id()), "numbered-rows")
+    by_row = replace(settings, id_col="__row")
     long = join_spread(
-        unpivot_charges(df, settings), lookup, "description", F.col("__n"),
-        spread_by=settings.id_col,
+        unpivot_charges(numbered, by_row), lookup, "description", F.col("__n"), spread_by="__row"
     )
     for column, suffix in RESOLVED_COLUMNS.items():
         long = long.withColumnRenamed(column, suffix)
-    folded = pivot_charges(long, list(RESOLVED_COLUMNS.values()), settings)
-    return df.join(folded, settings.id_col, "left")
+    folded = pivot_charges(long, list(RESOLVED_COLUMNS.values()), by_row)
+    return numbered.join(folded, "__row", "left").drop("__row")

@@ -56,21 +56,23 @@ def confusion_pairs(
     )
 
 
-def confusion_matrix(pairs: DataFrame, domain: list[str]) -> DataFrame:
-    """Wide form with a row and a column for every label of ``domain``, zero cells included."""
-    cells = {
-        d: F.coalesce(F.sum(F.when(F.col("prediction") == d, F.col("n"))), F.lit(0)).alias(d)
-        for d in domain
-    }
-    counted = pairs.groupBy("label").agg(*cells.values())
-    labels = pairs.sparkSession.createDataFrame([(d,) for d in domain], "label string")
-    return labels.join(counted, "label", "left").fillna(0)
-
-
-def confusion_cells(pairs: DataFrame, domain: list[str]) -> DataFrame:
-    """Long form of the full matrix, zero cells included."""
-    wide = confusion_matrix(pairs, domain)
-    return wide.unpivot(["label"], [F.col(f"`{d}`") for d in domain], "prediction", "n")
+def confusion_cells(pairs: DataFrame) -> DataFrame:
+    """Long form of the full matrix: a cell for every two labels observed, zeros included.
+
+    A label is observed as a label or as a prediction, so no row of ``pairs`` is left out.
+    """
+    labels = pairs.select(F.explode(F.array("label", "prediction")).alias("label")).distinct()
+    every = labels.agg(F.collect_set("label").alias("labels"))
+    cells = every.select(F.explode("labels").alias("label"), "labels").select(
+        "label", F.explode("labels").alias("prediction")
+    )
+    filled = cells.join(pairs, ["label", "prediction"], "left")
+    return filled.select("label", "prediction", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def confusion_matrix(cells: DataFrame) -> DataFrame:
+    """Wide form of ``confusion_cells``: a row and a column for every label."""
+    return cells.groupBy("label").pivot("prediction").agg(F.first("n")).orderBy("label")
 
 
 def binary_confusion(

@@ -58,9 +58,25 @@ def fill_keys(df: DataFrame, *, unit_col: str = "unit", beat_col: str = "beat")
     return df.fillna({unit_col: "000", beat_col: "0000"})
 
 
-def force_types(df: DataFrame, types: Mapping[str, Iterable[str]]) -> DataFrame:
-    """Cast the listed columns (type name to column names).  Text that is no value is null."""
-    return df.withColumns({c: F.col(c).try_cast(t) for t, cols in types.items() for c in cols})
+def force_types(
+    df: DataFrame, types: Mapping[str, Iterable[str]], *, on_error: str = "fail"
+) -> DataFrame:
+    """Cast the listed columns (type name to column names).
+
+    A value that is not of the type ends the job, or becomes null with ``on_error="null"``.
+    """
+    if on_error not in ("fail", "null"):
+        raise ValueError(f"unknown on_error {on_error!r}")
+
+    def cast(name: str, target: str) -> Column:
+        value = F.col(name).try_cast(target)
+        if on_error == "null":
+            return value
+        shown = F.substring(F.col(name).cast("string"), 1, 100)
+        failed = F.raise_error(F.concat(F.lit(f"{name} is not of type {target}: "), shown))
+        return F.when(F.col(name).isNull() | value.isNotNull(), value).otherwise(failed)
+
+    return df.withColumns({c: cast(c, t) for t, cols in types.items() for c in cols})
 
 
 def preview(df: DataFrame, order_by: str, n: int = 5) -> DataFrame:

@@ -53,6 +53,18 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def plan_bytes(df: DataFrame) -> int:
+    """Spark's estimate of a table's size; for a stored table the size of its files.  No job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Size of the tables a plan reads; sources that cannot tell count as nothing.  No job."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(s for s in sizes if s < 1 << 60)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Send this package to the Python workers (the same as ``spark-submit --py-files``)."""
     archive_name = "blotterlake-src"

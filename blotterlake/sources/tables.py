@@ -10,6 +10,8 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructType, Time
 
 from blotterlake.config import DROP_COLUMNS, REDACT_COLUMNS, Settings
 from blotterlake.functions.keys import zero_fill
+from blotterlake.operators.schema import normalize_columns
+from blotterlake.session import input_bytes
 
 
 def incident_schema(settings: Settings = Settings()) -> StructType:
@@ -26,15 +28,34 @@ def incident_schema(settings: Settings = Settings()) -> StructType:
     return schema.add(settings.district_col, DoubleType()).add(settings.beat_col, DoubleType())
 
 
+def _csv(spark: SparkSession):
+    """CSV with a header, doubled quotes and line ends inside quotes; a malformed row is an error."""
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", True)
+    return reader.option("mode", "FAILFAST").option("inferSchema", False)
+
+
+def _by_name(df: DataFrame, schema: StructType) -> DataFrame:
+    """The schema's columns of a table of texts, found by normalised header and cast strictly."""
+    df = normalize_columns(df)
+    absent = [f.name for f in schema if f.name not in df.columns]
+    if absent:
+        raise ValueError(f"columns are absent: {absent}; there are {df.columns}")
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+
+
 def read_incidents(
     spark: SparkSession, path: str, *, schema: StructType | None = None, fmt: str = "parquet"
 ) -> DataFrame:
-    """Scan an incident table.  A given schema saves the inference pass and prunes columns."""
+    """Scan an incident table.  A given schema saves the inference pass and prunes columns.
+
+    CSV columns are found by header, in any order; a value that is not of its type is an error.
+    """
+    if fmt == "csv":
+        found = _csv(spark).csv(path)
+        return normalize_columns(found) if schema is None else _by_name(found, schema)
     reader = spark.read.format(fmt)
     if schema is not None:
         reader = reader.schema(schema)
-    if fmt == "csv":
-        reader = reader.option("header", True)
     return reader.load(path)
 
 
@@ -50,15 +71,18 @@ def _file_position() -> Column:
 def read_lookup(
     spark: SparkSession, path: str, columns: str, *, order_col: str = "line_no", fmt: str = "csv"
 ) -> DataFrame:
-    """Scan a lookup file as ``columns`` (DDL) plus its row order.
+    """Scan a lookup file: the columns of the DDL ``columns``, by name, plus the row order.
 
-    Reading keys as strings keeps their leading zeros.  The order column is what "the last row
-    wins" refers to when a key is repeated.
+    Headers are normalised as incident headers are; other columns of the file are left out, an
+    absent one is an error, as is a value that is not of its type.  Reading keys as strings keeps
+    their leading zeros.  The order column is what "the last row wins" refers to when a key is
+    repeated.
     """
-    reader = spark.read.schema(columns).format(fmt)
-    if fmt == "csv":
-        reader = reader.option("header", True)
-    return reader.load(path).withColumn(order_col, _file_position())
+    schema = StructType.fromDDL(columns)
+    found = _csv(spark).csv(path) if fmt == "csv" else spark.read.format(fmt).load(path)
+    placed = normalize_columns(found).withColumn(order_col, _file_position())
+    order = placed.schema[order_col]
+    return _by_name(placed, StructType([*schema.fields, order]))
 
 
 def read_unit_beats(spark: SparkSession, path: str) -> DataFrame:
@@ -70,6 +94,7 @@ def read_unit_beats(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_charge_crosswalk(spark: SparkSession, path: str, *, fmt: str = "csv") -> DataFrame:
+    """Charge crosswalk; a flag other than a spelling of true or false is an error."""
     columns = (
         "description string, micro_category string, macro_category string, police_related boolean"
     )
@@ -97,8 +122,23 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
 
 
-def write_table(df: DataFrame, path: str, *, partition_by: tuple[str, ...] = ()) -> None:
-    """Write Parquet, replacing what is there."""
+FILE_BYTES = 256 << 20  # of input that a file of a partitioned table is made from
+
+
+def write_table(
+    df: DataFrame, path: str, *, partition_by: tuple[str, ...] = (), file_bytes: int = FILE_BYTES
+) -> None:
+    """Write Parquet, replacing what is there.
+
+    For a partitioned table rows are first dealt by partition value and a salt, so that a
+    value's rows end in about one file per ``file_bytes`` of the whole input, not in one per task.
+    """
+    if partition_by:
+        salts = input_bytes(df) // file_bytes + 1
+        salt = F.floor(F.rand(seed=1) * salts).cast("int")
+        # As many partitions as the session deals to, or as there are files of a single value.
+        parts = max(salts, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        df = df.repartition(parts, *partition_by, salt)
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
@@ -124,6 +164,9 @@ def write_shared_csv(df: DataFrame, path: str, *, max_rows_per_file: int = 5_000
     (
         df.write.mode("overwrite")
         .option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("compression", "gzip")
         .option("maxRecordsPerFile", max_rows_per_file)
         .csv(path)
@@ -131,12 +174,18 @@ def write_shared_csv(df: DataFrame, path: str, *, max_rows_per_file: int = 5_000
 
 
 def read_shared_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """The shared table, columns by name; quotes, spaces and line ends inside values are kept.
+
+    An empty text comes back as null: CSV has one spelling for both.
+    """
+    schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    return _by_name(_csv(spark).csv(path), schema)
 
 
 def write_matrix_csv(matrix: DataFrame, path: str) -> None:
     """Write a confusion matrix (labels by labels, so small) as one CSV file."""
-    matrix.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    writer = matrix.coalesce(1).write.mode("overwrite").option("header", True)
+    writer.option("escape", '"').csv(path)
 
 
 def read_points(spark: SparkSession, path: str, properties: str) -> DataFrame:

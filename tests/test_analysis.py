@@ -184,8 +184,7 @@ def test_whole_run(spark):
     assert result["unit_stats"].where("kind = 'hist' and chart = 'by_unit'").count() > 0
 
 
-def test_published_holdout_accuracy(spark):
-    """135,832 right of 141,421, the published hold-out result, from weighted matrix cells."""
+def test_weighted_accuracy_of_large_counts(spark):
     cells = spark.createDataFrame(
         [("a", "a", 100_000), ("b", "b", 35_832), ("a", "b", 5_000), ("b", "a", 589)],
         "label string, prediction string, n bigint",

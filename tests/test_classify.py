@@ -250,12 +250,15 @@ def test_cascade_methods(small):
 
 def test_both_ways_to_write_back_agree(spark, small):
     df, classified, result = small
-    shuffled = attach_resolved(df, result.resolved, Settings(slots=2, broadcast_rows=0))
     columns = sorted(classified.columns)
-    key = lambda r: r.arrest_id
-    assert sorted(classified.select(columns).collect(), key=key) == sorted(
-        shuffled.select(columns).collect(), key=key
-    )
+    for ids in (F.col("arrest_id"), F.lit(7), F.when(F.col("arrest_id") % 2 == 0, 1), F.lit(None).cast("bigint")):
+        rows = df.withColumn("arrest_id", ids)
+        ways = [
+            attach_resolved(rows, result.resolved, Settings(slots=2, broadcast_bytes=size)).select(columns)
+            for size in (1 << 30, 0)
+        ]
+        one, other = (sorted(map(str, way.collect())) for way in ways)
+        assert one == other and len(one) == len(CHARGES)
     assert classified.count() == len(CHARGES)
     empty = classified.where("arrest_id = 4").first()
     assert all(empty[c] is None for c in columns if c != "arrest_id")
@@ -334,11 +337,14 @@ def test_accuracy_and_matrices(spark):
     row = accuracy(df, weight_col="n").first()
     assert (row.n_correct, row.n, round(row.accuracy, 6)) == (5, 6, 0.833333)
     pairs = confusion_pairs(df, weight_col="n")
-    cells = {(r.label, r.prediction): r.n for r in confusion_cells(pairs, ["a.b", "c", "z"]).collect()}
-    assert len(cells) == 9 and cells["a.b", "c"] == 1 and cells["z", "z"] == 0
+    odd = pairs.union(spark.createDataFrame([("c", 'new, "z"', 4)], pairs.schema))
+    cells = {(r.label, r.prediction): r.n for r in confusion_cells(odd).collect()}
+    assert len(cells) == 9 and cells["a.b", "c"] == 1 and cells['new, "z"', "c"] == 0
+    assert sum(cells.values()) == 10  # a label seen only as a prediction is not dropped
     path = scratch_path(spark, "matrix")
-    tables.write_matrix_csv(confusion_matrix(pairs, ["a.b", "c", "z"]), path)
-    assert spark.read.option("header", True).csv(path).count() == 3
+    tables.write_matrix_csv(confusion_matrix(confusion_cells(odd)), path)
+    back = spark.read.option("header", True).option("escape", '"').csv(path)
+    assert back.columns == ["label", "a.b", "c", 'new, "z"'] and back.count() == 3
     flags = spark.createDataFrame([(0, 0), (0, 1), (1, 1), (1, 1)], "label int, prediction int")
     assert tuple(binary_confusion(flags).first()) == (1, 1, 0, 2)
 

@@ -57,7 +57,7 @@ def test_small_results_attach_without_shuffle(spark, stored):
     )
     bare = stored.drop(Settings().police(1))
     assert "hashpartitioning" not in plan(lookups.attach_resolved(bare, resolved))
-    large = plan(lookups.attach_resolved(bare, resolved, Settings(broadcast_rows=0)))
+    large = plan(lookups.attach_resolved(bare, resolved, Settings(broadcast_bytes=0)))
     assert "CartesianProduct" not in large and "NestedLoop" not in large
 
 

@@ -13,7 +13,10 @@ from blotterlake.functions.severity import charge_type, severity_code
 from blotterlake.functions.text import title_case_name
 from blotterlake.operators import schema
 from blotterlake.operators.lookups import dedupe_lookup, lookup_unit
+from blotterlake.operators.schema import force_types
 from blotterlake.plans.prepare import add_severity_codes, class_columns
+from blotterlake.session import scratch_path
+from blotterlake.sources import tables
 
 
 def column(df, name):
@@ -170,3 +173,53 @@ def test_surrogate_ids_are_contiguous_in_order(spark):
     rows = schema.surrogate_id(df, ["hot", "k"]).orderBy("arrest_id").collect()
     assert [r.arrest_id for r in rows] == list(range(1000))
     assert [(r.hot, r.k) for r in rows] == sorted((r.hot, r.k) for r in rows)
+
+
+def test_missing_numbers_make_the_zero_key(spark):
+    df = spark.createDataFrame([(1, float("nan")), (2, None), (3, 7.9)], "i int, x double")
+    keys = df.select("i", number_key(F.col("x")).alias("a"), number_key(F.col("x"), 4).alias("b"))
+    assert [tuple(r) for r in keys.orderBy("i").collect()] == [(1, "0", "0000"), (2, "0", "0000"), (3, "7", "0007")]
+
+
+def test_values_of_another_type_are_an_error(spark):
+    df = spark.createDataFrame([("5",), (None,), ("x",)], "n string")
+    assert [r.n for r in force_types(df, {"bigint": ["n"]}, on_error="null").collect()] == [5, None, None]
+    with pytest.raises(Exception, match="n is not of type bigint: x"):
+        force_types(df, {"bigint": ["n"]}).collect()
+    with pytest.raises(ValueError):
+        force_types(df, {"bigint": ["n"]}, on_error="skip")
+
+
+def test_csv_is_read_by_header(spark, tmp_path):
+    path = tmp_path / "xw.csv"
+    path.write_text(
+        'Note,Police-Related,MACRO category,micro_category,Description\n'
+        'n,True,Person,Theft,"POSS ""CRACK"", ROCK"\nn,false,Other,Minor,"two\nlines"\nn,,,,\n'
+    )
+    rows = tables.read_charge_crosswalk(spark, str(path)).drop("line_no").collect()
+    assert {tuple(r) for r in rows} == {
+        ('POSS "CRACK", ROCK', "Theft", "Person", True), ("two\nlines", "Minor", "Other", False), (None, None, None, None),
+    }
+    path.write_text("description,micro_category,macro_category,police_related\na,b,c,Perhaps\n")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        tables.read_charge_crosswalk(spark, str(path)).collect()
+    path.write_text("description,micro_category,macro_category\na,b,c\n")
+    with pytest.raises(ValueError, match="police_related"):
+        tables.read_charge_crosswalk(spark, str(path))
+
+
+def test_shared_csv_keeps_quotes_and_line_ends(spark):
+    rows = [(1, 'a\n"b", c', None), (2, "''", "x\\"), (3, "\r\n", '""'), (None, ",", " lead")]
+    df = spark.createDataFrame(rows, "i bigint, t string, u string")
+    path = scratch_path(spark, "csv")
+    tables.write_shared_csv(df, path)
+    assert sorted(map(str, tables.read_shared_csv(spark, path, df.schema).collect())) == sorted(map(str, df.collect()))
+
+
+def test_partitioned_table_has_few_files(spark):
+    df = spark.range(0, 5000, 1, 16).selectExpr("id", "cast(id % 3 as int) AS arrest_year")
+    path = scratch_path(spark, "years")
+    tables.write_table(df, path, partition_by=("arrest_year",))
+    assert spark.read.parquet(path).count() == 5000
+    files = [f for f in spark.read.parquet(path).inputFiles()]
+    assert len(files) == 3
