@@ -6,6 +6,7 @@ on columns of their own.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,11 +46,20 @@ def text_parts(docs: DataFrame, part_bytes: int) -> int:
     return max(1, -(-int(total) // part_bytes))
 
 
-def pack_columns(**columns) -> bytes:
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the files of shuffles that no table in use comes from.
+
+    Its cleaner follows the driver's garbage collection, which may otherwise not happen for a long while.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def pack_columns(level: int = 1, **columns) -> bytes:
     """Arrow stream of equally long columns, compressed: one value to shuffle for many rows."""
     batch = pa.record_batch({k: v if isinstance(v, pa.Array) else pa.array(v) for k, v in columns.items()})
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=level))) as out:
         out.write_batch(batch)
     return sink.getvalue().to_pybytes()
 

@@ -33,15 +33,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from blotterlake.llm.common import by_bytes, byte_view, materialize, numpy_columns, pack_columns, ranges, text_parts, texts
+from blotterlake.llm.common import by_bytes, byte_view, free_shuffles, materialize, numpy_columns, pack_columns, ranges, text_parts, texts
 from blotterlake.llm.suffixes import common_prefixes, maximal_repeats, suffix_array
 
 LENGTH = 50
 GRAM = 20
-CHUNK_BYTES = 8 << 20
-BUCKET_BYTES = 8 << 20  # of text whose keys one bucket gets
+CHUNK_BYTES = 6 << 20
+BUCKET_BYTES = 6 << 20  # of text whose keys one bucket gets
 HOT_RUNS = 10_000
-SEGMENT = 1 << 20
+SEGMENT = 1 << 19
 SUFFIXES = 1 << 15
 LAST = np.iinfo(np.int64).max
 REPORT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
@@ -75,7 +75,7 @@ def stored_chunks(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
 
 def _chunk_row(chunk: int, held: list[pa.RecordBatch]) -> pa.RecordBatch:
     table = pa.Table.from_batches(held).combine_chunks()
-    body = pack_columns(**{f"c{i}": c.combine_chunks() for i, c in enumerate(table.columns)})
+    body = pack_columns(level=5, **{f"c{i}": c.combine_chunks() for i, c in enumerate(table.columns)})
     return pa.record_batch({"chunk": pa.array([chunk]), "body": pa.array([body], pa.binary())})
 
 
@@ -120,6 +120,7 @@ def least_grams(flat: np.ndarray) -> np.ndarray:
     Least values lie near zero; they are mixed again, one to one, so that keys are even over their range.
     """
     power = lambda e: np.uint64(pow(_BASE, e, 1 << 64))
+    # Hashes of 1, 2, 4, 8 and 16 bytes, each from two halves, and then of GRAM = 16 + 4.
     h1 = _BYTES[flat]
     h2 = h1[:-1] * power(1) + h1[1:]
     h4 = h2[:-2] * power(2) + h2[2:]
@@ -297,8 +298,10 @@ def _run_rows(number, chunk, key, start, length, doc, content, buckets) -> pa.Ta
         some = sent[lo:hi]
         rows["bucket"].append(b)
         rows["chunk"].append(number)
-        rows["strings"].append(pack_columns(key=key[first[s:e]], text=strings.slice(s, e - s)))
-        rows["places"].append(pack_columns(string=(string[some] - s).astype(np.uint32), at=start[some].astype(np.uint32), doc=ids[some]))
+        # Rising numbers travel as differences, which are small.
+        rows["strings"].append(pack_columns(level=5, gap=np.diff(key[first[s:e]], prepend=np.uint64(0)), text=strings.slice(s, e - s)))
+        step = np.diff(string[some], prepend=s).astype(np.uint32)
+        rows["places"].append(pack_columns(step=step, at=start[some].astype(np.uint32), doc=ids[some]))
     kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
     return pa.table({k: pa.array(v, t) for (k, v), t in zip(rows.items(), kinds)})
 
@@ -340,14 +343,14 @@ def _repeats(some: np.ndarray, strings: pa.Array, least_doc: np.ndarray) -> tupl
     found = maximal_repeats(flat, starts, ends, offsets[:-1][string], prefix, LENGTH)
     if not found:
         return tuple(np.empty(0, np.int64) for _ in range(3))
-    depth, first, last = np.array(found, np.int64).T
-    size = last - first + 1
-    at = ranges(first, size)
-    number = np.repeat(np.arange(len(found)), size)
-    docs = least_doc[some][string[at]]
-    later = docs > np.minimum.reduceat(docs, np.cumsum(size) - size)[number]
-    at, number = at[later], number[later]
-    string, begin, _, length = merged(string[at], starts[at], depth[number])
+    docs = least_doc[some][string]
+    covers = np.zeros(len(starts), np.int64)
+    for depth, first, last in found:  # deeper intervals come first: an occurrence takes its longest repeat
+        inside = slice(first, last + 1)
+        later = docs[inside] > docs[inside].min()
+        covers[inside] = np.where(later & (covers[inside] == 0), depth, covers[inside])
+    at = np.flatnonzero(covers)
+    string, begin, _, length = merged(string[at], starts[at], covers[at])
     return some[string], begin - offsets[:-1][string], length
 
 
@@ -373,12 +376,12 @@ def removed_places(runs: DataFrame) -> DataFrame:
         if group.column("bucket")[0].as_py() < 0:
             return pa.table({c: group.column(c).cast(kind[c]) for c in kind})
         tables = [pa.ipc.open_stream(b.as_buffer()).read_all() for b in group.column("strings")]
-        keys = np.concatenate([t.column("key").to_numpy() for t in tables])
+        keys = np.concatenate([np.cumsum(t.column("gap").to_numpy()) for t in tables])
         coded = pa.concat_arrays([t.column("text").combine_chunks() for t in tables]).dictionary_encode()
         code = coded.indices.to_numpy().astype(np.int64)
-        places = [numpy_columns(b.as_buffer(), "string", "at", "doc") for b in group.column("places")]
+        places = [numpy_columns(b.as_buffer(), "step", "at", "doc") for b in group.column("places")]
         shift = np.concatenate(([0], np.cumsum([t.num_rows for t in tables])[:-1]))
-        string = code[np.concatenate([p[0].astype(np.int64) + s for p, s in zip(places, shift)])]
+        string = code[np.concatenate([np.cumsum(p[0], dtype=np.int64) + s for p, s in zip(places, shift)])]
         at = np.concatenate([p[1].astype(np.int64) for p in places])
         doc = np.concatenate([p[2] for p in places])
         chunk = np.repeat(group.column("chunk").to_numpy(), [len(p[0]) for p in places])
@@ -418,7 +421,9 @@ def _apply(docs: DataFrame, result: Callable[[Chunk, np.ndarray], pa.Table], sch
     buckets = text_parts(docs.select("text"), BUCKET_BYTES)
     chunks = stored_chunks(docs, chunk_bytes)
     shared = materialize(shared_keys(chunks, buckets, id_at, text_at, hot_runs), "shared-keys")
+    free_shuffles(docs.sparkSession)
     gone = materialize(removed_places(shared_runs(chunks, shared, buckets, id_at, text_at)), "removed-places")
+    free_shuffles(docs.sparkSession)
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         chunk = Chunk(left.column("body")[0].as_buffer(), id_at, text_at)
