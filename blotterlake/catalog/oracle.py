@@ -693,7 +693,7 @@ for _key in ("nb_predict", "model_roundtrip"):
         _key, "SELECT id AS description, prediction, round(score, 6) AS score FROM nb_best",
         "ruled_text", more=MICRO_NB,
     )
-for _label, _source in (("lang", "documents"), ("toxic", "documents JOIN labels USING (doc_id)")):
+for _label, _source in (("lang", "documents"), ("toxic", "documents LEFT JOIN labels USING (doc_id)")):
     oracle(
         f"nb_documents_{_label}",
         f"SELECT doc_id, is_train, {_label}, prediction FROM docs JOIN nb_best ON id = doc_id",

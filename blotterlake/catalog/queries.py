@@ -672,8 +672,8 @@ def model_roundtrip(spark, sf):
 
 def labelled_documents(spark, sf, label: str) -> DataFrame:
     docs = table(spark, sf, "documents")
-    if label != "lang":
-        docs = docs.join(table(spark, sf, "labels"), "doc_id")
+    if label != "lang":  # documents without a label are scored too
+        docs = docs.join(table(spark, sf, "labels"), "doc_id", "left")
     docs = docs.withColumn("text", clean_text(F.col("text"), stem=False))
     return bayes.train_test_split(docs.select("doc_id", "text", label), "doc_id")
 

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from blotterlake.functions.keys import holdout_bucket
 from blotterlake.functions.text import tokens
 from blotterlake.session import materialize
+from blotterlake.sources.tables import remove_table, table_exists
 
 FEW_LABELS = 64
 SCORE_DIGITS = 9  # scores equal to this many digits tie, and the first label wins
@@ -119,8 +120,19 @@ def keep(model: NaiveBayesModel) -> NaiveBayesModel:
 
 
 def save(model: NaiveBayesModel, path: str) -> None:
-    for name, table in model._asdict().items():
+    """Write both tables, then the mark that they belong together and are whole.
+
+    An earlier model's mark goes first, so a run that ends half-way leaves none.
+    """
+    spark, stored = model.words.sparkSession, keep(model)
+    remove_table(spark, f"{path}/whole")
+    for name, table in stored._asdict().items():
         table.write.mode("overwrite").parquet(f"{path}/{name}")
+    spark.range(1).write.parquet(f"{path}/whole")
+
+
+def is_saved(spark: SparkSession, path: str) -> bool:
+    return table_exists(spark, f"{path}/whole")
 
 
 def load(spark: SparkSession, path: str) -> NaiveBayesModel:

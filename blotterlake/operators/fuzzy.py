@@ -11,11 +11,14 @@ Candidates come from an equi-join on exact blocking keys, never from all pairs:
   number of reductions has a fixed bound.
 
 Every pair within the distance meets on at least one blocking key, so the result equals that of
-comparing all pairs.
+comparing all pairs.  A pair is verified once: at the first segment it meets on, and only if the
+counts of its characters allow the distance.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from blotterlake.functions.distance import osa_distance, possible_swaps
@@ -63,39 +66,45 @@ def _segment_block(length: Column, index: Column, segment: Column) -> Column:
     return F.concat_ws("|", length, index, segment)
 
 
-def _key_blocks(key: Column, d: int, parts: int) -> Column:
-    """Blocks under which a key text is found."""
+def _segment(key: Column, index: Column, parts: int) -> Column:
     length = F.length(key)
+    start = _segment_start(length, index, parts)
+    return F.substr(key, start + 1, _segment_start(length, index + 1, parts) - start)
+
 
-    def block(i: Column) -> Column:
-        start = _segment_start(length, i, parts)
-        size = _segment_start(length, i + 1, parts) - start
-        return _segment_block(length, i, F.substr(key, start + 1, size))
+def _segment_texts(text: Column, key_length: Column, i: Column, d: int, parts: int) -> Column:
+    """Where segment i of a key of that length may be found in the text, the pieces there.
 
+    The surviving segment has exactly i edits before it, at most ``parts`` - 1 - i after it.
+    """
+    edits, longer_by = parts - 1, F.length(text) - key_length
+    first = F.greatest(-i, longer_by - (edits - i), F.ceil((longer_by - d) / 2).cast("int"))
+    last = F.least(i, longer_by + (edits - i), F.floor((longer_by + d) / 2).cast("int"))
+    start = _segment_start(key_length, i, parts)
+    size = _segment_start(key_length, i + 1, parts) - start
+    first, last = F.greatest(first, -start), F.least(last, F.length(text) - size - start)
+    places = F.when(first <= last, F.sequence(first, last))
+    piece = lambda s: F.substr(text, start + s + 1, size)
+    return F.coalesce(F.transform(places, piece), F.array().cast("array<string>"))
+
+
+def _key_blocks(key: Column, d: int, parts: int) -> Column:
+    """Blocks under which a key text is found."""
+    length = F.length(key)
+    block = lambda i: _segment_block(length, i, _segment(key, i, parts))
     cut = F.transform(F.sequence(F.lit(0), F.lit(parts - 1)), block)
     return F.when(length >= parts, cut).otherwise(_reduction_blocks(key, d))
 
 
 def _text_blocks(text: Column, d: int, parts: int) -> Column:
     """Blocks under which a text looks for keys."""
-    edits, length = parts - 1, F.length(text)
+    length = F.length(text)
     nothing = F.array().cast("array<string>")
 
     def segment_blocks(key_length: Column) -> Column:
-        longer_by = length - key_length
-
         def shifted(i: Column) -> Column:
-            # The surviving segment i has exactly i edits before it, at most edits - i after it.
-            first = F.greatest(
-                -i, longer_by - (edits - i), F.ceil((longer_by - d) / 2).cast("int")
-            )
-            last = F.least(i, longer_by + (edits - i), F.floor((longer_by + d) / 2).cast("int"))
-            start = _segment_start(key_length, i, parts)
-            size = _segment_start(key_length, i + 1, parts) - start
-            first, last = F.greatest(first, -start), F.least(last, length - size - start)
-            places = F.when(first <= last, F.sequence(first, last))
-            block = lambda s: _segment_block(key_length, i, F.substr(text, start + s + 1, size))
-            return F.coalesce(F.transform(places, block), nothing)
+            pieces = _segment_texts(text, key_length, i, d, parts)
+            return F.transform(pieces, lambda piece: _segment_block(key_length, i, piece))
 
         return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(parts - 1)), shifted))
 
@@ -105,11 +114,49 @@ def _text_blocks(text: Column, d: int, parts: int) -> Column:
     return F.concat(F.coalesce(cut, nothing), F.coalesce(short, nothing))
 
 
-def near_pairs(texts: DataFrame, keys: DataFrame, *, max_distance: int, metric: str) -> DataFrame:
-    """(text, key, edits): every pair within ``max_distance``, and for ``osa`` also those that
-    swaps could bring there.  ``edits`` is the Levenshtein distance.  A pair may come repeatedly.
+CLASSES, LEVELS = 28, 7  # kinds of character, and how many of a kind are told apart
+
 
-    Both inputs have one column and distinct non-null values.
+def _letters(text: Column) -> Column:
+    """Four numbers whose bits count characters by kind: n of a kind set its first min(n, 7) bits.
+
+    An edit changes the count of two kinds by one at most, so two bits.
+    """
+    kinds = F.transform(F.split(text, ""), lambda c: F.pmod(F.ascii(c), F.lit(CLASSES)))
+
+    def bits(kind: Column, place: int) -> Column:
+        n = F.least(F.size(F.filter(kinds, lambda k: k == kind)), F.lit(LEVELS))
+        ones = F.pow(F.lit(2.0), n).cast("bigint") - 1
+        return F.shiftleft(ones, place * LEVELS)
+
+    per_number = CLASSES // 4
+    numbers = []
+    for first in range(0, CLASSES, per_number):
+        of_kinds = [bits(F.lit(first + i), i) for i in range(per_number)]
+        numbers.append(reduce(lambda a, b: a.bitwiseOR(b), of_kinds))
+    return F.array(*numbers)
+
+
+def _may_be_near(left: Column, right: Column, max_distance: int) -> Column:
+    """False only where the counts of characters rule the distance out."""
+    changed = [F.bit_count(left[i].bitwiseXOR(right[i])) for i in range(4)]
+    return sum(changed[1:], changed[0]) <= 2 * max_distance
+
+
+def _first_common_segment(text: Column, key: Column, d: int, parts: int) -> Column:
+    """The lowest segment of the key that the text has at a place within reach, by itself."""
+    length = F.length(key)
+    at = F.sequence(F.lit(0), F.lit(parts - 1))
+    has = lambda i: F.array_contains(_segment_texts(text, length, i, d, parts), _segment(key, i, parts))
+    return F.array_min(F.filter(at, has))
+
+
+def candidate_pairs(texts: DataFrame, keys: DataFrame, *, max_distance: int, metric: str) -> DataFrame:
+    """(text, key): the pairs to verify, each once; all within ``max_distance`` are among them.
+
+    Both inputs have one column and distinct non-null values.  A pair that meets on several blocks is
+    kept at the first: for segments a test on the pair itself, for the short keys a distinct.  Pairs whose
+    counts of characters differ too much for the distance are dropped before.
     """
     parts = _parts(max_distance, metric)
     spark = texts.sparkSession
@@ -117,14 +164,31 @@ def near_pairs(texts: DataFrame, keys: DataFrame, *, max_distance: int, metric:
         spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
     )
     # A text makes a few hundred probes, so the few bytes of input must not end in one task.
-    probes = texts.toDF("text").repartition(tasks, "text").select(
-        "text", F.explode(_text_blocks(F.col("text"), max_distance, parts)).alias("block")
+    dealt = texts.toDF("text").repartition(tasks, "text").withColumn("text_letters", _letters(F.col("text")))
+    probes = dealt.select(
+        "text", "text_letters",
+        F.explode(F.array_distinct(_text_blocks(F.col("text"), max_distance, parts))).alias("block"),
     )
-    index = keys.toDF("key").select(
-        "key", F.explode(_key_blocks(F.col("key"), max_distance, parts)).alias("block")
+    index = keys.toDF("key").withColumn("key_letters", _letters(F.col("key"))).select(
+        "key", "key_letters", F.explode(_key_blocks(F.col("key"), max_distance, parts)).alias("block")
     )
-    edits = F.levenshtein("text", "key", parts - 1)
-    return probes.join(index, "block").select("text", "key", edits.alias("edits")).where("edits >= 0")
+    near = _may_be_near(F.col("text_letters"), F.col("key_letters"), max_distance)
+    close = F.abs(F.length("text") - F.length("key")) <= max_distance
+    met = probes.join(index, "block").where(close & near)
+    cut = F.length("key") >= parts
+    number = F.split("block", r"\|")[1].cast("int")
+    first = _first_common_segment(F.col("text"), F.col("key"), max_distance, parts)
+    by_segment = met.where(cut).where(number == first).select("text", "key")
+    return by_segment.union(met.where(~cut).select("text", "key").distinct())
+
+
+def near_pairs(texts: DataFrame, keys: DataFrame, *, max_distance: int, metric: str) -> DataFrame:
+    """(text, key, edits): every pair within ``max_distance``, and for ``osa`` also those that
+    swaps could bring there, once each.  ``edits`` is the Levenshtein distance.
+    """
+    edits = F.levenshtein("text", "key", _parts(max_distance, metric) - 1)
+    pairs = candidate_pairs(texts, keys, max_distance=max_distance, metric=metric)
+    return pairs.select("text", "key", edits.alias("edits")).where("edits >= 0")
 
 
 def fuzzy_match(

@@ -120,22 +120,9 @@ def _train(known: DataFrame, label: str, settings: Settings, model_path: str | N
     if model_path is None:
         model = build(weight)
     else:
-        fitted: list[bayes.NaiveBayesModel] = []
-
-        def table(name: str):
-            def make():
-                if not fitted:
-                    fitted.append(build(weight))
-                return getattr(fitted[0], name)
-
-            return make
-
-        model = bayes.NaiveBayesModel(
-            *[
-                read_or_build(spark, f"{model_path}/{n}", table(n), overwrite=overwrite)
-                for n in bayes.NaiveBayesModel._fields
-            ]
-        )
+        if overwrite or not bayes.is_saved(spark, model_path):
+            bayes.save(build(weight), model_path)
+        model = bayes.load(spark, model_path)
     judged = build("n_train") if settings.refit_full else model
     holdout = known.where("n_test > 0").select("description", "text", "n_test", F.col(label).alias("label"))
     said = bayes.predict(judged, holdout, "description", "text")

@@ -116,10 +116,22 @@ def crosswalk_lookups(crosswalk: DataFrame) -> CrosswalkLookups:
     )
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    """File system and path objects."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
+    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), found
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """True when a write to ``path`` was completed (its success marker is there)."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+    system, marker = _hadoop_path(spark, f"{path.rstrip('/')}/_SUCCESS")
+    return system.exists(marker)
+
+
+def remove_table(spark: SparkSession, path: str) -> None:
+    """Delete a stored table, if there is one."""
+    system, folder = _hadoop_path(spark, path)
+    system.delete(folder, True)
 
 
 FILE_BYTES = 256 << 20  # of input that a file of a partitioned table is made from

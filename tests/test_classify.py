@@ -11,7 +11,7 @@ from blotterlake.config import Settings
 from blotterlake.functions.stem import stem_word
 from blotterlake.functions.text import clean_text
 from blotterlake.operators import bayes, lookups
-from blotterlake.operators.fuzzy import fuzzy_match
+from blotterlake.operators.fuzzy import candidate_pairs, fuzzy_match
 from blotterlake.operators.lookups import attach_resolved, pivot_charges, unpivot_charges
 from blotterlake.operators.quality import (
     accuracy, binary_confusion, confusion_cells, confusion_matrix, confusion_pairs, coverage_report,
@@ -327,7 +327,21 @@ def test_stored_run_is_reused(spark):
     )
     again = cascade.run_classify(spark, df.limit(0), crosswalk, out, options)
     assert first.collect() == again.collect()
-    assert tables.table_exists(spark, f"{models}/micro/words")
+    assert bayes.is_saved(spark, f"{models}/micro")
+
+
+def test_a_half_written_model_is_rebuilt_whole(spark):
+    """Words of one fit and labels of another must never be read as one model."""
+    path = scratch_path(spark, "half")
+    fit = lambda *rows: bayes.fit(spark.createDataFrame(rows, "text string, label string"), "text", "label")
+    bayes.save(fit(("one two", "A"), ("three", "B")), path)
+    assert bayes.is_saved(spark, path)
+    tables.remove_table(spark, f"{path}/whole")
+    tables.remove_table(spark, f"{path}/labels")
+    assert not bayes.is_saved(spark, path)
+    bayes.save(fit(("one two", "X"), ("three", "Y")), path)
+    assert {r.label for r in bayes.load(spark, path).labels.collect()} == {"X", "Y"}
+    assert {r.label for r in bayes.weights(bayes.load(spark, path)).collect()} == {"X", "Y"}
 
 
 def test_accuracy_and_matrices(spark):
@@ -352,3 +366,15 @@ def test_accuracy_and_matrices(spark):
 def test_materialize_survives_in_shared_folder(spark):
     stored = materialize(spark.range(5).toDF("x"), "test")
     assert stored.count() == 5 and "Range" not in stored._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_fuzzy_pairs_are_verified_once_and_few(spark):
+    """On charge-like names: each pair once, far fewer than a length filter leaves."""
+    words = ["theft", "assault", "battery", "robbery", "burglary", "fraud", "arson", "trespass", "simple", "armed", "retail", "domestic"]
+    names = [f"{a} {b}" for a in words for b in words]
+    texts = [n.replace("e", "3", 1) for n in names] + ["theft", "tehft", "arsn", "fraud x"]
+    df = lambda values: spark.createDataFrame([(v,) for v in dict.fromkeys(values)], "s string")
+    keys = names + ["theft", "arson", "dui"]
+    pairs = [tuple(r) for r in candidate_pairs(df(texts), df(keys), max_distance=4, metric="osa").collect()]
+    by_length = sum(abs(len(a) - len(b)) <= 4 for a in set(texts) for b in set(keys))
+    assert len(pairs) == len(set(pairs)) and len(pairs) < by_length / 4
