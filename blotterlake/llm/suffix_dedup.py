@@ -14,7 +14,7 @@ travel as one short string (a run).  Three rounds over stored chunks of document
    to the left are the maximal repeat groups.  Each occurrence in a document that is not the group's
    smallest is removed, and the places go back to the chunks.
 
-A key with over ``HOT_RUNS`` runs is dealt again: each of its suffixes goes by a hash of its first ``LENGTH`` bytes.
+A key with over ``HOT_SUFFIXES`` suffixes is dealt again: each of its suffixes goes by a hash of its first ``LENGTH`` bytes.
 
 Defined cases: a null text is empty (and stays null); texts under ``LENGTH`` bytes lose nothing; a null doc_id comes after all
 others; rows with the same doc_id do not remove from each other; an empty table gives no rows.  Extra columns are
@@ -40,9 +40,10 @@ LENGTH = 50
 GRAM = 20
 CHUNK_BYTES = 6 << 20
 BUCKET_BYTES = 6 << 20  # of text whose keys one bucket gets
-HOT_RUNS = 10_000
+HOT_SUFFIXES = 100_000
 SEGMENT = 1 << 19
 SUFFIXES = 1 << 15
+SUFFIX_BYTES = 256  # what is compared of a suffix; at least LENGTH
 LAST = np.iinfo(np.int64).max
 REPORT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
@@ -188,18 +189,19 @@ def _buckets(keys: np.ndarray, buckets: int) -> np.ndarray:
 # ---- round 1: which keys do two documents have ---------------------------------------------
 
 
-def shared_keys(chunks: DataFrame, buckets: int, id_at: int, text_at: int, hot_runs: int = HOT_RUNS) -> DataFrame:
+def shared_keys(chunks: DataFrame, buckets: int, id_at: int, text_at: int, hot: int = HOT_SUFFIXES) -> DataFrame:
     """(chunk, bucket, shared): per distinct key of the chunk in order 0 (one document's), 1 (shared) or 2 (hot)."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, body in zip(batch.column(0).to_pylist(), batch.column(1)):
-                keys, _, _, doc = Chunk(body.as_buffer(), id_at, text_at).runs()
+                keys, _, count, doc = Chunk(body.as_buffer(), id_at, text_at).runs()
                 order = np.argsort(keys, kind="stable")
-                keys, doc = keys[order], doc[order]
+                keys, doc, count = keys[order], doc[order], count[order]
                 first = np.flatnonzero(np.diff(keys, prepend=keys[:1] + np.uint64(1)))
                 runs = np.diff(np.append(first, len(keys)))
                 several = doc[first] != doc[first + runs - 1] if len(first) else np.empty(0, bool)
+                suffixes = np.add.reduceat(count, first) if len(first) else count
                 keys = keys[first]
                 present, starts = np.unique(_buckets(keys, buckets), return_index=True)
                 rows = []
@@ -208,7 +210,7 @@ def shared_keys(chunks: DataFrame, buckets: int, id_at: int, text_at: int, hot_r
                     head, gap = int(gap[0]), gap.copy()
                     gap[0] = 0
                     small = gap.astype(np.uint32) if gap.max() < 1 << 32 else gap
-                    rows.append((head, pack_columns(gap=small, runs=runs[a:b].astype(np.uint32), several=several[a:b])))
+                    rows.append((head, pack_columns(gap=small, suffixes=suffixes[a:b].astype(np.uint32), several=several[a:b])))
                 yield pa.record_batch({
                     "bucket": pa.array(present), "chunk": pa.array([number] * len(rows), pa.int64()),
                     "head": pa.array([h for h, _ in rows], pa.int64()), "keys": pa.array([k for _, k in rows], pa.binary()),
@@ -217,14 +219,14 @@ def shared_keys(chunks: DataFrame, buckets: int, id_at: int, text_at: int, hot_r
     def decide(group: pa.Table) -> pa.Table:
         parts = []
         for head, blob in zip(group.column("head").to_pylist(), group.column("keys")):
-            gap, runs, several = numpy_columns(blob.as_buffer(), "gap", "runs", "several")
-            parts.append((np.cumsum(gap.astype(np.uint64)) + np.uint64(head), runs, several))
+            gap, suffixes, several = numpy_columns(blob.as_buffer(), "gap", "suffixes", "several")
+            parts.append((np.cumsum(gap.astype(np.uint64)) + np.uint64(head), suffixes, several))
         keys = np.concatenate([k for k, _, _ in parts])
         known, which = np.unique(keys, return_inverse=True)
         chunks_with = np.bincount(which)
         local = np.bincount(which, np.concatenate([s for _, _, s in parts])) > 0
-        runs = np.bincount(which, np.concatenate([r for _, r, _ in parts]))
-        shared = np.where((chunks_with > 1) | local, np.where(runs > hot_runs, 2, 1), 0).astype(np.uint8)[which]
+        suffixes = np.bincount(which, np.concatenate([n for _, n, _ in parts]))
+        shared = np.where((chunks_with > 1) | local, np.where(suffixes > hot, 2, 1), 0).astype(np.uint8)[which]
         ends = np.cumsum([len(k) for k, _, _ in parts])[:-1]
         replies = [pack_columns(shared=x) for x in np.split(shared, ends)]
         return pa.table({"chunk": group.column("chunk"), "bucket": group.column("bucket"), "shared": pa.array(replies, pa.binary())})
@@ -255,9 +257,9 @@ def shared_runs(chunks: DataFrame, shared: DataFrame, buckets: int, id_at: int,
         for bucket, blob in zip(right.column("bucket").to_pylist(), right.column("shared")):
             (flags[edges[bucket] : edges[bucket + 1]],) = numpy_columns(blob.as_buffer(), "shared")
         of_run = flags[which] if len(which) else np.empty(0, np.uint8)
-        hot = np.flatnonzero(of_run == 2)
+        single = np.flatnonzero(of_run == 2)
         runs = np.flatnonzero(of_run == 1)
-        key, start, count, doc = _with_hot(keys, start, count, doc, runs, hot)
+        key, start, count, doc = _with_hot(keys, start, count, doc, runs, single)
         length = count + LENGTH - 1
         content = content_hashes(chunk.flat, start, length)
         key[len(runs) :] = content[len(runs) :] >> np.uint64(16)
@@ -336,11 +338,12 @@ def _repeats(some: np.ndarray, strings: pa.Array, least_doc: np.ndarray) -> tupl
     suffixes = np.maximum(sizes - LENGTH + 1, 0)
     string = np.repeat(np.arange(len(some)), suffixes)
     starts = ranges(offsets[:-1], suffixes)
-    ends = offsets[1:][string]
+    # Longer repeats are covered by the suffixes that start further on in them.
+    ends = np.minimum(offsets[1:][string], starts + SUFFIX_BYTES)
     order = suffix_array(flat.tobytes(), starts, ends)
     string, starts, ends = string[order], starts[order], ends[order]
     prefix = common_prefixes(flat, starts, ends)
-    found = maximal_repeats(flat, starts, ends, offsets[:-1][string], prefix, LENGTH)
+    found = maximal_repeats(flat, starts, offsets[:-1][string], prefix, LENGTH, SUFFIX_BYTES)
     if not found:
         return tuple(np.empty(0, np.int64) for _ in range(3))
     docs = least_doc[some][string]
@@ -415,12 +418,12 @@ def removed_places(runs: DataFrame) -> DataFrame:
 # ---- the result -----------------------------------------------------------------------------
 
 
-def _apply(docs: DataFrame, result: Callable[[Chunk, np.ndarray], pa.Table], schema: str | StructType, hot_runs: int, chunk_bytes: int) -> DataFrame:
+def _apply(docs: DataFrame, result: Callable[[Chunk, np.ndarray], pa.Table], schema: str | StructType, hot: int, chunk_bytes: int) -> DataFrame:
     """``result(chunk, gone)`` of every chunk; ``gone`` marks the bytes to remove."""
     id_at, text_at = docs.columns.index("doc_id"), docs.columns.index("text")
     buckets = text_parts(docs.select("text"), BUCKET_BYTES)
     chunks = stored_chunks(docs, chunk_bytes)
-    shared = materialize(shared_keys(chunks, buckets, id_at, text_at, hot_runs), "shared-keys")
+    shared = materialize(shared_keys(chunks, buckets, id_at, text_at, hot), "shared-keys")
     free_shuffles(docs.sparkSession)
     gone = materialize(removed_places(shared_runs(chunks, shared, buckets, id_at, text_at)), "removed-places")
     free_shuffles(docs.sparkSession)
@@ -437,7 +440,7 @@ def _apply(docs: DataFrame, result: Callable[[Chunk, np.ndarray], pa.Table], sch
     return chunks.groupBy("chunk").cogroup(gone.groupBy("chunk")).applyInArrow(finish, schema)
 
 
-def repeat_report(docs: DataFrame, *, hot_runs: int = HOT_RUNS, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+def repeat_report(docs: DataFrame, *, hot: int = HOT_SUFFIXES, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and the SHA-256 of what is kept, per document."""
 
     def report(chunk: Chunk, gone: np.ndarray) -> pa.Table:
@@ -456,10 +459,10 @@ def repeat_report(docs: DataFrame, *, hot_runs: int = HOT_RUNS, chunk_bytes: int
             "n_spans": pa.array((spans[b] - spans[a]).astype(np.int64)), "kept_sha256": pa.array(hashes, pa.string()),
         })
 
-    return _apply(texts(docs), report, REPORT, hot_runs, chunk_bytes)
+    return _apply(texts(docs), report, REPORT, hot, chunk_bytes)
 
 
-def remove_repeats(docs: DataFrame, *, hot_runs: int = HOT_RUNS, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+def remove_repeats(docs: DataFrame, *, hot: int = HOT_SUFFIXES, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """The documents with repeats cut out of their texts, and ``n_chars``, if there, set to match.
 
     Where a cut falls inside a character, the rest of that character goes too.
@@ -482,5 +485,5 @@ def remove_repeats(docs: DataFrame, *, hot_runs: int = HOT_RUNS, chunk_bytes: in
     names = [c if c in ("doc_id", "text") else f"c{i}" for i, c in enumerate(docs.columns)]  # any name may occur twice
     plain = docs.toDF(*names)
     out_schema = plain.schema
-    result = _apply(plain, cut, out_schema, hot_runs, chunk_bytes)
+    result = _apply(plain, cut, out_schema, hot, chunk_bytes)
     return result.toDF(*[f.name for f in schema.fields])

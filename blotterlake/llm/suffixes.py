@@ -52,14 +52,15 @@ def intervals(prefix: np.ndarray, least: int) -> list[tuple[int, int, int]]:
 
 
 def maximal_repeats(
-    flat: np.ndarray, starts: np.ndarray, ends: np.ndarray, string_starts: np.ndarray, prefix: np.ndarray, least: int
+    flat: np.ndarray, starts: np.ndarray, string_starts: np.ndarray, prefix: np.ndarray, least: int, most: int
 ) -> list[tuple[int, int, int]]:
     """The intervals whose occurrences differ in the byte to their left.
 
-    Suffixes are given in suffix-array order.  A string's beginning has no byte to its left and
-    counts as different from all.  What is left out extends to the left in all its occurrences.
+    Suffixes are given in suffix-array order, none longer than ``most``.  A string's beginning has no byte
+    to its left and counts as different from all.  What is left out extends to the left in all its
+    occurrences; a repeat of ``most`` bytes, which may go on beyond them, is never left out.
     """
     left = np.where(starts > string_starts, flat[np.maximum(starts - 1, 0)].astype(np.int64), -1)
     # changes[i]: how often the left byte changed up to suffix i; a beginning changes on both sides.
     differs = np.concatenate(([0], np.cumsum((left[1:] != left[:-1]) | (left[1:] < 0) | (left[:-1] < 0))))
-    return [(d, a, b) for d, a, b in intervals(prefix, least) if differs[b] > differs[a]]
+    return [(d, a, b) for d, a, b in intervals(prefix, least) if d >= most or differs[b] > differs[a]]

@@ -146,12 +146,12 @@ def test_suffix_query(spark):
     assert in_order(QUERIES["op3_suffix_dedup"](spark, SF).collect()) == in_order(expected)
 
 
-@pytest.mark.parametrize("hot_runs,chunk_bytes", [(100_000, 8 << 20), (2, 60_000), (100_000, 60_000)])
-def test_suffix_report_of_odd_rows(odd, hot_runs, chunk_bytes):
+@pytest.mark.parametrize("hot,chunk_bytes", [(100_000, 8 << 20), (2, 60_000), (100_000, 60_000)])
+def test_suffix_report_of_odd_rows(odd, hot, chunk_bytes):
     rows = [r for r in odd_rows() if len(r[1] or "") < 100_000]
     expected = [r[:5] for r in brute_repeats(encoded(rows))]
     few = odd.where("text is null or length(text) < 100000")
-    found = suffix_dedup.repeat_report(few, hot_runs=hot_runs, chunk_bytes=chunk_bytes)
+    found = suffix_dedup.repeat_report(few, hot=hot, chunk_bytes=chunk_bytes)
     assert in_order(found.collect()) == in_order(expected)
 
 
@@ -178,7 +178,19 @@ def test_nested_and_overlapping_passages(spark):
         rows.append((int(rng.integers(0, 30)), "".join(parts), "en", "a", 0))
     expected = [r[:5] for r in brute_repeats(encoded(rows))]
     for hot in (100_000, 3):
-        found = suffix_dedup.repeat_report(as_documents(spark, rows), hot_runs=hot, chunk_bytes=2000)
+        found = suffix_dedup.repeat_report(as_documents(spark, rows), hot=hot, chunk_bytes=2000)
+        assert in_order(found.collect()) == in_order(expected)
+
+
+def test_periodic_and_long_repeats(spark):
+    """Texts of one repeated word in many lengths, and passages longer than what is compared of a suffix."""
+    rng = np.random.default_rng(6)
+    long = "".join(chr(97 + int(x)) for x in rng.integers(0, 26, 900))
+    rows = [(int(rng.integers(0, 40)), f"{'Und ' * int(n)}{'x' * int(n % 3)}", "de", "a", 0) for n in rng.integers(10, 300, 25)]
+    rows += [(100 + i, long[a:b] + str(i), "en", "a", 0) for i, (a, b) in enumerate([(0, 900), (100, 700), (0, 400), (350, 900), (1, 899), (644, 900)])]
+    expected = [r[:5] for r in brute_repeats(encoded(rows))]
+    for hot in (100_000, 500):
+        found = suffix_dedup.repeat_report(as_documents(spark, rows), hot=hot, chunk_bytes=9000)
         assert in_order(found.collect()) == in_order(expected)
 
 
@@ -205,7 +217,7 @@ def test_interval_tree_gives_all_maximal_repeats(texts, least):
     flat = np.frombuffer(data, np.uint8)
     prefix = common_prefixes(flat, starts, ends)
     found = set()
-    for depth, a, b in maximal_repeats(flat, starts, ends, first, prefix, least):
+    for depth, a, b in maximal_repeats(flat, starts, first, prefix, least, 1 << 30):
         word = data[starts[a] : starts[a] + depth]
         found.add((word, tuple(sorted(starts[a : b + 1].tolist()))))
     # Brute force: a repeat is maximal if its occurrences differ to the left and to the right.
