@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHE_WORDS = 800_000  # words remembered per Python worker; a full memory is emptied
+CACHE_WORDS = 400_000  # words remembered per Python worker; a full memory is emptied
 END_ID = 1
 _ENCODERS: dict[str, WordEncoder] = {}
 
