@@ -1,7 +1,8 @@
 """Nearest neighbours by a hierarchical navigable small-world graph per shard.
 
-Vectors are dealt to shards of about ``SHARD_ROWS`` by a hash of vec_id.  A shard's graph is one row of flat arrays: ids,
-vectors, and per layer the members, neighbour offsets and neighbours.  Candidates for a node's neighbours are all
+Vectors are dealt to shards of about ``SHARD_ROWS`` by a hash of vec_id.  A shard's graph is over its distinct vectors, so
+that equal ones do not use up each other's links and the search's places, and is one row of flat arrays: vectors, the ``k`` + 1 smallest
+ids of each (no answer needs more), and per layer the members, neighbour offsets and neighbours.  Candidates for a node's neighbours are all
 members of its layer (a shard is small enough for a blocked matrix product); of them the diverse ones are kept, and links run
 both ways.  Blocks of queries meet every shard by an equi-join on the shard number, descend from the top layer and
 search the lowest with ``ef`` open candidates; each shard returns its ``k`` nearest, and the shards' answers are merged.  A
@@ -21,14 +22,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from blotterlake.llm.common import materialize
+from blotterlake.llm.common import materialize, ranges
 
 SHARD_ROWS = 8192
 LINKS = 16  # kept on upper layers, twice as many on the lowest
 CANDIDATES = 64
 EF = 160
 BLOCK = 256  # queries that travel together
-GRAPH = "dim int, shard long, ids binary, vectors binary, layers array<struct<members: binary, offsets: binary, neighbours: binary>>"
+GRAPH = "dim int, shard long, ids binary, id_offsets binary, vectors binary, layers array<struct<members: binary, offsets: binary, neighbours: binary>>"
 FOUND = "query_id long, vec_id long, score double"
 
 
@@ -96,6 +97,18 @@ def build_graph(ids: np.ndarray, vectors: np.ndarray) -> list[tuple[np.ndarray,
     return layers
 
 
+def distinct_vectors(ids: np.ndarray, vectors: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct vectors, offsets into ids, and of ascending ``ids`` the ``most`` first of each."""
+    vectors = vectors + 0.0  # no negative zeros
+    seen: dict[bytes, int] = {}
+    owner = np.array([seen.setdefault(v.tobytes(), len(seen)) for v in vectors])
+    order = np.argsort(owner, kind="stable")
+    counts = np.bincount(owner)
+    starts = np.cumsum(counts) - counts
+    kept = order[np.arange(len(ids)) - np.repeat(starts, counts) < most]
+    return vectors[order[starts]], np.concatenate(([0], np.cumsum(np.minimum(counts, most)))).astype(np.int64), ids[kept]
+
+
 def search_graph(layers: list, vectors: np.ndarray, query: np.ndarray, ef: int) -> np.ndarray:
     """Places of about ``ef`` near vectors."""
     at = int(layers[-1][0][0])
@@ -162,19 +175,20 @@ def _dealt(rows: DataFrame, per_group: int, name: str) -> DataFrame:
     return rows.join(sizes, "dim").withColumn(name, F.pmod(F.xxhash64("vec_id", F.lit(name)), F.col(f"{name}s")))
 
 
-def build_index(rows: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """One row per shard, stored."""
+def build_index(rows: DataFrame, shard_rows: int = SHARD_ROWS, k: int = 10) -> DataFrame:
+    """One row per shard, stored; for answers of up to ``k`` rows."""
 
     def build(group: pa.Table) -> pa.Table:
         group = group.sort_by("vec_id")
         ids, vectors = group.column("vec_id").to_numpy(), _matrix(group.column("vector"))
+        vectors, id_offsets, ids = distinct_vectors(ids, vectors, k + 1)
         layers = [
-            {"members": m.tobytes(), "offsets": o.tobytes(), "neighbours": n.tobytes()} for m, o, n in build_graph(ids, vectors)
+            {"members": m.tobytes(), "offsets": o.tobytes(), "neighbours": n.tobytes()} for m, o, n in build_graph(np.arange(len(vectors)), vectors)
         ]
         kind = pa.list_(pa.struct([("members", pa.binary()), ("offsets", pa.binary()), ("neighbours", pa.binary())]))
         return pa.table({
             "dim": pa.array([vectors.shape[1]], pa.int32()), "shard": group.column("shard").slice(0, 1),
-            "ids": pa.array([ids.tobytes()], pa.binary()), "vectors": pa.array([vectors.tobytes()], pa.binary()),
+            "ids": pa.array([ids.tobytes()], pa.binary()), "id_offsets": pa.array([id_offsets.tobytes()], pa.binary()), "vectors": pa.array([vectors.tobytes()], pa.binary()),
             "layers": pa.array([layers], kind),
         })
 
@@ -187,7 +201,7 @@ def nearest(rows: DataFrame, queries: DataFrame, *, k: int = 10, ef: int = EF, s
 
     Both are tables of ``usable``; a row with the query's id is not its candidate.
     """
-    graphs = build_index(rows, shard_rows)
+    graphs = build_index(rows, shard_rows, k)
 
     def block(group: pa.Table) -> pa.Table:
         vectors = _matrix(group.column("vector"))
@@ -200,7 +214,9 @@ def nearest(rows: DataFrame, queries: DataFrame, *, k: int = 10, ef: int = EF, s
         for batch in batches:
             for row in batch.to_pylist():
                 ids = np.frombuffer(row["ids"], np.int64)
-                vectors = np.frombuffer(row["vectors"]).reshape(len(ids), -1)
+                id_offsets = np.frombuffer(row["id_offsets"], np.int64)
+                vectors = np.frombuffer(row["vectors"]).reshape(len(id_offsets) - 1, -1)
+                place = np.repeat(np.arange(len(vectors)), np.diff(id_offsets))  # of each id
                 layers = [
                     (np.frombuffer(x["members"], np.int32), np.frombuffer(x["offsets"], np.int64), np.frombuffer(x["neighbours"], np.int32))
                     for x in row["layers"]
@@ -209,10 +225,12 @@ def nearest(rows: DataFrame, queries: DataFrame, *, k: int = 10, ef: int = EF, s
                 out_q, out_v, out_s = [], [], []
                 for query_id, query in zip(asked, np.frombuffer(row["query_vectors"]).reshape(len(asked), -1)):
                     near = search_graph(layers, vectors, query, max(ef, k + 1))
+                    whole = len(near) >= min(k + 1, len(vectors))
+                    near = ranges(id_offsets[near], id_offsets[near + 1] - id_offsets[near])
                     near = near[ids[near] != query_id]
-                    if len(near) < k:  # a small shard, or a part of the graph without a way in
+                    if len(near) < k or not whole:  # a small shard, or a part of the graph without a way in
                         near = np.flatnonzero(ids != query_id)
-                    score = np.sqrt(((vectors[near] - query) ** 2).sum(1))
+                    score = np.sqrt(((vectors[place[near]] - query) ** 2).sum(1))
                     best = np.lexsort((ids[near], score))[:k]
                     out_q.append(np.full(len(best), query_id))
                     out_v.append(ids[near[best]])

@@ -79,6 +79,26 @@ def test_equal_vectors_fill_a_shard(spark):
     assert len(found) == 20 and all(score == 0 for _, _, score in found)
 
 
+def test_recall_with_a_third_of_the_rows_equal(spark):
+    """By vec_id, for queries that are copies and for the others."""
+    rng = np.random.default_rng(4)
+    centres = rng.normal(0, 1, (20, 32))
+    vectors = (centres[rng.integers(0, 20, 3000)] + rng.normal(0, 0.3, (3000, 32))).astype(np.float32)
+    copies = rng.random(3000) < 1 / 3
+    vectors[copies] = vectors[0]
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(vectors)], VECTORS)
+    rows = hnsw.usable(df)
+    expected = exact(list(range(3000)), vectors.astype(float), range(0, 3000, 10))
+    found = {}
+    for r in hnsw.nearest(rows, hnsw.query_rows(rows, 10)).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    recall = {q: len({v for v, _ in near} & found[q]) / 10 for q, near in expected.items()}
+    of_copies = [x for q, x in recall.items() if copies[q]]
+    others = [x for q, x in recall.items() if not copies[q]]
+    print("recall of copies", np.mean(of_copies), "of others", np.mean(others))
+    assert np.mean(of_copies) == 1 and np.mean(others) >= 0.95
+
+
 # ---- URLs ---------------------------------------------------------------------------------
 
 
