@@ -6,11 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from blotterlake.llm import oracles
 from blotterlake.llm.common import materialize, prepare, scratch_path, table
 from blotterlake.llm.tokens import default_tokenizer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op11_vector_codes": oracles.vector_codes(),
+    "op12_spelling_variants": oracles.spelling_variants(),
+    "op13_line_dedup": oracles.line_dedup(),
+}
 
 
 def query(name: str):
@@ -98,3 +103,24 @@ def suffix_dedup(spark, sf_dir):
     from blotterlake.llm.suffix_dedup import repeat_report
 
     return repeat_report(table(spark, sf_dir, "documents"))
+
+
+@query("op11_vector_codes")
+def vector_codes(spark, sf_dir):
+    from blotterlake.llm.vector_codes import code_report
+
+    return code_report(table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_spelling_variants")
+def spelling_variants(spark, sf_dir):
+    from blotterlake.llm.variants import spelling_variants
+
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+@query("op13_line_dedup")
+def line_dedup(spark, sf_dir):
+    from blotterlake.llm.line_dedup import line_report
+
+    return line_report(table(spark, sf_dir, "documents"))
