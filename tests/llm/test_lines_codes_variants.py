@@ -272,7 +272,8 @@ def variant_rows():
                 w = w[:at] + rng.choice([rng.choice(letters), ""]) + w[at + rng.choice([0, 1]) :]
             words.append(w.upper() if rng.random() < 0.1 else w)
         rows.append((i, rng.choice([" ", ", ", "\n"]).join(words), "en", "a", 0))
-    return rows + [(None, rows[0][1], "en", "a", 0), rows[1], rows[1]]
+    chain = " ".join(["zzquart"] * 130 + ["zzquarts"] * 26 + ["zzquartsy"] * 5)
+    return rows + [(None, rows[0][1], "en", "a", 0), rows[1], rows[1], (5000, chain, "en", "a", 0)]
 
 
 def test_variants_equal_a_plain_version(spark):
