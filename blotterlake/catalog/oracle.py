@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from blotterlake.catalog.fixture import BEATS_SQL, CROSSWALK_SQL, INCIDENTS_SQL
 from blotterlake.config import CHARGE_TYPES, DROP_COLUMNS, REDACT_COLUMNS, SEVERITY_ORDER
+from blotterlake.functions.stem import (
+    ADJECTIVE_SUFFIXES, DERIVED_SUFFIXES, DROPPED_SUFFIXES, REGION_PREFIXES, SPECIAL_WORDS, STOP_AFTER_PLURAL,
+)
 from blotterlake.functions.text import LETTER_PAIRS, MARKED_LETTERS, PLAIN_LETTERS, STOP_WORDS
 
 SLOTS = (1, 2, 3, 4)
@@ -53,6 +56,84 @@ def clean(col: str) -> str:
     return f"trim(regexp_replace({out}, '[\\s\\x{{A0}}]+', ' ', 'g'))"
 
 
+def _suffix_case(suffixes, arm) -> str:
+    """CASE over suffixes, the longest first; ``arm`` gives the result of one."""
+    arms = " ".join(f"WHEN ends_with(w, {text(s)}) THEN {arm(s)}" for s in sorted(suffixes, key=len, reverse=True))
+    return f"CASE {arms} ELSE w END"
+
+
+def _cut(suffix: str) -> str:
+    return f"left(w, length(w) - {len(suffix)})"
+
+
+def stem_tables(source: str) -> dict[str, str]:
+    """stems(word, stem) of the distinct words that ``source`` selects: the published steps, one table each.
+
+    r1 and r2 are the numbers of letters before the two regions; ``done`` words change no more.
+    """
+    vowel_run, short_end = "'^.*?[aeiouy][^aeiouy]'", "'([^aeiouy][aeiouy][^aeiouywxY]|^[aeiouy][^aeiouy])$'"
+    prefix = " ".join(f"WHEN starts_with(w, {text(p)}) THEN {len(p)}" for p in REGION_PREFIXES)
+    special = " ".join(f"WHEN {text(a)} THEN {text(b)}" for a, b in SPECIAL_WORDS.items())
+
+    def derived(s: str) -> str:
+        before = {"ogi": " AND right(b, 1) = 'l'", "li": " AND right(b, 1) IN ('c','d','e','g','h','k','m','n','r','t')"}
+        return f"CASE WHEN length({_cut(s)}) >= r1{before.get(s, '').replace('b,', _cut(s) + ',')} THEN {_cut(s)} || {text(DERIVED_SUFFIXES[s])} ELSE w END"
+
+    def adjective(s: str) -> str:
+        region = "r2" if s == "ative" else "r1"
+        return f"CASE WHEN length({_cut(s)}) >= {region} THEN {_cut(s)} || {text(ADJECTIVE_SUFFIXES[s])} ELSE w END"
+
+    def dropped(s: str) -> str:
+        before = f" AND right({_cut(s)}, 1) IN ('s', 't')" if s == "ion" else ""
+        return f"CASE WHEN length({_cut(s)}) >= r2{before} THEN {_cut(s)} ELSE w END"
+
+    def past(s: str) -> str:
+        if s.startswith("eed"):
+            return f"CASE WHEN length({_cut(s)}) >= r1 THEN {_cut(s)} || 'ee' ELSE w END"
+        base = _cut(s)
+        return f"""CASE WHEN NOT regexp_matches({base}, '[aeiouy]') THEN w
+          WHEN regexp_matches({base}, '(at|bl|iz)$') THEN {base} || 'e'
+          WHEN regexp_matches({base}, '(bb|dd|ff|gg|mm|nn|pp|rr|tt)$') THEN left({base}, length({base}) - 1)
+          WHEN regexp_matches({base}, {short_end}) AND length({base}) <= r1 THEN {base} || 'e' ELSE {base} END"""
+
+    step = lambda before, expression: f"SELECT word, r1, r2, done, CASE WHEN done THEN w ELSE {expression} END AS w FROM {before}"
+    stop = ", ".join(text(x) for x in sorted(STOP_AFTER_PLURAL))
+    return {
+        "stem_marked": f"""
+SELECT word, length(word) <= 2 OR word IN ({', '.join(map(text, SPECIAL_WORDS))}) AS done,
+       CASE word {special} ELSE CASE WHEN length(word) <= 2 THEN word ELSE array_to_string(list_transform(range(1, length(word) + 1),
+         lambda i: CASE WHEN word[i] = 'y' AND (i = 1 OR word[i - 1] IN ('a','e','i','o','u','y')) THEN 'Y' ELSE word[i] END), '') END END AS w
+FROM (SELECT DISTINCT word FROM ({source}) s) d""",
+        "stem_first": f"""
+SELECT *, CASE {prefix} ELSE CASE WHEN regexp_matches(w, {vowel_run}) THEN length(regexp_extract(w, {vowel_run})) ELSE length(w) END END AS r1
+FROM stem_marked""",
+        "stem_regions": f"""
+SELECT *, CASE WHEN regexp_matches(substr(w, r1 + 1), {vowel_run}) THEN r1 + length(regexp_extract(substr(w, r1 + 1), {vowel_run})) ELSE length(w) END AS r2
+FROM stem_first""",
+        "stem_plural": step("stem_regions", """CASE WHEN ends_with(w, 'sses') THEN left(w, length(w) - 2)
+          WHEN ends_with(w, 'ied') OR ends_with(w, 'ies') THEN left(w, length(w) - CASE WHEN length(w) > 4 THEN 2 ELSE 1 END)
+          WHEN ends_with(w, 's') AND NOT ends_with(w, 'us') AND NOT ends_with(w, 'ss') AND regexp_matches(left(w, length(w) - 2), '[aeiouy]')
+          THEN left(w, length(w) - 1) ELSE w END"""),
+        "stem_stopped": f"SELECT word, r1, r2, done OR w IN ({stop}) AS done, w FROM stem_plural",
+        "stem_past": step("stem_stopped", _suffix_case(("eed", "eedly", "ed", "edly", "ing", "ingly"), past)),
+        "stem_y": step("stem_past", "CASE WHEN regexp_matches(w, '.[^aeiouy][yY]$') THEN left(w, length(w) - 1) || 'i' ELSE w END"),
+        "stem_derived": step("stem_y", _suffix_case(DERIVED_SUFFIXES, derived)),
+        "stem_adjective": step("stem_derived", _suffix_case(ADJECTIVE_SUFFIXES, adjective)),
+        "stem_dropped": step("stem_adjective", _suffix_case(DROPPED_SUFFIXES, dropped)),
+        "stem_final": step("stem_dropped", f"""CASE WHEN ends_with(w, 'e') AND (length(w) - 1 >= r2
+            OR (length(w) - 1 >= r1 AND NOT regexp_matches(left(w, length(w) - 1), {short_end}))) THEN left(w, length(w) - 1)
+          WHEN ends_with(w, 'll') AND length(w) - 1 >= r2 THEN left(w, length(w) - 1) ELSE w END"""),
+        "stems": "SELECT word, replace(w, 'Y', 'y') AS stem FROM stem_final",
+    }
+
+
+def stemmed(key: str, source: str) -> str:
+    """key and text with every word of ``source``'s text replaced by its stem."""
+    return f"""SELECT {key}, CASE WHEN any_value(text) IS NOT NULL THEN coalesce(string_agg(stem, ' ' ORDER BY place), '') END AS text
+FROM (SELECT {key}, text, unnest(string_split(text, ' ')) AS word, generate_subscripts(string_split(text, ' '), 1) AS place FROM {source}
+      UNION ALL SELECT {key}, text, NULL, 0 FROM {source}) w LEFT JOIN stems USING (word) GROUP BY {key}"""
+
+
 def words(col: str) -> str:
     return f"regexp_extract_all(lower({col}), '[\\p{{L}}\\p{{N}}_]{{2,}}')"
 
@@ -142,7 +223,7 @@ MACROS = "SELECT micro_category AS micro, any_value(macro_category) AS macro FRO
 
 
 def naive_bayes(train: str, score: str) -> dict[str, str]:
-    """Weights of every (label, word) and the best label of every row to score.
+    """Weights of every (label, word), in whole parts of 1e-9, and the best label of every row to score.
 
     ``train`` gives (text, label, n), ``score`` gives (id, text).
     """
@@ -156,16 +237,17 @@ FROM (SELECT DISTINCT label FROM nb_train) l
 CROSS JOIN (SELECT word, sum(n) AS n FROM nb_pairs GROUP BY word) w
 LEFT JOIN nb_pairs p ON p.label = l.label AND p.word = w.word""",
         "nb_weights": """
-SELECT label, word, seen, -ln((n_all - n + 1) / sum(n_all - n + 1) OVER (PARTITION BY label)) AS weight
+SELECT label, word, seen, (round(-ln(n_all + 1) * 1e9)::bigint + round((ln(n_all + 1) - ln(n_all - n + 1)) * 1e9)::bigint
+       + round(ln(sum(n_all - n + 1) OVER (PARTITION BY label)) * 1e9)::bigint) AS units, units / 1e9 AS weight
 FROM nb_grid""",
         "nb_score_rows": score,
         "nb_scores": f"""
-SELECT s.id, w.label, round(sum(w.weight), 9) AS score
+SELECT s.id, w.label, sum(w.units) AS score
 FROM (SELECT id, unnest({words('text')}) AS word FROM nb_score_rows) s
 JOIN nb_weights w ON w.word = s.word GROUP BY s.id, w.label""",
         "nb_best": """
 SELECT r.id, coalesce(b.label, (SELECT min(label) FROM nb_train)) AS prediction,
-       coalesce(b.score, 0) AS score
+       coalesce(b.score, 0) / 1e9 AS score
 FROM nb_score_rows r LEFT JOIN (
   SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, label) AS place FROM nb_scores
 ) b ON b.id = r.id AND b.place = 1""",
@@ -674,6 +756,14 @@ oracle(
 # text and classification
 oracle("clean_text", "SELECT description, text FROM ruled_text", "ruled_text")
 oracle("clean_documents", f"SELECT doc_id, {clean('text')} AS text FROM documents")
+WORDS_OF = "SELECT unnest(string_split(text, ' ')) AS word FROM {}"
+oracle(
+    "clean_text_stemmed", "SELECT doc_id, text FROM stemmed",
+    more={
+        "cleaned": f"SELECT doc_id, {clean('text')} AS text FROM documents", **stem_tables(WORDS_OF.format("cleaned")),
+        "stemmed": stemmed("doc_id", "cleaned"),
+    },
+)
 oracle("train_test_split", f"SELECT event_id, {holdout('event_id')} < 7 AS is_train FROM events")
 oracle(
     "token_counts",
@@ -734,8 +824,17 @@ FROM ruled_text r JOIN m_nb_best m ON m.id = r.description JOIN p_nb_best p ON p
 }
 
 
-def resolved(key: str, select: str, *names: str) -> None:
-    oracle(key, select, "ruled_text", "macros", *names, more=RESOLVED)
+# The same on stemmed texts: the table of texts is replaced, all that builds on it stays.
+STEMMED = {
+    **stem_tables(WORDS_OF.format("ruled_text")),
+    "stemmed_text": stemmed("description", "ruled_text"),
+    "ruled_stemmed": "SELECT r.* EXCLUDE (text), s.text FROM ruled_text r JOIN stemmed_text s USING (description)",
+    **{name: sql.replace("FROM ruled_text", "FROM ruled_stemmed") for name, sql in RESOLVED.items()},
+}
+
+
+def resolved(key: str, select: str, *names: str, more: dict[str, str] = RESOLVED) -> None:
+    oracle(key, select, "ruled_text", "macros", *names, more=more)
 
 
 resolved(
@@ -794,8 +893,7 @@ oracle(
 
 # whole runs
 oracle("prepare_incidents", "SELECT * FROM prepared", "prepared")
-resolved(
-    "classify_incidents",
+CLASSIFIED = (
     "SELECT arrest_id, "
     + ", ".join(
         f"r{s}.micro AS charge_{s}_description_category_micro, x{s}.macro AS charge_{s}_description_category_macro, "
@@ -807,6 +905,7 @@ resolved(
         f"LEFT JOIN resolved r{s} ON r{s}.description = charge_{s}_description "
         f"LEFT JOIN macros x{s} ON x{s}.micro = r{s}.micro"
         for s in SLOTS
-    ),
-    "incidents",
+    )
 )
+resolved("classify_incidents", CLASSIFIED, "incidents")
+resolved("classify_incidents_stemmed", CLASSIFIED, "incidents", more=STEMMED)

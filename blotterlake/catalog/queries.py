@@ -17,6 +17,7 @@ from blotterlake.functions.severity import charge_type, severity_code
 from blotterlake.functions.text import clean_text, title_case_name
 from blotterlake.operators import bayes, density, hourly, lookups, network, quality, rules, schema
 from blotterlake.operators.fuzzy import fuzzy_match
+from blotterlake.operators.stemming import clean_texts
 from blotterlake.plans import classify as cascade
 from blotterlake.plans.analyse import time_of_day_tables
 from blotterlake.plans.prepare import add_date_parts, add_severity_codes, key_columns, prepare
@@ -129,8 +130,8 @@ def read_or_build(spark, sf):
 @query
 def sink_roundtrip_parquet(spark, sf):
     path = scratch_path(spark, "sink-parquet")
-    tables.write_table(prepared(spark, sf), path, partition_by=("arrest_year",))
-    back = spark.read.parquet(path)
+    tables.publish_table(prepared(spark, sf), path, partition_by=("arrest_year",), file_bytes=1 << 20)
+    back = tables.read_table(spark, path)
     return back.select("arrest_id", "arrest_year", "unit", "beat", "arrest_time", "charge_2_class")
 
 
@@ -622,8 +623,7 @@ def clean_documents(spark, sf):
 
 @query
 def clean_text_stemmed(spark, sf):
-    docs = table(spark, sf, "documents")
-    return docs.select("doc_id", clean_text(F.col("text")).alias("text"))
+    return clean_texts(table(spark, sf, "documents").select("doc_id", "text"), "text")
 
 
 @query

@@ -29,7 +29,8 @@ CHARGE_TYPES = ("Felony", "Misdemeanor", "Petty or Other", "Not Specified")
 class Settings:
     """Column names and thresholds of a run; pass a changed copy (``dataclasses.replace``)."""
 
-    id_col: str = "arrest_id"
+    id_col: str = "arrest_id"  # assigned by ``prepare`` to a source that has none
+    check_ids: bool = False  # fail on ids that are null or repeat; runs a job
     date_col: str = "arrest_date"
     district_col: str = "district"
     beat_col: str = "beat"

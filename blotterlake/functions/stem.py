@@ -1,7 +1,7 @@
-"""English stemming (the published Porter2 / Snowball algorithm) as an Arrow UDF.
+"""English stemming (the published Porter2 / Snowball algorithm) of words and short texts as Arrow UDFs.
 
-Spark has no stemmer.  The UDF keeps a bounded memo of words per Python worker, because the
-same few words make up most of any text.
+Spark has no stemmer.  Tables of texts are stemmed by ``operators.stemming``, which calls the UDF for
+distinct words only.
 """
 
 from __future__ import annotations
@@ -127,6 +127,12 @@ def stem_word(word: str) -> str:
     return word.replace("Y", "y")
 
 
+@F.pandas_udf(StringType())
+def stem_words(words: pd.Series) -> pd.Series:
+    """Stem of each word."""
+    return words.map(stem_word, na_action="ignore")
+
+
 @F.pandas_udf(StringType())
 def stem_text(texts: pd.Series) -> pd.Series:
     """Stem every space-separated word of each text."""

@@ -13,6 +13,9 @@ seen under c.  A text's score for c is then
 and every label none of whose words occur scores no better than the one with the largest
 ``D_c``.  The winner is thus found among the labels seen with the text's words and that one
 default label, without a row for each (text, label).
+
+Bases, lifts and ``ln(D_c)`` are whole multiples of 1 / ``UNIT``, so a score is a sum of whole numbers:
+it is the same for any partitioning and any number of labels, and equal scores are equal exactly.
 """
 
 from __future__ import annotations
@@ -23,15 +26,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from blotterlake.functions.keys import holdout_bucket
 from blotterlake.functions.text import tokens
-from blotterlake.session import materialize
-from blotterlake.sources.tables import remove_table, table_exists
+from blotterlake.session import materialize, plan_bytes
+from blotterlake.sources import versions
 
-FEW_LABELS = 64
-SCORE_DIGITS = 9  # scores equal to this many digits tie, and the first label wins
+UNIT = 10**9  # parts of one in which scores are counted: a text may have 100 million words
+HOT_WORDS = 1000  # most frequent words of the scored texts, joined by a broadcast of their own
+BROADCAST_BYTES = 16 << 20  # most stored bytes of a model's words to be broadcast whole
 
 
 class NaiveBayesModel(NamedTuple):
-    """``words``: word, base, lifts [(label, lift, log_d)]; ``labels``: label, log_d."""
+    """``words``: word, base, lifts [(label, lift, log_d)]; ``labels``: label, log_d; numbers in ``UNIT``."""
 
     words: DataFrame
     labels: DataFrame
@@ -82,15 +86,14 @@ def fit(
 ) -> NaiveBayesModel:
     """Fit on the rows that have text and label.
 
-    Runs one job, which reads the rows once and stores the (label, word) counts; the model's
-    tables are lazy over those.
+    Reads the rows once and stores the (label, word) counts, and from those the model's two tables.
     """
     counts = materialize(label_word_counts(df, text_col, label_col, weight_col), "nb-counts")
     n_words = F.sum(F.when(F.col("word").isNotNull(), F.col("n")).otherwise(0))
     vocabulary = counts.agg(F.count_distinct("word")).scalar()
     total = counts.agg(n_words).scalar()
     labels = counts.groupBy("label").agg(n_words.alias("n_label")).select(
-        "label", F.ln(total - F.col("n_label") + F.lit(alpha) * vocabulary).alias("log_d")
+        "label", _units(F.ln(total - F.col("n_label") + F.lit(alpha) * vocabulary)).alias("log_d")
     )
     log_all = F.ln(F.col("n_all") + alpha)
     words = (
@@ -100,18 +103,22 @@ def fit(
         .agg(F.sum("n").alias("n_all"), F.collect_list(F.struct("label", "n", "log_d")).alias("seen"))
         .select(
             "word",
-            (-log_all).alias("base"),
+            _units(-log_all).alias("base"),
             F.transform(
                 "seen",
                 lambda s: F.struct(
                     s["label"].alias("label"),
-                    (log_all - F.ln(F.col("n_all") - s["n"] + alpha)).alias("lift"),
+                    _units(log_all - F.ln(F.col("n_all") - s["n"] + alpha)).alias("lift"),
                     s["log_d"].alias("log_d"),
                 ),
             ).alias("lifts"),
         )
     )
-    return NaiveBayesModel(words, labels)
+    return keep(NaiveBayesModel(words, labels))
+
+
+def _units(value: Column) -> Column:
+    return F.round(value * UNIT).cast("bigint")
 
 
 def keep(model: NaiveBayesModel) -> NaiveBayesModel:
@@ -120,76 +127,97 @@ def keep(model: NaiveBayesModel) -> NaiveBayesModel:
 
 
 def save(model: NaiveBayesModel, path: str) -> None:
-    """Write both tables, then the mark that they belong together and are whole.
+    """Write both tables into a new version of the model and publish it: readers never meet parts of two."""
 
-    An earlier model's mark goes first, so a run that ends half-way leaves none.
-    """
-    spark, stored = model.words.sparkSession, keep(model)
-    remove_table(spark, f"{path}/whole")
-    for name, table in stored._asdict().items():
-        table.write.mode("overwrite").parquet(f"{path}/{name}")
-    spark.range(1).write.parquet(f"{path}/whole")
+    def write(folder: str) -> None:
+        for name, table in model._asdict().items():
+            table.write.parquet(f"{folder}/{name}")
+
+    versions.publish(model.words.sparkSession, path, write)
 
 
 def is_saved(spark: SparkSession, path: str) -> bool:
-    return table_exists(spark, f"{path}/whole")
+    return versions.current(spark, path) is not None
 
 
 def load(spark: SparkSession, path: str) -> NaiveBayesModel:
-    return NaiveBayesModel(*[spark.read.parquet(f"{path}/{n}") for n in NaiveBayesModel._fields])
+    folder = versions.current(spark, path)
+    if folder is None:
+        raise FileNotFoundError(f"no model at {path}")
+    return NaiveBayesModel(*[spark.read.parquet(f"{folder}/{n}") for n in NaiveBayesModel._fields])
 
 
 def weights(model: NaiveBayesModel) -> DataFrame:
     """(label, word, weight) for the pairs seen in training."""
     return model.words.select("word", "base", F.explode("lifts").alias("l")).select(
-        "l.label", "word", (F.col("base") + F.col("l.log_d") + F.col("l.lift")).alias("weight")
+        "l.label", "word", ((F.col("base") + F.col("l.log_d") + F.col("l.lift")) / UNIT).alias("weight")
     )
 
 
-def _rank(score: Column, label: Column) -> Column:
-    return F.struct((-F.round(score, SCORE_DIGITS)).alias("cost"), label.alias("label"))
+def word_counts(df: DataFrame, key: str, text_col: str) -> DataFrame:
+    """(key, word, n): ``token_counts`` and for each row one with a null word and no count."""
+    words = F.concat(tokens(F.coalesce(F.col(text_col), F.lit(""))), F.array(F.lit(None).cast("string")))
+    exploded = df.select(key, F.explode(words).alias("word"))
+    return exploded.groupBy(key, "word").agg(F.count("word").alias("n"))
 
 
-def _hits(model_words: DataFrame, df: DataFrame, key: str, text_col: str) -> DataFrame:
-    """One row per word of each text with the word's model row; a text without words has one."""
-    words = df.select(key, F.explode_outer(tokens(F.col(text_col))).alias("word"))
-    return words.join(model_words, "word", "left")
+def frequent_words(counts: DataFrame, most: int = HOT_WORDS) -> DataFrame:
+    """The words that most texts have: any other is in under 1 / ``most`` of the rows of ``counts``."""
+    found = counts.where("word is not null").groupBy("word").agg(F.count(F.lit(1)).alias("rows"))
+    return found.orderBy(F.col("rows").desc(), "word").limit(most).select("word")
 
 
-def _best_of_few(model: NaiveBayesModel, labels: list, df: DataFrame, key: str, text_col: str):
-    """With few labels: one lift column per label, so one aggregate per text does it all."""
-    lift_of = F.map_from_arrays(F.col("lifts.label"), F.col("lifts.lift"))
-    columns = {f"l{i}": F.coalesce(lift_of[row.label], F.lit(0.0)) for i, row in enumerate(labels)}
-    wide = model.words.select("word", "base", *[c.alias(n) for n, c in columns.items()])
-    sums = _hits(wide, df, key, text_col).groupBy(key).agg(
-        F.sum("base").alias("base"), F.count("base").alias("n_words"),
-        *[F.sum(n).alias(n) for n in columns],
-    )
-    ranks = [
-        _rank(F.col("base") + F.col("n_words") * F.lit(row.log_d) + F.col(f"l{i}"), F.lit(row.label))
-        for i, row in enumerate(labels)
-    ]
-    return sums.select(key, "n_words", F.array_min(F.array(*ranks)).alias("best"))
+def _hits(model_words: DataFrame, df: DataFrame, key: str, text_col: str, broadcast_bytes: int) -> DataFrame:
+    """(key, n, base, lifts): each text's distinct words in the model, and a row without a word for each text.
+
+    A model of up to ``broadcast_bytes`` is broadcast, and texts are not shuffled by word.  Above that the counts of the words are
+    stored; the frequent words, known or not, are joined by a bounded broadcast, and only the others meet the
+    model in a shuffle, in which no word has many rows.
+    """
+    counts = word_counts(df, key, text_col)
+    if plan_bytes(model_words) <= broadcast_bytes:
+        return counts.join(F.broadcast(model_words), "word", "left").select(key, "n", "base", "lifts")
+    counts = materialize(counts, "nb-words")
+    hot = materialize(frequent_words(counts), "nb-hot-words")
+    known = F.broadcast(hot.join(model_words, "word", "left"))
+    found = counts.join(known, "word")
+    rest = counts.where("word is not null").join(F.broadcast(hot), "word", "left_anti").join(model_words, "word")
+    texts = counts.where("word is null").withColumns({c: F.lit(None).cast(model_words.schema[c].dataType) for c in ("base", "lifts")})
+    columns = [key, "n", "base", "lifts"]
+    return found.select(columns).union(rest.select(columns)).union(texts.select(columns))
 
 
-def _best_of_many(model: NaiveBayesModel, df: DataFrame, key: str, text_col: str) -> DataFrame:
-    """With any number of labels: one row per label seen with a word of the text."""
+def predict(
+    model: NaiveBayesModel,
+    df: DataFrame,
+    key: str,
+    text_col: str,
+    *,
+    output_col: str = "prediction",
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """(key, prediction, score) for every row; ``key`` must be unique.
+
+    Words outside the vocabulary are ignored.  A text with no known word, and a tie, go to the first label in
+    sorted order.  One row per label seen with a word of the text is compared, whatever the number of labels.
+    """
     widest = F.min_by("label", F.struct(-F.col("log_d"), F.col("label")))
     default_label = model.labels.agg(widest).scalar()
     default_log_d = model.labels.agg(F.max("log_d")).scalar()
-    # A null entry per word carries the text's totals.  All words of a text are in one partition,
-    # so the first aggregate shrinks them before anything is shuffled.
+    first_label = model.labels.agg(F.min("label")).scalar()
+    # A null entry per word carries the text's totals.
     lifts_type = model.words.schema["lifts"].dataType
     total_row = F.array(F.lit(None).cast(lifts_type.elementType))
     lifts = F.coalesce("lifts", F.array().cast(lifts_type))
-    spread = _hits(model.words, df, key, text_col).select(
-        key, "base", F.explode(F.concat(total_row, lifts)).alias("l")
+    known = F.when(F.col("base").isNotNull(), F.col("n")).otherwise(0)
+    spread = _hits(model.words, df, key, text_col, broadcast_bytes).select(
+        key, known.alias("n"), "base", F.explode(F.concat(total_row, lifts)).alias("l")
     )
     per_label = spread.groupBy(key, F.col("l.label").alias("label")).agg(
-        F.sum("l.lift").alias("lift"),
+        F.sum(F.col("l.lift") * F.col("n")).alias("lift"),
         F.max("l.log_d").alias("log_d"),
-        F.sum("base").alias("base"),
-        F.count("base").alias("n_words"),
+        F.sum(F.col("base") * F.col("n")).alias("base"),
+        F.sum("n").alias("n_words"),
     )
     is_total = F.col("label").isNull()
     per_text = per_label.groupBy(key).agg(
@@ -197,36 +225,17 @@ def _best_of_many(model: NaiveBayesModel, df: DataFrame, key: str, text_col: str
         F.max(F.when(is_total, F.col("n_words"))).alias("n_words"),
         F.collect_list(F.when(~is_total, F.struct("label", "lift", "log_d"))).alias("seen"),
     )
-    score = lambda log_d, lift: F.col("base") + F.col("n_words") * log_d + lift
-    candidates = F.transform("seen", lambda s: _rank(score(s["log_d"], s["lift"]), s["label"]))
-    default = F.array(_rank(score(default_log_d, F.lit(0.0)), default_label))
-    return per_text.select(key, "n_words", F.array_min(F.concat(candidates, default)).alias("best"))
 
+    def rank(label: Column, log_d: Column, lift: Column) -> Column:
+        score = F.col("base") + F.col("n_words") * log_d + lift
+        return F.struct((-score).alias("cost"), label.alias("label"))
 
-def predict(
-    model: NaiveBayesModel,
-    df: DataFrame,
-    key: str,
-    text_col: str,
-    *,
-    output_col: str = "prediction",
-    few_labels: int = FEW_LABELS,
-) -> DataFrame:
-    """(key, prediction, score) for every row; ``key`` must be unique.
-
-    Words outside the vocabulary are ignored.  A text with no known word, and a tie, go to the
-    first label in sorted order.  Reads up to ``few_labels`` labels of the model to choose the
-    cheaper of two equal ways.
-    """
-    labels = model.labels.orderBy("label").limit(few_labels + 1).collect()
-    if 0 < len(labels) <= few_labels:
-        best = _best_of_few(model, labels, df, key, text_col)
-    else:
-        best = _best_of_many(model, df, key, text_col)
-    first_label = model.labels.agg(F.min("label")).scalar()
+    candidates = F.transform("seen", lambda s: rank(s["label"], s["log_d"], s["lift"]))
+    default = F.array(rank(default_label, default_log_d, F.lit(0).cast("bigint")))
+    best = per_text.select(key, "n_words", F.array_min(F.concat(candidates, default)).alias("best"))
     empty = F.col("n_words") == 0
     return best.select(
         key,
         F.when(empty, first_label).otherwise(F.col("best.label")).alias(output_col),
-        F.when(empty, F.lit(0.0)).otherwise(-F.col("best.cost")).alias("score"),
+        F.when(empty, F.lit(0.0)).otherwise(-F.col("best.cost") / UNIT).alias("score"),
     )

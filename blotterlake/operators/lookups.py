@@ -15,6 +15,15 @@ def _has_order(columns: Sequence[str], order_col: str | None) -> bool:
     return order_col is not None and order_col in columns
 
 
+def _only_value(value: str, key: str, what: str) -> Column:
+    """Aggregate: the one value of a group, which may be null; an error if there are two."""
+    first, last = F.min(value), F.max(value)
+    nulls = F.count_if(F.col(value).isNull())
+    clear = first.eqNullSafe(last) & ((nulls == 0) | (nulls == F.count(F.lit(1))))
+    message = F.concat(F.lit(f"{what} key has two values: "), F.col(key).cast("string"))
+    return F.when(clear, first).otherwise(F.raise_error(message))
+
+
 def dedupe_lookup(
     lookup: DataFrame,
     key: str,
@@ -31,11 +40,7 @@ def dedupe_lookup(
     """
     rows = lookup.where(F.col(key).isNotNull())
     if not _has_order(lookup.columns, order_col):
-        first, last = F.min(value), F.max(value)
-        nulls = F.count_if(F.col(value).isNull())
-        clear = first.eqNullSafe(last) & ((nulls == 0) | (nulls == F.count(F.lit(1))))
-        message = F.concat(F.lit("lookup key has two values: "), F.col(key).cast("string"))
-        return rows.groupBy(key).agg(F.when(clear, first).otherwise(F.raise_error(message)).alias(value))
+        return rows.groupBy(key).agg(_only_value(value, key, "lookup").alias(value))
     if distinct_pairs_first:
         rows = rows.groupBy(key, value).agg(F.min(order_col).alias(order_col))
     return rows.groupBy(key).agg(F.max_by(value, order_col).alias(value))
@@ -67,8 +72,12 @@ def unmapped(description: Column, target: Column) -> Column:
 
 
 def coalesce_update(df: DataFrame, updates: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
-    """Fill nulls of ``columns`` from ``updates`` rows with the same key; values present stay."""
-    fresh = updates.select(key, *[F.col(c).alias(f"__{c}") for c in columns])
+    """Fill nulls of ``columns`` from ``updates`` rows with the same key; values present stay.
+
+    A key that ``updates`` repeats with the same values counts once; with different values it is an error
+    when the query runs.  Updates without a key are left out.
+    """
+    fresh = updates.where(F.col(key).isNotNull()).groupBy(key).agg(*[_only_value(c, key, "update").alias(f"__{c}") for c in columns])
     joined = df.join(fresh, key, "left")
     filled = joined.withColumns({c: F.coalesce(F.col(c), F.col(f"__{c}")) for c in columns})
     return filled.drop(*[f"__{c}" for c in columns])

@@ -218,18 +218,11 @@ def optimize_types(
 # ---- row ids ------------------------------------------------------------------------------
 
 
-def surrogate_id(df: DataFrame, order_by: list[str], *, id_col: str = "arrest_id") -> DataFrame:
-    """Number rows 0, 1, 2 ... in the order of ``order_by``, which must be unique as a whole.
-
-    A global ``row_number`` would pull all rows into one task.  Instead rows are range-sorted,
-    stored once with their partition and place, and shifted by the sizes of earlier partitions.
-    Runs one write job; the offsets table has one row per partition.
-    """
+def _numbered(df: DataFrame, id_col: str) -> DataFrame:
+    """Number rows in the order they lie in, from 0 without gaps: stored once with their partition and
+    place, and shifted by the sizes of earlier partitions (a table of one row per partition)."""
     place = F.monotonically_increasing_id()  # partition number * 2^33 + place in the partition
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = df.repartitionByRange(parts, *order_by).sortWithinPartitions(*order_by).withColumns(
-        {"__part": F.shiftright(place, 33), "__place": place.bitwiseAND((1 << 33) - 1)}
-    )
+    placed = df.withColumns({"__part": F.shiftright(place, 33), "__place": place.bitwiseAND((1 << 33) - 1)})
     placed = materialize(placed, "row-ids")
     sizes = placed.groupBy("__part").agg(F.count(F.lit(1)).alias("__size"))
     before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
@@ -239,3 +232,28 @@ def surrogate_id(df: DataFrame, order_by: list[str], *, id_col: str = "arrest_id
     numbered = placed.join(F.broadcast(offsets), "__part")
     numbered = numbered.withColumn(id_col, F.col("__offset") + F.col("__place"))
     return numbered.drop("__part", "__place", "__offset")
+
+
+def surrogate_id(df: DataFrame, order_by: list[str], *, id_col: str = "arrest_id") -> DataFrame:
+    """Number rows 0, 1, 2 ... in the order of ``order_by``, which must be unique as a whole.
+
+    A global ``row_number`` would pull all rows into one task.  Instead rows are range-sorted and numbered
+    by place.  Runs one write job.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return _numbered(df.repartitionByRange(parts, *order_by).sortWithinPartitions(*order_by), id_col)
+
+
+def ensure_id(df: DataFrame, *, id_col: str = "arrest_id", check: bool = False) -> DataFrame:
+    """The table with a row id: its own, or if it has none the place of each row in the source, from 0.
+
+    With ``check`` a given id that is null or repeats is an error; that groups the ids once.
+    """
+    if id_col not in df.columns:
+        return _numbered(df, id_col)
+    if check:
+        twice = df.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).where(F.col(id_col).isNull() | (F.col("n") > 1))
+        found = [r[0] for r in twice.select(id_col).limit(5).collect()]
+        if found:
+            raise ValueError(f"{id_col} is not unique: {found}")
+    return df

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame
 from blotterlake.config import Settings
 from blotterlake.operators.density import unit_stats
 from blotterlake.operators.hourly import (
-    filter_year, lead_charge, null_key_count, percent_of_total, radar_series, store_groups,
-    total_count, year_span,
+    filter_year, group_year_span, lead_charge, null_key_count, percent_of_total, radar_series, store_groups,
+    total_count,
 )
 
 
@@ -23,7 +23,7 @@ def time_of_day_tables(df: DataFrame, settings: Settings = Settings()) -> dict[s
     series = radar_series(groups, settings)
     total = total_count(groups.dropna())
     return {
-        "year_span": year_span(df, settings.date_col),
+        "year_span": group_year_span(groups),
         "radar_series": series,
         "percent_of_total": percent_of_total(series, total.scalar()),
         "total_count": total,

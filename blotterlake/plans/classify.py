@@ -13,14 +13,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from blotterlake.config import Settings
 from blotterlake.functions.keys import holdout_bucket
-from blotterlake.functions.text import clean_text
 from blotterlake.operators import bayes
 from blotterlake.operators.fuzzy import fuzzy_match
 from blotterlake.operators.lookups import attach_resolved, dedupe_lookup, unmapped, unpivot_charges
-from blotterlake.operators.quality import accuracy, binary_confusion, confusion_pairs
+from blotterlake.operators.quality import (
+    accuracy, binary_confusion, confusion_cells, confusion_matrix, confusion_pairs,
+)
 from blotterlake.operators.rules import apply_rules
+from blotterlake.operators.stemming import clean_texts
 from blotterlake.session import materialize
-from blotterlake.sources.tables import read_or_build, write_shared_csv
+from blotterlake.sources.tables import (
+    publish_table, read_or_build, read_table, write_matrix_csv, write_shared_csv,
+)
+from blotterlake.sources.versions import publish
 
 
 def describe(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -148,8 +153,8 @@ def resolve(
     macros = macro_values(crosswalk)
     matched = fuzzy_stage(direct_stage(descriptions, values), values, settings)
     matched = rule_stage(matched, macros, settings).drop("macro")
-    text = clean_text(F.col("description"), stem=settings.stem)
-    matched = materialize(matched.withColumn("text", text), "cascade")
+    texts = clean_texts(matched, "description", stem=settings.stem, broadcast_bytes=settings.broadcast_bytes)
+    matched = materialize(texts, "cascade")
 
     def fill(table: DataFrame, label: str, model: bayes.NaiveBayesModel, as_value) -> DataFrame:
         open_rows = table.where(F.col(label).isNull()).select("description", "text")
@@ -207,6 +212,17 @@ def classify(
     return attach_resolved(df, result.resolved, settings), result
 
 
+def store_evaluation(result: Classification, folder: str) -> None:
+    """Hold-out quality of both classifiers below ``folder``: accuracies as tables, the micro matrix as a
+    labelled CSV, the police matrix as a table of four counts.  Each replaces the earlier one when it is whole."""
+    spark = result.resolved.sparkSession
+    for name, found in (("micro", result.micro_evaluation), ("police", result.police_evaluation)):
+        publish_table(found.accuracy, f"{folder}/{name}_accuracy")
+    matrix = confusion_matrix(confusion_cells(materialize(result.micro_evaluation.confusion, "confusion")))
+    publish(spark, f"{folder}/micro_confusion", lambda path: write_matrix_csv(matrix, path))
+    publish_table(result.police_evaluation.confusion, f"{folder}/police_confusion")
+
+
 def run_classify(
     spark: SparkSession,
     prepared: DataFrame | str,
@@ -218,11 +234,16 @@ def run_classify(
     model_folder: str | None = None,
     overwrite: bool = False,
 ) -> DataFrame:
-    """The stored classified table, or classify the prepared table (or its path) and store it."""
+    """The stored classified table, or classify the prepared table (or its path) and store it.
+
+    With a ``model_folder`` the models and their hold-out quality (``store_evaluation``) are stored there.
+    """
 
     def build() -> DataFrame:
-        df = spark.read.parquet(prepared) if isinstance(prepared, str) else prepared
-        table, _ = classify(df, crosswalk, settings, model_folder=model_folder, overwrite=overwrite)
+        df = read_table(spark, prepared) if isinstance(prepared, str) else prepared
+        table, result = classify(df, crosswalk, settings, model_folder=model_folder, overwrite=overwrite)
+        if model_folder is not None:
+            store_evaluation(result, f"{model_folder}/evaluation")
         return table
 
     classified = read_or_build(

@@ -10,7 +10,7 @@ from blotterlake.functions.keys import number_key
 from blotterlake.functions.severity import severity_code
 from blotterlake.operators.lookups import lookup_unit
 from blotterlake.operators.schema import (
-    drop_columns, force_types, normalize_columns, optimize_types, redact,
+    drop_columns, ensure_id, force_types, normalize_columns, optimize_types, redact,
 )
 from blotterlake.sources.tables import read_or_build
 
@@ -63,14 +63,15 @@ def key_columns(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
 
 def prepare(df: DataFrame, unit_beats: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Raw to prepared in one pass: narrow steps and one lookup join, no job of its own.
+    """Raw to prepared in one pass: narrow steps and one lookup join, no job of its own if rows have ids.
 
-    Types beyond the forced ones come from the source schema; ``profile_types`` infers them for a
+    Rows of a source without ids are stored once to number them.  Types beyond the forced ones come from the source schema; ``profile_types`` infers them for a
     source that has none.
     """
     descriptions = [settings.description(i) for i in settings.slot_numbers]
     types = {"string": descriptions, "timestamp_ntz": list(settings.timestamp_columns)}
     df = df.transform(normalize_columns).transform(redact, settings.redact)
+    df = ensure_id(df, id_col=settings.id_col, check=settings.check_ids)
     if settings.profile_types:
         df = optimize_types(df, special=types, exclude=[settings.id_col, *settings.drop])
     else:

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import DoubleType, LongType, StringType, StructType, TimestampNTZType
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import DoubleType, LongType, MapType, StringType, StructType, TimestampNTZType, VariantType
 
 from blotterlake.config import DROP_COLUMNS, REDACT_COLUMNS, Settings
 from blotterlake.functions.keys import zero_fill
 from blotterlake.operators.schema import normalize_columns
-from blotterlake.session import input_bytes
+from blotterlake.session import input_bytes, materialize
+from blotterlake.sources import versions
 
 
 def incident_schema(settings: Settings = Settings()) -> StructType:
@@ -28,9 +29,12 @@ def incident_schema(settings: Settings = Settings()) -> StructType:
     return schema.add(settings.district_col, DoubleType()).add(settings.beat_col, DoubleType())
 
 
-def _csv(spark: SparkSession):
-    """CSV with a header, doubled quotes and line ends inside quotes; a malformed row is an error."""
-    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", True)
+def _csv(spark: SparkSession, multi_line: bool = True):
+    """CSV with a header and doubled quotes; a malformed row is an error.
+
+    With line ends inside quotes (``multi_line``) a file is one task; without, Spark splits it.
+    """
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
     return reader.option("mode", "FAILFAST").option("inferSchema", False)
 
 
@@ -44,14 +48,15 @@ def _by_name(df: DataFrame, schema: StructType) -> DataFrame:
 
 
 def read_incidents(
-    spark: SparkSession, path: str, *, schema: StructType | None = None, fmt: str = "parquet"
+    spark: SparkSession, path: str, *, schema: StructType | None = None, fmt: str = "parquet", multi_line: bool = False
 ) -> DataFrame:
     """Scan an incident table.  A given schema saves the inference pass and prunes columns.
 
-    CSV columns are found by header, in any order; a value that is not of its type is an error.
+    CSV columns are found by header, in any order; a value that is not of its type is an error.  A CSV file is
+    read by many tasks; one with line ends inside quotes needs ``multi_line`` and is read by one.
     """
     if fmt == "csv":
-        found = _csv(spark).csv(path)
+        found = _csv(spark, multi_line).csv(path)
         return normalize_columns(found) if schema is None else _by_name(found, schema)
     reader = spark.read.format(fmt)
     if schema is not None:
@@ -116,44 +121,64 @@ def crosswalk_lookups(crosswalk: DataFrame) -> CrosswalkLookups:
     )
 
 
-def _hadoop_path(spark: SparkSession, path: str):
-    """File system and path objects."""
-    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
-    return found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), found
-
-
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """True when a write to ``path`` was completed (its success marker is there)."""
-    system, marker = _hadoop_path(spark, f"{path.rstrip('/')}/_SUCCESS")
-    return system.exists(marker)
+    """True when a write to ``path`` was completed: a version was published, or the success marker is there."""
+    return versions.current(spark, path) is not None or versions.exists(spark, f"{path.rstrip('/')}/_SUCCESS")
 
 
-def remove_table(spark: SparkSession, path: str) -> None:
-    """Delete a stored table, if there is one."""
-    system, folder = _hadoop_path(spark, path)
-    system.delete(folder, True)
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A stored table: its current version, or the folder itself if it was written without versions."""
+    return spark.read.parquet(versions.current(spark, path) or path)
 
 
 FILE_BYTES = 256 << 20  # of input that a file of a partitioned table is made from
 
 
+def _placed(df: DataFrame, partition_by: tuple[str, ...], file_bytes: int) -> DataFrame:
+    """Deal rows to one task for each file to write.
+
+    A partition value gets as many files as its share of the input's bytes needs.  Which of them a row goes to
+    follows from a hash of its content, so a task that is run again deals its rows as before, whatever order it reads them
+    in.  (Equal rows go to the same file.)  Reads ``df`` once more to count the rows of each value.
+    """
+    total = input_bytes(df)
+    sizes = df.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("__rows"))
+    share = F.col("__rows") / F.sum("__rows").over(Window.partitionBy())
+    sizes = sizes.withColumn("__files", F.greatest(F.ceil(share * total / file_bytes), F.lit(1)))
+    before = Window.orderBy(*partition_by).rowsBetween(Window.unboundedPreceding, -1)
+    first = F.coalesce(F.sum("__files").over(before), F.lit(0))
+    names = [F.col(c).alias(f"__value_{i}") for i, c in enumerate(partition_by)]
+    places = materialize(sizes.select(*names, "__files", first.alias("__first")), "file-places")  # a row for each value
+    files = places.agg(F.sum("__files")).first()[0]
+    if not files:
+        return df
+    same = [F.col(c).eqNullSafe(F.col(f"__value_{i}")) for i, c in enumerate(partition_by)]
+    content = [F.col(f"`{f.name}`") for f in df.schema if not isinstance(f.dataType, (MapType, VariantType))]
+    at = F.col("__first") + F.pmod(F.xxhash64(*content), F.col("__files"))
+    return df.join(places, same).repartitionById(int(files), at.cast("int")).select(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def write_table(
     df: DataFrame, path: str, *, partition_by: tuple[str, ...] = (), file_bytes: int = FILE_BYTES
 ) -> None:
     """Write Parquet, replacing what is there.
 
-    For a partitioned table rows are first dealt by partition value and a salt, so that a
-    value's rows end in about one file per ``file_bytes`` of the whole input, not in one per task.
+    For a partitioned table rows are first dealt by partition value, so that a value's rows end in
+    about one file per ``file_bytes`` of the input, not in one per task.
     """
     if partition_by:
-        salts = input_bytes(df) // file_bytes + 1
-        salt = F.floor(F.rand(seed=1) * salts).cast("int")
-        # As many partitions as the session deals to, or as there are files of a single value.
-        parts = max(salts, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-        df = df.repartition(parts, *partition_by, salt)
+        df = _placed(df, partition_by, file_bytes)
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
+def publish_table(
+    df: DataFrame, path: str, *, partition_by: tuple[str, ...] = (), file_bytes: int = FILE_BYTES
+) -> None:
+    """Write a new version of a stored table and make it the current one when it is whole (``versions``)."""
+    write = lambda folder: write_table(df, folder, partition_by=partition_by, file_bytes=file_bytes)
+    versions.publish(df.sparkSession, path, write)
+
+
 def read_or_build(
     spark: SparkSession,
     path: str,
@@ -162,13 +187,13 @@ def read_or_build(
     overwrite: bool = False,
     partition_by: tuple[str, ...] = (),
 ) -> DataFrame:
-    """The stored table if it is complete, else what ``build`` makes, stored and read back."""
+    """The stored table if it is complete, else what ``build`` makes, published and read back."""
     if overwrite or not table_exists(spark, path):
         df = build()
         if df is None:
             raise FileNotFoundError(f"no table at {path} and nothing to build it from")
-        write_table(df, path, partition_by=partition_by)
-    return spark.read.parquet(path)
+        publish_table(df, path, partition_by=partition_by)
+    return read_table(spark, path)
 
 
 def write_shared_csv(df: DataFrame, path: str, *, max_rows_per_file: int = 5_000_000) -> None:

@@ -19,7 +19,7 @@ from blotterlake.operators.quality import (
 from blotterlake.operators.rules import apply_rules
 from blotterlake.plans import classify as cascade
 from blotterlake.session import materialize, scratch_path
-from blotterlake.sources import tables
+from blotterlake.sources import tables, versions
 
 
 def edits(a, b, swaps=True):
@@ -172,14 +172,14 @@ def textbook_scores(rows, text):
     return out
 
 
-@pytest.mark.parametrize("few", [64, 0])
-def test_naive_bayes_against_definition(spark, few):
+@pytest.mark.parametrize("size", [1 << 30, 0])
+def test_naive_bayes_against_definition(spark, size):
     train = spark.createDataFrame(TRAIN, "text string, label string, n int")
     texts = ["red car", "bus", "stop red", "unknown words", "", "bus stop red car", "car unknown"]
     model = bayes.fit(train, "text", "label", weight_col="n")
     said = bayes.predict(
         model, spark.createDataFrame([(t,) for t in texts], "text string").withColumn("id", F.col("text")),
-        "id", "text", few_labels=few,
+        "id", "text", broadcast_bytes=size,
     )
     got = {r.id: (r.prediction, round(r.score, 6)) for r in said.collect()}
     assert set(got) == set(texts)
@@ -330,18 +330,25 @@ def test_stored_run_is_reused(spark):
     assert bayes.is_saved(spark, f"{models}/micro")
 
 
-def test_a_half_written_model_is_rebuilt_whole(spark):
+def test_a_half_written_model_is_never_read(spark, monkeypatch):
     """Words of one fit and labels of another must never be read as one model."""
     path = scratch_path(spark, "half")
     fit = lambda *rows: bayes.fit(spark.createDataFrame(rows, "text string, label string"), "text", "label")
-    bayes.save(fit(("one two", "A"), ("three", "B")), path)
-    assert bayes.is_saved(spark, path)
-    tables.remove_table(spark, f"{path}/whole")
-    tables.remove_table(spark, f"{path}/labels")
+    with monkeypatch.context() as broken:
+        broken.setattr(versions, "_announce", lambda *_: (_ for _ in ()).throw(KeyboardInterrupt()))
+        with pytest.raises(KeyboardInterrupt):
+            bayes.save(fit(("one two", "A"), ("three", "B")), path)
     assert not bayes.is_saved(spark, path)
     bayes.save(fit(("one two", "X"), ("three", "Y")), path)
+    reader = bayes.load(spark, path)
+    with monkeypatch.context() as broken:
+        broken.setattr(versions, "_announce", lambda *_: (_ for _ in ()).throw(KeyboardInterrupt()))
+        with pytest.raises(KeyboardInterrupt):
+            bayes.save(fit(("four", "P"), ("five", "Q")), path)
     assert {r.label for r in bayes.load(spark, path).labels.collect()} == {"X", "Y"}
-    assert {r.label for r in bayes.weights(bayes.load(spark, path)).collect()} == {"X", "Y"}
+    bayes.save(fit(("one two", "V"), ("three", "W")), path)
+    assert {r.label for r in bayes.weights(bayes.load(spark, path)).collect()} == {"V", "W"}
+    assert {r.label for r in bayes.weights(reader).collect()} == {"X", "Y"}  # a reader that has begun goes on
 
 
 def test_accuracy_and_matrices(spark):
