@@ -2,17 +2,17 @@
 
 Candidates come from an equi-join on exact blocking keys, never from all pairs:
 
-* A key text of length L is cut into ``parts = 2d+1`` segments (``d+1`` when swaps count twice).
-  ``d`` edits touch at most ``parts - 1`` segments, so one survives whole in any text within
-  reach, displaced by no more than the insertions and deletions before it (the pass-join
-  argument of Li et al., VLDB 2011, with a swap counted as two substitutions).
+* A key text of length L is cut into ``parts = 2d+2`` segments (``d+2`` when swaps count twice).  ``parts - 2`` edits
+  leave two of them whole.  One of these is displaced in a text within reach by no more than the edits that the segments before and
+  after it can hold (the pass-join argument of Li et al., VLDB 2011, with a swap counted as two substitutions).
+* How many keys have a segment decides how it is used.  One that over ``HOT_BLOCK`` keys share does not bring texts and
+  keys together by itself, but only with a second segment that both have: there is one.
 * Key texts too short to cut share, with any text within reach, a string both can be reduced to
   by at most ``d`` deletions.  Such texts have at most ``parts - 1 + d`` characters, so the
   number of reductions has a fixed bound.
 
 Every pair within the distance meets on at least one blocking key, so the result equals that of
-comparing all pairs.  A pair is verified once: at the first segment it meets on, and only if the
-counts of its characters allow the distance.
+comparing all pairs.  A pair is verified once, and only if the counts of its characters allow the distance.
 """
 
 from __future__ import annotations
@@ -22,12 +22,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from blotterlake.functions.distance import osa_distance, possible_swaps
+from blotterlake.session import materialize
+
+HOT_BLOCK = 1000  # keys that share a segment, above which a second one is asked for
 
 
 def _parts(max_distance: int, metric: str) -> int:
     if metric not in ("osa", "levenshtein"):
         raise ValueError(f"unknown metric {metric!r}")
-    return (2 if metric == "osa" else 1) * max_distance + 1
+    return (2 if metric == "osa" else 1) * max_distance + 2
 
 
 def _segment_start(length: Column, index: Column, parts: int) -> Column:
@@ -59,62 +62,17 @@ def _reductions(text: Column, max_distance: int) -> Column:
 
 
 def _reduction_blocks(text: Column, max_distance: int) -> Column:
-    return F.transform(_reductions(text, max_distance), lambda r: F.concat(F.lit("~|"), r))
-
-
-def _segment_block(length: Column, index: Column, segment: Column) -> Column:
-    return F.concat_ws("|", length, index, segment)
-
-
-def _segment(key: Column, index: Column, parts: int) -> Column:
-    length = F.length(key)
-    start = _segment_start(length, index, parts)
-    return F.substr(key, start + 1, _segment_start(length, index + 1, parts) - start)
-
-
-def _segment_texts(text: Column, key_length: Column, i: Column, d: int, parts: int) -> Column:
-    """Where segment i of a key of that length may be found in the text, the pieces there.
-
-    The surviving segment has exactly i edits before it, at most ``parts`` - 1 - i after it.
-    """
-    edits, longer_by = parts - 1, F.length(text) - key_length
-    first = F.greatest(-i, longer_by - (edits - i), F.ceil((longer_by - d) / 2).cast("int"))
-    last = F.least(i, longer_by + (edits - i), F.floor((longer_by + d) / 2).cast("int"))
-    start = _segment_start(key_length, i, parts)
-    size = _segment_start(key_length, i + 1, parts) - start
-    first, last = F.greatest(first, -start), F.least(last, F.length(text) - size - start)
-    places = F.when(first <= last, F.sequence(first, last))
-    piece = lambda s: F.substr(text, start + s + 1, size)
-    return F.coalesce(F.transform(places, piece), F.array().cast("array<string>"))
-
-
-def _key_blocks(key: Column, d: int, parts: int) -> Column:
-    """Blocks under which a key text is found."""
-    length = F.length(key)
-    block = lambda i: _segment_block(length, i, _segment(key, i, parts))
-    cut = F.transform(F.sequence(F.lit(0), F.lit(parts - 1)), block)
-    return F.when(length >= parts, cut).otherwise(_reduction_blocks(key, d))
-
-
-def _text_blocks(text: Column, d: int, parts: int) -> Column:
-    """Blocks under which a text looks for keys."""
-    length = F.length(text)
-    nothing = F.array().cast("array<string>")
-
-    def segment_blocks(key_length: Column) -> Column:
-        def shifted(i: Column) -> Column:
-            pieces = _segment_texts(text, key_length, i, d, parts)
-            return F.transform(pieces, lambda piece: _segment_block(key_length, i, piece))
+    return F.transform(_reductions(text, max_distance), lambda r: F.xxhash64(F.lit("~"), r))
 
-        return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(parts - 1)), shifted))
 
-    lengths = F.sequence(F.greatest(length - d, F.lit(parts)), length + d)
-    cut = F.when(length + d >= parts, F.flatten(F.transform(lengths, segment_blocks)))
-    short = F.when(length < parts + d, _reduction_blocks(text, d))
-    return F.concat(F.coalesce(cut, nothing), F.coalesce(short, nothing))
+def _block(length: Column, index: Column, segment: Column) -> Column:
+    return F.xxhash64(length, index, segment)
 
 
-CLASSES, LEVELS = 28, 7  # kinds of character, and how many of a kind are told apart
+# Characters are counted by kind: letters of either case, digits, and space.
+KINDS = [a + b for a, b in zip("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")] + ["0123456789", " "]
+LEVELS = 7  # how many of a kind are told apart
+PER_NUMBER = 7
 
 
 def _letters(text: Column) -> Column:
@@ -122,17 +80,15 @@ def _letters(text: Column) -> Column:
 
     An edit changes the count of two kinds by one at most, so two bits.
     """
-    kinds = F.transform(F.split(text, ""), lambda c: F.pmod(F.ascii(c), F.lit(CLASSES)))
 
-    def bits(kind: Column, place: int) -> Column:
-        n = F.least(F.size(F.filter(kinds, lambda k: k == kind)), F.lit(LEVELS))
-        ones = F.pow(F.lit(2.0), n).cast("bigint") - 1
+    def bits(kind: str, place: int) -> Column:
+        n = F.least(F.length(text) - F.length(F.translate(text, kind, "")), F.lit(LEVELS))
+        ones = F.element_at(F.array(*[F.lit((1 << i) - 1).cast("bigint") for i in range(LEVELS + 1)]), n + 1)
         return F.shiftleft(ones, place * LEVELS)
 
-    per_number = CLASSES // 4
     numbers = []
-    for first in range(0, CLASSES, per_number):
-        of_kinds = [bits(F.lit(first + i), i) for i in range(per_number)]
+    for first in range(0, len(KINDS), PER_NUMBER):
+        of_kinds = [bits(kind, i) for i, kind in enumerate(KINDS[first : first + PER_NUMBER])]
         numbers.append(reduce(lambda a, b: a.bitwiseOR(b), of_kinds))
     return F.array(*numbers)
 
@@ -143,50 +99,93 @@ def _may_be_near(left: Column, right: Column, max_distance: int) -> Column:
     return sum(changed[1:], changed[0]) <= 2 * max_distance
 
 
-def _first_common_segment(text: Column, key: Column, d: int, parts: int) -> Column:
-    """The lowest segment of the key that the text has at a place within reach, by itself."""
-    length = F.length(key)
-    at = F.sequence(F.lit(0), F.lit(parts - 1))
-    has = lambda i: F.array_contains(_segment_texts(text, length, i, d, parts), _segment(key, i, parts))
-    return F.array_min(F.filter(at, has))
+def key_segments(keys: DataFrame, parts: int) -> DataFrame:
+    """(key, key_letters, segment, block) of the keys that are long enough to cut."""
+    rows = keys.where(F.length("key") >= parts).withColumn("segment", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    length, i = F.length("key"), F.col("segment")
+    start, end = (_segment_start(length, at, parts) for at in (i, i + 1))
+    return rows.select("key", "key_letters", "segment", _block(length, i, F.substr("key", start + 1, end - start)).alias("block"))
 
 
-def candidate_pairs(texts: DataFrame, keys: DataFrame, *, max_distance: int, metric: str) -> DataFrame:
-    """(text, key): the pairs to verify, each once; all within ``max_distance`` are among them.
+def text_probes(texts: DataFrame, d: int, parts: int, *, surviving: bool = False) -> DataFrame:
+    """(text, text_letters, key_length, segment, block): where each segment of keys of each length in reach may be.
 
-    Both inputs have one column and distinct non-null values.  A pair that meets on several blocks is
-    kept at the first: for segments a test on the pair itself, for the short keys a distinct.  Pairs whose
-    counts of characters differ too much for the distance are dropped before.
+    A segment that survives is displaced by the insertions less the deletions before it, of which there are ``d`` at most in all;
+    so much for any that survives (``surviving``).  One of them has at most as many edits before it as it has
+    segments before it, and likewise behind.
+    """
+    length = F.length("text")
+    rows = texts.where(length + d >= parts).withColumn("key_length", F.explode(F.sequence(F.greatest(length - d, F.lit(parts)), length + d)))
+    rows = rows.withColumn("segment", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    i, edits, longer_by = F.col("segment"), parts - 1, length - F.col("key_length")
+    first, last = F.ceil((longer_by - d) / 2).cast("int"), F.floor((longer_by + d) / 2).cast("int")
+    if not surviving:
+        first, last = F.greatest(first, -i, longer_by - (edits - i)), F.least(last, i, longer_by + (edits - i))
+    start = _segment_start(F.col("key_length"), i, parts)
+    size = _segment_start(F.col("key_length"), i + 1, parts) - start
+    rows = rows.withColumns({"start": start, "size": size, "first": F.greatest(first, -start), "last": F.least(last, length - size - start)})
+    rows = rows.where("first <= last").withColumn("shift", F.explode(F.sequence("first", F.greatest("first", "last"))))
+    piece = F.substr("text", F.col("start") + F.col("shift") + 1, F.col("size"))
+    return rows.select("text", "text_letters", "key_length", "segment", _block(F.col("key_length"), i, piece).alias("block"))
+
+
+def _split_hot(texts: DataFrame, probes: DataFrame, index: DataFrame, hot: DataFrame, d: int, parts: int) -> tuple[DataFrame, DataFrame]:
+    """Probes and index with every hot block replaced by its pairs with each other segment that may have survived with it."""
+    pair = F.xxhash64("block", "other").alias("block")
+    segments = index.select("key", F.col("segment").alias("other_segment"), F.col("block").alias("other"))
+    keys_split = index.join(hot, "block", "left_semi").join(segments, "key").where("segment <> other_segment")
+    around = text_probes(texts, d, parts, surviving=True)
+    around = around.select("text", "key_length", F.col("segment").alias("other_segment"), F.col("block").alias("other"))
+    texts_split = probes.join(hot, "block", "left_semi").join(around, ["text", "key_length"]).where("segment <> other_segment")
+    return (
+        probes.join(hot, "block", "left_anti").select("text", "text_letters", "block").union(texts_split.select("text", "text_letters", pair)),
+        index.join(hot, "block", "left_anti").select("key", "key_letters", "block").union(keys_split.select("key", "key_letters", pair)),
+    )
+
+
+def meeting_rows(texts: DataFrame, keys: DataFrame, *, max_distance: int, metric: str, hot_block: int = HOT_BLOCK) -> tuple[DataFrame, DataFrame]:
+    """The two sides of the join by ``block``: (text, text_letters, block) and (key, key_letters, block).
+
+    Runs a job that looks for hot blocks among the keys' segments.
     """
     parts = _parts(max_distance, metric)
     spark = texts.sparkSession
-    tasks = max(
-        spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
-    )
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     # A text makes a few hundred probes, so the few bytes of input must not end in one task.
     dealt = texts.toDF("text").repartition(tasks, "text").withColumn("text_letters", _letters(F.col("text")))
-    probes = dealt.select(
-        "text", "text_letters",
-        F.explode(F.array_distinct(_text_blocks(F.col("text"), max_distance, parts))).alias("block"),
-    )
-    index = keys.toDF("key").withColumn("key_letters", _letters(F.col("key"))).select(
-        "key", "key_letters", F.explode(_key_blocks(F.col("key"), max_distance, parts)).alias("block")
-    )
+    named = keys.toDF("key").withColumn("key_letters", _letters(F.col("key")))
+    index, probes = key_segments(named, parts), text_probes(dealt, max_distance, parts)
+    hot = index.groupBy("block").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_block)
+    hot = materialize(hot.select("block"), "hot-blocks")
+    if hot.isEmpty():
+        probes, index = probes.select("text", "text_letters", "block"), index.select("key", "key_letters", "block")
+    else:
+        probes, index = _split_hot(dealt, probes, index, hot, max_distance, parts)
+    reduced = lambda column: F.explode(_reduction_blocks(F.col(column), max_distance)).alias("block")
+    short_texts = dealt.where(F.length("text") < parts + max_distance).select("text", "text_letters", reduced("text"))
+    short_keys = named.where(F.length("key") < parts).select("key", "key_letters", reduced("key"))
+    return probes.union(short_texts), index.union(short_keys)
+
+
+def candidate_pairs(
+    texts: DataFrame, keys: DataFrame, *, max_distance: int, metric: str, hot_block: int = HOT_BLOCK
+) -> DataFrame:
+    """(text, key): the pairs to verify, each once; all within ``max_distance`` are among them.
+
+    Both inputs have one column and distinct non-null values.  Pairs whose lengths or counts of
+    characters differ too much for the distance are dropped where they meet.
+    """
+    probes, index = meeting_rows(texts, keys, max_distance=max_distance, metric=metric, hot_block=hot_block)
     near = _may_be_near(F.col("text_letters"), F.col("key_letters"), max_distance)
     close = F.abs(F.length("text") - F.length("key")) <= max_distance
-    met = probes.join(index, "block").where(close & near)
-    cut = F.length("key") >= parts
-    number = F.split("block", r"\|")[1].cast("int")
-    first = _first_common_segment(F.col("text"), F.col("key"), max_distance, parts)
-    by_segment = met.where(cut).where(number == first).select("text", "key")
-    return by_segment.union(met.where(~cut).select("text", "key").distinct())
+    return probes.join(index, "block").where(close & near).select("text", "key").distinct()
 
 
 def near_pairs(texts: DataFrame, keys: DataFrame, *, max_distance: int, metric: str) -> DataFrame:
     """(text, key, edits): every pair within ``max_distance``, and for ``osa`` also those that
     swaps could bring there, once each.  ``edits`` is the Levenshtein distance.
     """
-    edits = F.levenshtein("text", "key", _parts(max_distance, metric) - 1)
+    edits = F.levenshtein("text", "key", _parts(max_distance, metric) - 2)
     pairs = candidate_pairs(texts, keys, max_distance=max_distance, metric=metric)
     return pairs.select("text", "key", edits.alias("edits")).where("edits >= 0")
 

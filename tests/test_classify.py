@@ -11,7 +11,7 @@ from blotterlake.config import Settings
 from blotterlake.functions.stem import stem_word
 from blotterlake.functions.text import clean_text
 from blotterlake.operators import bayes, lookups
-from blotterlake.operators.fuzzy import candidate_pairs, fuzzy_match
+from blotterlake.operators.fuzzy import candidate_pairs, fuzzy_match, meeting_rows, text_probes
 from blotterlake.operators.lookups import attach_resolved, pivot_charges, unpivot_charges
 from blotterlake.operators.quality import (
     accuracy, binary_confusion, confusion_cells, confusion_matrix, confusion_pairs, coverage_report,
@@ -385,3 +385,47 @@ def test_fuzzy_pairs_are_verified_once_and_few(spark):
     pairs = [tuple(r) for r in candidate_pairs(df(texts), df(keys), max_distance=4, metric="osa").collect()]
     by_length = sum(abs(len(a) - len(b)) <= 4 for a in set(texts) for b in set(keys))
     assert len(pairs) == len(set(pairs)) and len(pairs) < by_length / 4
+
+
+@pytest.mark.parametrize("metric,d", [("osa", 2), ("osa", 4), ("levenshtein", 3)])
+def test_hot_segments_lose_no_pair(spark, metric, d):
+    """Keys with a long common beginning; every segment that three keys share counts as hot."""
+    rnd = random.Random(d)
+    word = lambda n: "".join(rnd.choice("abcde ") for _ in range(n))
+    keys = sorted({"attempted possession of " + word(rnd.randint(0, 9)) for _ in range(60)} | {word(rnd.randint(0, 30)) for _ in range(40)})
+    texts = set()
+    for _ in range(150):
+        chars = list(rnd.choice(keys))
+        for _ in range(rnd.randint(0, d + 1)):
+            at = rnd.randint(0, max(len(chars) - 1, 0))
+            chars[at : at + rnd.choice([0, 1, 2])] = rnd.choice(["", "x", "e", "".join(chars[at : at + 2][::-1])])
+        texts.add("".join(chars))
+    texts = sorted(texts)
+    df = lambda values: spark.createDataFrame([(v,) for v in values], "s string")
+    pairs = [tuple(r) for r in candidate_pairs(df(texts), df(keys), max_distance=d, metric=metric, hot_block=3).collect()]
+    near = {(t, k) for t in texts for k in keys if edits(t, k, metric == "osa") <= d}
+    assert near <= set(pairs) and len(pairs) == len(set(pairs))
+
+
+def test_a_hot_segment_brings_few_rows_together(spark):
+    """300 keys and texts that share their first segment: by it alone all would meet, with a second one few do."""
+    rnd = random.Random(1)
+    tail = lambda: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(33))
+    keys = [f"possession {tail()}" for _ in range(300)]
+    texts = [k[:-3] + "zzz" for k in keys[:100]] + [f"possession {tail()}" for _ in range(200)]
+    df = lambda values: spark.createDataFrame([(v,) for v in values], "s string")
+
+    def met(hot_block):
+        probes, index = meeting_rows(df(texts), df(keys), max_distance=2, metric="levenshtein", hot_block=hot_block)
+        return probes.join(index, "block").count()
+
+    assert met(1000) >= 300 * 300 and met(50) <= 300 * 10
+
+
+def test_probes_of_a_text_are_bounded(spark):
+    """By the lengths in reach, the segments and their places: no probe for each key."""
+    text = "criminal trespass to state supported land"
+    probes = lambda surviving: text_probes(
+        spark.createDataFrame([(text, [0, 0, 0, 0])], "text string, text_letters array<bigint>"), 4, 10, surviving=surviving
+    ).count()
+    assert probes(False) <= 9 * 10 * 5 and probes(False) <= probes(True) <= 9 * 10 * 5
