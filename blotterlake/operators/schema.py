@@ -20,8 +20,6 @@ CATEGORY_RATIO = 0.1
 CATEGORY_MAX_DISTINCT = 20
 INTEGER_TYPES = (("tinyint", 8), ("smallint", 16), ("int", 32), ("bigint", 64))
 # ---- end of fixed values ------------------------------------------------------------------
-SKETCH_ERROR = 0.01  # relative deviation of an approximate distinct count
-NEAR_THRESHOLD = 5 * SKETCH_ERROR
 
 
 def normalize_columns(df: DataFrame) -> DataFrame:
@@ -90,10 +88,24 @@ def _is_date_name(name: str) -> bool:
     return any(part in name.lower() for part in DATE_NAME_PARTS)
 
 
-def _statistics(name: str, dtype: DataType, distinct: Column) -> dict[str, Column]:
-    """Aggregates the type choice for one column needs."""
+def distinct_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(place, n_distinct): how many different non-null values each of the columns has, by its place in the list.
+
+    A row becomes one narrow row for each of the columns: its place and a 128-bit hash of the value.  Repeats are dropped
+    in the task, so what is shuffled are the distinct values of each task, without their texts.
+    """
+    values = [
+        F.when(col.isNotNull(), F.struct(F.lit(i).alias("place"), F.xxhash64(col).alias("a"), F.xxhash64(F.lit(i), col).alias("b")))
+        for i, col in ((i, F.col(f"`{c}`")) for i, c in enumerate(columns))
+    ]
+    seen = df.select(F.explode(F.array_compact(F.array(*values))).alias("v")).select("v.*").distinct()
+    return seen.groupBy("place").agg(F.count(F.lit(1)).alias("n_distinct"))
+
+
+def _statistics(name: str, dtype: DataType) -> dict[str, Column]:
+    """Aggregates the type choice for one column needs, besides its number of distinct values."""
     col = F.col(f"`{name}`")
-    stats = {"n_null": F.count_if(col.isNull()), "n_distinct": distinct}
+    stats = {"n_null": F.count_if(col.isNull())}
     if isinstance(dtype, IntegralType):
         stats |= {"lo": F.min(col).cast("double"), "hi": F.max(col).cast("double")}
         for type_name, bits in INTEGER_TYPES[:3]:
@@ -133,25 +145,26 @@ def _choice(dtype: DataType, name: str, s: Mapping[str, Column]) -> Column:
     return F.when(s["is_boolean"], "boolean").when(few, "category").otherwise("string")
 
 
-def profile_columns(
-    df: DataFrame, *, exclude: Iterable[str] = (), exact_distinct: bool = True
-) -> DataFrame:
+def profile_columns(df: DataFrame, *, exclude: Iterable[str] = ()) -> DataFrame:
     """One row per column: counts, range and the narrowest type that holds all its values.
 
-    One aggregate pass.  Exact distinct counts make Spark expand each row once per text column;
-    ``exact_distinct=False`` counts those with HyperLogLog instead.
+    One aggregate pass for the statistics and, if there are text columns, one for their distinct values
+    (``distinct_counts``); all counts are exact.
     """
     fields = [f for f in df.schema.fields if f.name not in set(exclude)]
-    count = F.count_distinct if exact_distinct else (
-        lambda c: F.approx_count_distinct(c, SKETCH_ERROR)
-    )
+    texts = [f.name for f in fields if isinstance(f.dataType, StringType)]
+    if texts:
+        entries = F.collect_list(F.struct("place", "n_distinct"))
+        counts = distinct_counts(df, texts).agg(F.map_from_entries(entries)).scalar()
     aggregates, per_field = [F.count(F.lit(1)).alias("n_records")], []
     for i, field in enumerate(fields):
-        is_text = isinstance(field.dataType, StringType)
-        distinct = count(F.col(f"`{field.name}`")) if is_text else F.lit(None).cast("bigint")
-        stats = _statistics(field.name, field.dataType, distinct)
+        stats = _statistics(field.name, field.dataType)
         aggregates += [value.alias(f"c{i}_{key}") for key, value in stats.items()]
         named = {key: F.col(f"c{i}_{key}") for key in stats} | {"n_records": F.col("n_records")}
+        named["n_distinct"] = F.lit(None).cast("bigint")
+        if field.name in texts:
+            found = F.try_element_at(counts, F.lit(texts.index(field.name)))
+            named["n_distinct"] = F.coalesce(found, F.lit(0).cast("bigint"))
         null = F.lit(None).cast("double")
         per_field.append(
             F.struct(
@@ -183,14 +196,6 @@ def apply_profile(df: DataFrame, targets: Mapping[str, str]) -> DataFrame:
     return df.withColumns(out)
 
 
-def _near_a_threshold(row) -> bool:
-    """True where the error of an approximate distinct count could change the type."""
-    limits = (CATEGORY_MAX_DISTINCT, row.n_records * CATEGORY_RATIO)
-    return row.n_distinct is not None and any(
-        abs(row.n_distinct - limit) <= max(1, limit * NEAR_THRESHOLD) for limit in limits
-    )
-
-
 def optimize_types(
     df: DataFrame,
     *,
@@ -199,18 +204,12 @@ def optimize_types(
 ) -> DataFrame:
     """Force the ``special`` types, then narrow every other column by its profile.
 
-    Runs the profile with approximate distinct counts, and again with exact ones for the text
-    columns whose count is too near a threshold to tell.  Only one row per column comes to the
-    driver.
+    Runs the profile, whose counts are exact; only one row per column comes to the driver.
     """
     special = special or {}
     forced = force_types(df, special)
     skip = {*exclude, *(c for cols in special.values() for c in cols)}
-    rows = profile_columns(forced, exclude=skip, exact_distinct=False).collect()
-    unsure = [r.column_name for r in rows if _near_a_threshold(r)]
-    if unsure:
-        checked = profile_columns(forced.select(*[F.col(f"`{c}`") for c in unsure])).collect()
-        rows = [r for r in rows if r.column_name not in unsure] + checked
+    rows = profile_columns(forced, exclude=skip).collect()
     changes = {r.column_name: r.target_type for r in rows if r.target_type != r.source_type}
     return apply_profile(forced, changes)
 

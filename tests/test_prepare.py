@@ -152,11 +152,14 @@ def test_boolean_needs_all_values(spark):
     assert schema.profile_columns(nothing).first().target_type == "category"
 
 
-def test_approximate_profile_agrees_away_from_the_thresholds(spark):
-    df = spark.range(3000).selectExpr("cast(id as string) s", "cast(id % 5 as string) t")
-    exact = schema.profile_columns(df).select("column_name", "target_type").collect()
-    rough = schema.profile_columns(df, exact_distinct=False).select("column_name", "target_type").collect()
-    assert exact == rough and [r.target_type for r in exact] == ["string", "category"]
+def test_profile_counts_are_exact_and_expand_no_rows(spark):
+    df = spark.range(3000).selectExpr("cast(id as string) s", "cast(id % 5 as string) t", "if(id % 7 = 0, null, 'one') u", "cast(null as string) v", "id")
+    found = {r.column_name: (r.n_distinct, r.n_null, r.target_type) for r in schema.profile_columns(df).collect()}
+    assert found == {
+        "s": (3000, 0, "string"), "t": (5, 0, "category"), "u": (1, 429, "category"), "v": (0, 3000, "category"), "id": (None, 0, "smallint"),
+    }
+    plan = schema.profile_columns(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan and "approx_count_distinct" not in plan and "hyperloglog" not in plan.lower()
 
 
 def test_counts_near_a_threshold_are_made_exact(spark):
