@@ -1,8 +1,8 @@
 """A training-data pipeline over ``documents``: each stage takes all that its predecessor kept.
 
-Language ID drops documents without a language; near-deduplication keeps the smallest doc_id of each group of near
-copies (five-word Jaccard similarity of 0.8 or more); suffix-array deduplication cuts passages that an earlier document has; mixing repeats or drops
-documents so that the sources meet their target weights; packing turns the rest into token sequences.
+Language ID drops documents without a language; near-deduplication keeps the smallest doc_id of each group of documents that
+SimHash fingerprints link (op5's shingle length and bit distance); suffix-array deduplication cuts passages that an earlier document has;
+mixing repeats or drops documents so that the sources meet their target weights; packing turns the rest into token sequences.
 
 Stages read the documents' columns doc_id, text, lang, source and n_chars and keep any others.  Each operator's
 module states what becomes of nulls, empty texts, ties, repeated rows and empty tables.
@@ -14,7 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from blotterlake.llm import langid, mixing, near_copies, packing, suffix_dedup
+from blotterlake.llm import langid, mixing, packing, simhash, suffix_dedup
 from blotterlake.llm.common import prepare, scratch_path
 from blotterlake.llm.tokens import default_tokenizer
 
@@ -28,9 +28,9 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word similarity, which op5's word fingerprints do not reach."""
+    """One document of each group that op5's fingerprints link."""
     prepare(spark)
-    return near_copies.keep_one(docs)
+    return simhash.keep_one(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
