@@ -6,8 +6,10 @@ on columns of their own.
 
 from __future__ import annotations
 
+import ctypes
 import gc
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -55,6 +57,48 @@ def free_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+WORKER_CACHES: list[dict] = []  # what a Python worker keeps between tasks of one operator
+_at_work: list[str] = []
+
+
+def task_of(operator: str) -> Callable:
+    """Decorates a function over a task's batches: what tasks of another operator left in the reused worker goes first.
+
+    Caches are emptied, and memory that Arrow's and the C library's pools hold free is given back.
+    """
+
+    def decorate(run):
+        @wraps(run)
+        def wrapped(batches):
+            from blotterlake.llm import common  # the worker's module, not what was pickled with the function
+
+            common.start_task(operator)
+            yield from run(batches)
+
+        return wrapped
+
+    return decorate
+
+
+def start_task(operator: str) -> None:
+    if _at_work == [operator]:
+        return
+    changed, _at_work[:] = bool(_at_work), [operator]
+    if changed:
+        for cache in WORKER_CACHES:
+            cache.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+        if trim is not None:
+            trim(0)
+
+
+def by_place(docs: DataFrame, *named: str) -> DataFrame:
+    """All columns but ``named`` called c<place>, so that an operator's own names clash with none of them."""
+    return docs.toDF(*[c if c in named else f"c{i}" for i, c in enumerate(docs.columns)])
+
+
 def pack_columns(level: int = 1, **columns) -> bytes:
     """Arrow stream of equally long columns, compressed: one value to shuffle for many rows."""
     batch = pa.record_batch({k: v if isinstance(v, pa.Array) else pa.array(v) for k, v in columns.items()})

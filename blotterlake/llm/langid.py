@@ -19,17 +19,17 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from blotterlake.llm.common import by_bytes, crc_class
+from blotterlake.llm.common import by_bytes, by_place, crc_class, materialize, task_of
 
 BINS = 1 << 15
 SCALE = 4096  # weights are whole multiples of 1 / SCALE, so sums do not depend on their order
 SMOOTHING = 0.5
 AMBIGUOUS = 0.05  # of the total bit weight, between the two nearest codewords
-MAX_LANGUAGES = 512  # bounds the model and what the driver gathers for it
+SLICE = 512 << 10  # bytes of text whose n-grams are held at a time
+APART_ROWS = 512  # codewords compared with all others at a time
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
 TO_SPACE = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
@@ -66,9 +66,10 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
 def gram_counts(docs: DataFrame, label: str, text: str) -> DataFrame:
     """(language, bin, n): n-gram counts of the labelled rows, summed in the task before the shuffle."""
 
+    @task_of("langid")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
-        for batch in by_bytes(batches, 1):
+        for batch in by_bytes(batches, 1, SLICE):
             labels = batch.column(0).to_pylist()
             two, three, starts, valid = grams(batch.column(1).to_pylist())
             of_text = np.repeat(np.arange(len(labels)), np.diff(np.append(starts, len(two))))
@@ -108,34 +109,46 @@ def codewords(languages: int) -> np.ndarray:
     for _ in range(50):
         code = rng.choice(np.array([-1, 1], np.int8), (languages, width))
         code = code[:, np.abs(code.sum(0, dtype=int)) < languages]
-        apart = (code.shape[1] - code.astype(int) @ code.T.astype(int)) // 2
-        least = int(apart[~np.eye(languages, dtype=bool)].min())
+        least = _least_apart(code)
         if best is None or least > best[0]:
             best = (least, code)
     return best[1]
 
 
+def _least_apart(code: np.ndarray) -> int:
+    """Least number of bits in which two codewords differ."""
+    least, whole = code.shape[1], code.astype(np.float32)
+    for at in range(0, len(code), APART_ROWS):
+        alike = whole[at : at + APART_ROWS] @ whole.T
+        alike[np.arange(len(alike)), np.arange(at, at + len(alike))] = -code.shape[1]
+        least = min(least, int(code.shape[1] - alike.max()) // 2)
+    return least
+
+
 def fit(docs: DataFrame, label: str = "lang", text: str = "text") -> Model:
-    """Learn from all rows with a label and a text."""
-    counts = gram_counts(docs, label, text)
-    found = counts.select("language").distinct().limit(MAX_LANGUAGES + 1).collect()
-    if len(found) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    languages = tuple(sorted(r.language for r in found))
-    rows = counts.toArrow()
-    at = pd.Index(languages).get_indexer(rows.column("language").to_pandas())
-    table = np.zeros((len(languages), BINS))
-    table[at, rows.column("bin").to_numpy()] = rows.column("n").to_numpy()
-    share = (table + SMOOTHING) / (table + SMOOTHING).sum(1, keepdims=True)
+    """Learn from all rows with a label and a text.
+
+    The counts are made in one pass and stored; the driver takes in one language (a row of bins) at a time and holds what the
+    model has: sums for each bit and bin.
+    """
+    counts = materialize(gram_counts(docs, label, text), "gram-counts")
+    languages = tuple(sorted(r.language for r in counts.select("language").distinct().collect()))
     code = codewords(len(languages))
-    weights, bit_weight = [], []
-    for bit in code.T:
-        with_bit, without = share[bit > 0].mean(0), share[bit < 0].mean(0)
-        ratio = np.log(with_bit / without)
-        weights.append(np.round(ratio * SCALE).astype(np.int32))
-        bit_weight.append(((with_bit - without) * ratio).sum())
-    total = sum(bit_weight) or 1.0
-    return Model(languages, code, np.array(weights).reshape(-1, BINS), np.array(bit_weight) / total)
+    with_bit, without = np.zeros((code.shape[1], BINS)), np.zeros((code.shape[1], BINS))
+    rows = counts.groupBy("language").agg(F.collect_list(F.struct("bin", "n")).alias("bins")).orderBy("language")
+    for signs, row in zip(code, rows.toLocalIterator(prefetchPartitions=False)):
+        share = np.full(BINS, SMOOTHING)
+        bins, n = (np.array(x) for x in zip(*row.bins))
+        share[bins] += n
+        share /= share.sum()
+        with_bit[signs > 0] += share
+        without[signs < 0] += share
+    with_bit /= np.maximum((code > 0).sum(0), 1)[:, None]
+    without /= np.maximum((code < 0).sum(0), 1)[:, None]
+    ratio = np.log(with_bit / without)
+    bit_weight = ((with_bit - without) * ratio).sum(1)
+    total = bit_weight.sum() or 1.0
+    return Model(languages, code, np.round(ratio * SCALE).astype(np.int32), bit_weight / total)
 
 
 def predict(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -177,8 +190,9 @@ def training_rows(docs: DataFrame) -> DataFrame:
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, lang_pred, score and ambiguous for every document."""
 
+    @task_of("langid")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_bytes(batches, 2):
+        for batch in by_bytes(batches, 2, SLICE):
             names, scores, ambiguous = predict(model, batch.column(2).to_pylist())
             yield pa.record_batch({
                 "doc_id": batch.column(0), "held_out": batch.column(1), "lang_pred": pa.array(names, pa.string()),
@@ -191,20 +205,15 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, ambiguous boolean")
 
 
-def language_of(model: Model, text: Column) -> Column:
-    """Struct of lang_pred, score and ambiguous as a column function."""
-
-    @F.pandas_udf("lang_pred string, score double, ambiguous boolean")
-    def classify(texts: pd.Series) -> pd.DataFrame:
-        parts = []
-        for at in range(0, len(texts), 512):
-            names, scores, ambiguous = predict(model, [t if isinstance(t, str) else None for t in texts.iloc[at : at + 512]])
-            parts.append(pd.DataFrame({"lang_pred": names, "score": scores, "ambiguous": ambiguous}))
-        return pd.concat(parts) if parts else pd.DataFrame({"lang_pred": [], "score": [], "ambiguous": []})
-
-    return classify(text)
-
-
 def keep_known(docs: DataFrame, model: Model) -> DataFrame:
     """Documents in a language the model knows; those without one (``und``) go.  All columns as given."""
-    return docs.where(language_of(model, F.col("text").cast("string"))["lang_pred"] != UNKNOWN)
+    at = docs.columns.index("text")
+    plain = by_place(docs, "text").withColumn("text", F.col("text").cast("string"))
+
+    @task_of("langid")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in by_bytes(batches, at, SLICE):
+            names, _, _ = predict(model, batch.column(at).to_pylist())
+            yield batch.filter(pa.array([name != UNKNOWN for name in names]))
+
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)

@@ -22,7 +22,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from blotterlake.llm.common import materialize
+from blotterlake.llm.common import by_place, materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -126,6 +126,7 @@ def mix_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: float
     rows = materialize(sized(docs), "mix-sizes")
     plan = mixing_plan(rows, weights, most)
     plan = plan.select(F.struct(*plan.columns).alias("__mix_plan"))
+    docs, names = by_place(docs, "doc_id", "text", "source"), docs.columns
     with_size = docs.withColumns({"__mix_" + c: f for c, f in zip(("source", "size", "hash"), _sized_columns())})
     joined = with_size.join(plan, F.col("__mix_source").eqNullSafe(F.col("__mix_plan.source")), "left")
     flat = joined.select(
@@ -135,7 +136,7 @@ def mix_documents(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: float
     repeated = flat.select(
         "__mix_row", F.explode(F.array_repeat(F.lit(0), F.coalesce(copies, F.lit(1)))).alias("__mix_copy")
     )
-    return repeated.select("__mix_row.*")
+    return repeated.select("__mix_row.*").toDF(*names)
 
 
 def _sized_columns() -> list[Column]:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from blotterlake.llm.common import by_bytes, texts
+from blotterlake.llm.common import by_bytes, task_of, texts
 from blotterlake.llm.tokens import encoder
 
 WAITING_TOKENS = 1 << 22  # packed down to a sixteenth of this whenever more wait
@@ -222,6 +222,7 @@ def pack_documents(
     adds the piece's ids, so that the rows of a sequence by ``offset`` are its content.
     """
 
+    @task_of("packing")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, packer = encoder(tokenizer), _packer(limits, True, with_ids)
         for batch in by_bytes(batches, 1):

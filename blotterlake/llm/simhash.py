@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from blotterlake.llm.bktree import build, least_linked, search
-from blotterlake.llm.common import by_bytes, materialize, texts
+from blotterlake.llm.common import by_bytes, by_place, materialize, task_of, texts
 from blotterlake.llm.components import components
 
 SHINGLE = 3
@@ -54,6 +54,7 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, a hash of the text, and the 64 bits as a signed long."""
 
+    @task_of("simhash")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_bytes(batches, 1):
             found = [fingerprint(t.as_buffer().to_pybytes(), shingle) for t in batch.column(1)]
@@ -130,31 +131,49 @@ def links(distinct: DataFrame, radius: int = RADIUS, hot_group: int = HOT_GROUP)
     return shards.repartition("shard").sortWithinPartitions("shard").mapInArrow(run, "u long, v long")
 
 
+def _rooted(
+    docs: DataFrame, shingle: int, radius: int, hot_group: int
+) -> tuple[DataFrame, DataFrame]:
+    """The fingerprints of all rows, stored; and of each distinct one the least of its component (root) and the least doc_id that has it."""
+    prints = materialize(fingerprints(docs, shingle), "fingerprints")
+    distinct = materialize(prints.groupBy("bits").agg(F.min("doc_id").alias("least_doc")), "distinct-fingerprints")
+    roots = components(links(distinct, radius, hot_group))
+    rooted = distinct.join(roots, F.col("bits") == F.col("u"), "left")
+    return prints, rooted.select(F.col("bits").alias("of_bits"), "least_doc", F.coalesce("v", "bits").alias("root"))
+
+
 def near_duplicates(
     docs: DataFrame, *, shingle: int = SHINGLE, radius: int = RADIUS, hot_group: int = HOT_GROUP
 ) -> DataFrame:
     """doc_id, fingerprint and component_id, the smallest doc_id that links reach; and a hash of the text."""
-    prints = materialize(fingerprints(docs, shingle), "fingerprints")
-    distinct = materialize(prints.groupBy("bits").agg(F.min("doc_id").alias("least_doc")), "distinct-fingerprints")
-    roots = components(links(distinct, radius, hot_group))
-    rooted = distinct.join(roots, F.col("bits") == F.col("u"), "left").select(
-        "bits", "least_doc", F.coalesce("v", "bits").alias("root")
-    )
+    prints, rooted = _rooted(docs, shingle, radius, hot_group)
     named = rooted.groupBy("root").agg(F.min("least_doc").alias("component_id"))
-    of_bits = rooted.join(named, "root").select(F.col("bits").alias("of_bits"), "component_id")
+    of_bits = rooted.join(named, "root").select("of_bits", "component_id")
     return prints.join(of_bits, F.col("bits") == F.col("of_bits")).select(
         "doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id", "text_hash"
     )
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """The document with the smallest doc_id of each component; all columns as given.
+def keep_one(
+    docs: DataFrame, *, shingle: int = SHINGLE, radius: int = RADIUS, hot_group: int = HOT_GROUP
+) -> DataFrame:
+    """One row of each component: of the document with the smallest doc_id; all columns as given.
 
-    Documents without an id stay only where no document of their component has one.  Rows that repeat
-    the id that stays stay with it.
+    A document without an id stays only where no document of its component has one, and of several such the one of the text
+    with the least hash.  Of rows that repeat the id and text that stay, one stays; which of them is not defined where
+    their other columns differ.
     """
-    found = near_duplicates(docs, **options).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = found.select(F.col("doc_id").alias("__kept_id"), F.col("text_hash").alias("__kept_text")).distinct()
+    prints, rooted = _rooted(docs, shingle, radius, hot_group)
+    rows = prints.groupBy("bits", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("rows"))
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "rows")
+    least = rows.groupBy("bits").agg(F.min(row).alias("least")).join(rooted, F.col("bits") == F.col("of_bits"))
+    least = least.groupBy("root").agg(F.min("least").alias("least"))
+    kept = least.select(F.col("least.doc_id").alias("kept_id"), F.col("least.text_hash").alias("kept_text"), F.col("least.rows").alias("kept_rows"))
+    kept = materialize(kept, "kept-documents")
+    plain = by_place(docs, "doc_id", "text")
     of_text = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__kept_id")) & (of_text == F.col("__kept_text"))
-    return docs.join(kept, same, "left_semi")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("kept_id")) & (of_text == F.col("kept_text"))
+    once = plain.join(kept.where("kept_rows = 1"), same, "left_semi")
+    repeated = materialize(kept.where("kept_rows > 1"), "kept-repeats")  # few: its size lets the join be a broadcast
+    again = plain.join(repeated, same).dropDuplicates(["kept_id", "kept_text"])
+    return once.union(again.select(*plain.columns)).toDF(*docs.columns)

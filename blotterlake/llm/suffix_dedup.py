@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from blotterlake.llm.common import by_bytes, byte_view, free_shuffles, materialize, numpy_columns, pack_columns, ranges, text_parts, texts
+from blotterlake.llm.common import WORKER_CACHES, by_bytes, byte_view, free_shuffles, materialize, numpy_columns, pack_columns, ranges, task_of, text_parts, texts
 from blotterlake.llm.suffixes import common_prefixes, maximal_repeats, suffix_array
 
 LENGTH = 50
@@ -50,6 +50,7 @@ REPORT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 s
 _BASE = 0x9E3779B97F4A7C15
 _BYTES = np.random.default_rng(50).integers(1, 1 << 63, 256).astype(np.uint64)
 _POWERS: dict[int, np.ndarray] = {}
+WORKER_CACHES.append(_POWERS)
 
 
 # ---- chunks -------------------------------------------------------------------------------
@@ -59,6 +60,7 @@ def stored_chunks(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """Rows of about ``chunk_bytes`` of text: chunk number and the documents as an Arrow stream."""
     at = docs.columns.index("text")
 
+    @task_of("suffix_dedup")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         size, chunk = 0, TaskContext.get().partitionId() << 32

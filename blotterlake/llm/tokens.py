@@ -13,9 +13,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from blotterlake.llm.common import WORKER_CACHES
+
 CACHE_WORDS = 400_000  # words remembered per Python worker; a full memory is emptied
 END_ID = 1
 _ENCODERS: dict[str, WordEncoder] = {}
+WORKER_CACHES.append(_ENCODERS)
 
 
 def default_tokenizer() -> str:
@@ -25,7 +28,7 @@ def default_tokenizer() -> str:
 
 
 def encoder(path: str) -> WordEncoder:
-    """The worker's encoder of a tokenizer file, kept between tasks."""
+    """The worker's encoder of a tokenizer file, kept between tasks of one operator."""
     if path not in _ENCODERS:
         _ENCODERS[path] = WordEncoder(path)
     return _ENCODERS[path]

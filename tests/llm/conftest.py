@@ -40,7 +40,7 @@ def odd_rows():
 def as_documents(spark, rows, parts=3):
     """With extra columns whose names operators use inside."""
     df = spark.createDataFrame(rows, DOCUMENTS).repartition(parts)
-    for name in ("size", "bits", "key", "hash", "chunk", "part", "bucket", "source_size", "fingerprint", "__kept_id_", "c0", "held_out", "shard"):
+    for name in ("size", "bits", "key", "hash", "chunk", "part", "bucket", "source_size", "fingerprint", "kept_id", "kept_text", "kept_rows", "of_bits", "__mix_source", "__mix_size", "__mix_hash", "__mix_plan", "__mix_row", "c0", "c7", "held_out", "shard"):
         df = df.withColumn(name, F.lit("extra"))
     return df
 

@@ -18,7 +18,7 @@ def stage(name):
 
 
 def test_registered():
-    assert {f"op{i}" for i in range(1, 11)} == {n.split("_")[0] for n in QUERIES}
+    assert {f"op{i}" for i in range(1, 14)} == {n.split("_")[0] for n in QUERIES}
     assert set(QUERIES) | {"pipeline"} <= set(contract.queries())
 
 
@@ -78,3 +78,13 @@ def test_pipeline_of_odd_rows(spark, odd, no_documents):
 def test_run(spark):
     found = contract.queries()["pipeline"](spark, SF).collect()
     assert found and {"doc_id", "sequence_id", "offset", "ids"} <= set(found[0].asDict())
+
+
+def test_columns_of_any_name_come_through(spark):
+    """Columns called as the operators' own are kept with their values."""
+    docs = as_documents(spark, sample_rows()[:40])
+    extra = [c for c in docs.columns if c not in ("doc_id", "text", "lang", "source", "n_chars")]
+    for name in ("language ID", "SimHash near-dedup", "suffix-array dedup", "mixing sources to target weights"):
+        kept = stage(name)(spark, docs, SF)
+        assert kept.columns == docs.columns
+        assert {tuple(r) for r in kept.select(*[f"`{c}`" for c in extra]).distinct().collect()} == {("extra",) * len(extra)}
