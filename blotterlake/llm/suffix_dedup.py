@@ -38,7 +38,7 @@ from blotterlake.llm.suffixes import common_prefixes, maximal_repeats, suffix_ar
 
 LENGTH = 50
 GRAM = 20
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 4 << 20
 BUCKET_BYTES = 6 << 20  # of text whose keys one bucket gets
 HOT_SUFFIXES = 100_000
 SEGMENT = 1 << 19
@@ -420,6 +420,22 @@ def removed_places(runs: DataFrame) -> DataFrame:
 # ---- the result -----------------------------------------------------------------------------
 
 
+def marked(at: np.ndarray, n: np.ndarray, size: int) -> np.ndarray:
+    """One byte for each of ``size`` bytes: whether a stretch covers it."""
+    _, first, last, _ = merged(np.zeros(len(at), np.int64), at, n)
+    edges = np.stack((first, last), 1).ravel()
+    return np.repeat(np.arange(len(edges) + 1) % 2 == 1, np.diff(edges, prepend=0, append=size))
+
+
+def counts_at(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """How many flags are set before each of the offsets of the documents, of which the first is 0 and the last the end."""
+    some = np.flatnonzero(np.diff(offsets))
+    found = np.zeros(len(offsets), np.int64)
+    if len(some):
+        found[some + 1] = np.add.reduceat(flags.view(np.uint8), offsets[some], dtype=np.int64)
+    return np.cumsum(found)
+
+
 def _apply(docs: DataFrame, result: Callable[[Chunk, np.ndarray], pa.Table], schema: str | StructType, hot: int, chunk_bytes: int) -> DataFrame:
     """``result(chunk, gone)`` of every chunk; ``gone`` marks the bytes to remove."""
     id_at, text_at = docs.columns.index("doc_id"), docs.columns.index("text")
@@ -432,12 +448,9 @@ def _apply(docs: DataFrame, result: Callable[[Chunk, np.ndarray], pa.Table], sch
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         chunk = Chunk(left.column("body")[0].as_buffer(), id_at, text_at)
-        change = np.zeros(len(chunk.flat) + 1, np.int32)
-        for blob in right.column("places"):
-            at, n = (x.astype(np.int64) for x in numpy_columns(blob.as_buffer(), "at", "n"))
-            np.add.at(change, at, 1)
-            np.subtract.at(change, at + n, 1)
-        return result(chunk, np.cumsum(change[:-1], dtype=np.int32) > 0)
+        places = [numpy_columns(blob.as_buffer(), "at", "n") for blob in right.column("places")]
+        at, n = (np.concatenate([np.empty(0, np.int64), *(x.astype(np.int64) for x in column)]) for column in zip(*places)) if places else [np.empty(0, np.int64)] * 2
+        return result(chunk, marked(at, n, len(chunk.flat)))
 
     return chunks.groupBy("chunk").cogroup(gone.groupBy("chunk")).applyInArrow(finish, schema)
 
@@ -446,19 +459,17 @@ def repeat_report(docs: DataFrame, *, hot: int = HOT_SUFFIXES, chunk_bytes: int
     """doc_id, n_bytes, n_removed, n_spans and the SHA-256 of what is kept, per document."""
 
     def report(chunk: Chunk, gone: np.ndarray) -> pa.Table:
-        total = np.concatenate(([0], np.cumsum(gone, dtype=np.int32)))
         opens = gone.copy()
         opens[1:] &= ~gone[:-1]
         inner = chunk.offsets[:-1][np.diff(chunk.offsets) > 0]
         opens[inner] = gone[inner]  # spans end with their document
-        spans = np.concatenate(([0], np.cumsum(opens, dtype=np.int32)))
-        a, b = chunk.offsets[:-1], chunk.offsets[1:]
+        removed, spans = counts_at(gone, chunk.offsets), counts_at(opens, chunk.offsets)
         kept = chunk.flat[~gone].tobytes()
-        edge = (chunk.offsets - total[chunk.offsets]).tolist()
+        edge = (chunk.offsets - removed).tolist()
         hashes = [hashlib.sha256(kept[i:j]).hexdigest() for i, j in zip(edge, edge[1:])]
         return pa.table({
-            "doc_id": chunk.table.column(0).cast(pa.int64()), "n_bytes": pa.array(b - a), "n_removed": pa.array((total[b] - total[a]).astype(np.int64)),
-            "n_spans": pa.array((spans[b] - spans[a]).astype(np.int64)), "kept_sha256": pa.array(hashes, pa.string()),
+            "doc_id": chunk.table.column(0).cast(pa.int64()), "n_bytes": pa.array(np.diff(chunk.offsets)), "n_removed": pa.array(np.diff(removed)),
+            "n_spans": pa.array(np.diff(spans)), "kept_sha256": pa.array(hashes, pa.string()),
         })
 
     return _apply(texts(docs), report, REPORT, hot, chunk_bytes)
@@ -473,9 +484,8 @@ def remove_repeats(docs: DataFrame, *, hot: int = HOT_SUFFIXES, chunk_bytes: int
     count_at = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
     def cut(chunk: Chunk, gone: np.ndarray) -> pa.Table:
-        total = np.concatenate(([0], np.cumsum(gone, dtype=np.int32)))
         kept = chunk.flat[~gone].tobytes()
-        edge = (chunk.offsets - total[chunk.offsets]).tolist()
+        edge = (chunk.offsets - counts_at(gone, chunk.offsets)).tolist()
         null = chunk.table.column(text_at).is_null().to_pylist()
         rows = [None if empty else kept[i:j].decode("utf-8", "ignore") for i, j, empty in zip(edge, edge[1:], null)]
         columns = list(chunk.table.columns)
