@@ -205,6 +205,9 @@ class Packer:
         return pa.record_batch(batch)
 
 
+SLICE = 2 << 20  # bytes of text encoded at a time
+
+
 def _schema(with_ids: bool) -> str:
     return PIECES + (", ids array<int>" if with_ids else "")
 
@@ -225,7 +228,7 @@ def pack_documents(
     @task_of("packing")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, packer = encoder(tokenizer), _packer(limits, True, with_ids)
-        for batch in by_bytes(batches, 1):
+        for batch in by_bytes(batches, 1, SLICE):
             ids, ends = words.texts(batch.column(1))
             for doc_id, a, b in zip(batch.column(0).to_pylist(), ends.tolist(), ends[1:].tolist()):
                 packer.add(Example(doc_id, ids[a:b], None))

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from blotterlake.llm.common import WORKER_CACHES, by_bytes, byte_view, free_shuffles, materialize, numpy_columns, pack_columns, ranges, task_of, text_parts, texts
+from blotterlake.llm.common import WORKER_CACHES, by_bytes, byte_view, free_shuffles, lean, materialize, numpy_columns, pack_columns, ranges, task_of, text_parts, texts
 from blotterlake.llm.suffixes import common_prefixes, maximal_repeats, suffix_array
 
 LENGTH = 50
@@ -249,6 +249,7 @@ def shared_runs(chunks: DataFrame, shared: DataFrame, buckets: int, id_at: int,
     A negative bucket, -1 - chunk, holds the places of the chunk that repeat within it.
     """
 
+    @lean
     def send(left: pa.Table, right: pa.Table) -> pa.Table:
         number = left.column("chunk")[0].as_py()
         chunk = Chunk(left.column("body")[0].as_buffer(), id_at, text_at)
@@ -376,6 +377,7 @@ def merged(owner: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np
 def removed_places(runs: DataFrame) -> DataFrame:
     """(chunk, places): what goes, as starts and lengths in the chunk's bytes."""
 
+    @lean
     def find(group: pa.Table) -> pa.Table:
         kind = {"chunk": pa.int64(), "places": pa.binary()}
         if group.column("bucket")[0].as_py() < 0:
@@ -446,6 +448,7 @@ def _apply(docs: DataFrame, result: Callable[[Chunk, np.ndarray], pa.Table], sch
     gone = materialize(removed_places(shared_runs(chunks, shared, buckets, id_at, text_at)), "removed-places")
     free_shuffles(docs.sparkSession)
 
+    @lean
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         chunk = Chunk(left.column("body")[0].as_buffer(), id_at, text_at)
         places = [numpy_columns(blob.as_buffer(), "at", "n") for blob in right.column("places")]

@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 
 from blotterlake.llm.common import WORKER_CACHES
 
-CACHE_WORDS = 400_000  # words remembered per Python worker; a full memory is emptied
+CACHE_WORDS = 250_000  # words remembered per Python worker; a full memory is emptied
 END_ID = 1
 _ENCODERS: dict[str, WordEncoder] = {}
 WORKER_CACHES.append(_ENCODERS)
