@@ -205,7 +205,8 @@ class Packer:
         return pa.record_batch(batch)
 
 
-SLICE = 2 << 20  # bytes of text encoded at a time
+SLICE = 4 << 20  # bytes of text encoded at a time
+HELD_WORDS = 1_000_000  # by an encoder; packing holds little else
 
 
 def _schema(with_ids: bool) -> str:
@@ -217,18 +218,20 @@ def _packer(limits: Limits, cut: bool, with_ids: bool) -> Packer:
 
 
 def pack_documents(
-    docs: DataFrame, tokenizer: str, limits: Limits = Limits(), *, with_ids: bool = False
+    docs: DataFrame, tokenizer: str, limits: Limits = Limits(), *, with_ids: bool = False, held_words: int = HELD_WORDS,
+    slice_bytes: int = SLICE,
 ) -> DataFrame:
     """One row per piece of a document: where it starts in the document and where in a sequence.
 
     A document is its ids and the end id; all but its first token are loss-bearing.  ``with_ids``
-    adds the piece's ids, so that the rows of a sequence by ``offset`` are its content.
+    adds the piece's ids, so that the rows of a sequence by ``offset`` are its content.  ``held_words`` and ``slice_bytes`` bound
+    what a worker holds, and change no result.
     """
 
     @task_of("packing")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, packer = encoder(tokenizer), _packer(limits, True, with_ids)
-        for batch in by_bytes(batches, 1, SLICE):
+        words, packer = encoder(tokenizer, held_words), _packer(limits, True, with_ids)
+        for batch in by_bytes(batches, 1, slice_bytes):
             ids, ends = words.texts(batch.column(1))
             for doc_id, a, b in zip(batch.column(0).to_pylist(), ends.tolist(), ends[1:].tolist()):
                 packer.add(Example(doc_id, ids[a:b], None))

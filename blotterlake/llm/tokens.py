@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 
 from blotterlake.llm.common import WORKER_CACHES
 
-CACHE_WORDS = 250_000  # words remembered per Python worker; a full memory is emptied
+CACHE_WORDS = 400_000  # words an encoder remembers; a full memory is emptied
 END_ID = 1
 _ENCODERS: dict[str, WordEncoder] = {}
 WORKER_CACHES.append(_ENCODERS)
@@ -27,10 +27,11 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def encoder(path: str) -> WordEncoder:
+def encoder(path: str, held_words: int = CACHE_WORDS) -> WordEncoder:
     """The worker's encoder of a tokenizer file, kept between tasks of one operator."""
     if path not in _ENCODERS:
         _ENCODERS[path] = WordEncoder(path)
+    _ENCODERS[path].held_words = held_words
     return _ENCODERS[path]
 
 
@@ -46,6 +47,7 @@ class WordEncoder:
         for token, i in self.tokenizer.get_vocab().items():
             self.word_end[i] = token.endswith("</w>")
         self.memory: dict[str, bytes] = {}
+        self.held_words = CACHE_WORDS
 
     def encode(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind)
@@ -69,7 +71,7 @@ class WordEncoder:
     def words(self, words: list[str]) -> list[bytes]:
         """Ids of each word as bytes."""
         memory = self.memory
-        if len(memory) > CACHE_WORDS:
+        if len(memory) > self.held_words:
             memory.clear()
         missing = [w for w in words if w not in memory]
         if missing:
