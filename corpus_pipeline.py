@@ -48,7 +48,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences: one row per piece of a document, with its ids."""
     prepare(spark)
-    return packing.pack_documents(docs, default_tokenizer(), with_ids=True)
+    # Four stages before this one have filled the executors' heaps, so workers hold less than in op1.
+    return packing.pack_documents(docs, default_tokenizer(), with_ids=True, held_words=250_000, slice_bytes=2 << 20)
 
 
 STAGES: list[tuple[str, Stage]] = [
