@@ -609,6 +609,7 @@ oracle(
 
 # aggregates
 oracle("hourly_counts", f"SELECT {COUNT_KEYS}, arrest_id_count FROM hourly", "flagged", more=ANALYSIS)
+oracle("hourly_counts_incremental", f"SELECT {COUNT_KEYS}, arrest_id_count FROM hourly", "flagged", more=ANALYSIS)
 oracle(
     "total_count",
     "SELECT count(*) AS n_records FROM flagged WHERE lead_charge_police_related IS NOT NULL", "flagged",
@@ -753,6 +754,13 @@ oracle(
     "prepared", more=EDGES,
 )
 
+oracle(
+    "network_patterns",
+    """SELECT 'beats' AS pattern, src AS beat, dst AS unit FROM edges
+UNION ALL SELECT DISTINCT 'near', b.src, b.dst FROM edges a JOIN edges b ON a.dst = b.dst WHERE a.src = '0000'""",
+    "prepared", more=EDGES,
+)
+
 # text and classification
 oracle("clean_text", "SELECT description, text FROM ruled_text", "ruled_text")
 oracle("clean_documents", f"SELECT doc_id, {clean('text')} AS text FROM documents")

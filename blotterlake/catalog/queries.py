@@ -15,7 +15,7 @@ from blotterlake.functions.dates import (
 from blotterlake.functions.keys import number_key
 from blotterlake.functions.severity import charge_type, severity_code
 from blotterlake.functions.text import clean_text, title_case_name
-from blotterlake.operators import bayes, density, hourly, lookups, network, quality, rules, schema
+from blotterlake.operators import bayes, density, hourly, incremental, lookups, network, quality, rules, schema
 from blotterlake.operators.fuzzy import fuzzy_match
 from blotterlake.operators.stemming import clean_texts
 from blotterlake.plans import classify as cascade
@@ -494,6 +494,17 @@ def hourly_counts(spark, sf):
     return hourly.hourly_counts(flagged(spark, sf))
 
 
+@query
+def hourly_counts_incremental(spark, sf):
+    """Counts of a table by day of the month, brought up to date after its later days were appended."""
+    source, store = scratch_path(spark, "by-day"), scratch_path(spark, "counts-by-day")
+    rows = materialize(flagged(spark, sf), "flagged")
+    for some in (F.col("arrest_day") <= 15, F.col("arrest_day") > 15):
+        rows.where(some).write.partitionBy("arrest_day").mode("append").parquet(source)
+        groups = incremental.refresh_counts(spark, source, store, hourly.count_groups, column="arrest_day")
+    return groups.dropna(subset=list(hourly.COUNT_KEYS)).select(*hourly.COUNT_KEYS, "arrest_id_count")
+
+
 @query
 def total_count(spark, sf):
     return hourly.total_count(hourly.hourly_counts(flagged(spark, sf)))
@@ -607,6 +618,18 @@ def beats_per_unit(spark, sf):
     return network.beats_per_unit(network.network_edges(prepared(spark, sf)))
 
 
+@query
+def network_patterns(spark, sf):
+    """Beats of units, and beats that share a unit with a given one, as patterns."""
+    facts = network.relations(prepared(spark, sf))
+    beats = network.match_patterns(facts, [("isA", "?unit", "unit"), ("assignedTo", "?beat", "?unit")])
+    chain = [("assignedTo", "0000", "?unit"), ("isA", "?beat", "beat"), ("assignedTo", "?beat", "?unit")]
+    near = network.match_patterns(facts, chain)
+    return beats.select(F.lit("beats").alias("pattern"), "beat", "unit").unionByName(
+        near.select(F.lit("near").alias("pattern"), "beat", "unit")
+    )
+
+
 # ---- text and classification --------------------------------------------------------------
 
 
