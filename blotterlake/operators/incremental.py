@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -43,13 +44,14 @@ def refresh_counts(
     known = {} if stored is None else {r[PARTITION]: r[VERSION] for r in stored.select(PARTITION, VERSION).distinct().collect()}
     changed = sorted(p for p, version in found.items() if known.get(p) != version)
     gone = sorted(set(known) - set(found))
-    if changed or gone or stored is None:
+    if stored is None and not changed:
+        raise FileNotFoundError(f"no partitions by {column} at {source}")
+    parts = [stored.where(~F.col(PARTITION).isin(changed + gone))] if stored is not None else []
+    if changed:
         name = F.coalesce(F.col(column).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__"))
-        versions = F.create_map(*[F.lit(x) for p in changed for x in (p, found[p])]) if changed else F.create_map(F.lit(""), F.lit(""))
+        version = F.create_map(*[F.lit(x) for p in changed for x in (p, found[p])])
         fresh = count(read_table(spark, source).where(name.isin(changed)))
-        fresh = fresh.withColumn(PARTITION, name).withColumn(VERSION, F.try_element_at(versions, F.col(PARTITION)))
-        kept = [] if stored is None else [stored.where(~F.col(PARTITION).isin(changed + gone))]
-        for table in kept:
-            fresh = fresh.unionByName(table)
-        publish_table(fresh, store)
+        parts.append(fresh.withColumn(PARTITION, name).withColumn(VERSION, F.try_element_at(version, F.col(PARTITION))))
+    if changed or gone:
+        publish_table(reduce(DataFrame.unionByName, parts), store)
     return read_table(spark, store).drop(PARTITION, VERSION)
