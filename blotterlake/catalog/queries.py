@@ -147,7 +147,7 @@ def sink_roundtrip_csv(spark, sf):
 
 @query
 def geo_points(spark, sf):
-    """GeoJSON collections of up to 1000 suppliers, one per file, written and then scanned."""
+    """GeoJSON collections of up to 1000 suppliers, written and then scanned feature by feature."""
     path = scratch_path(spark, "points")
     s = table(spark, sf, "supplier")
     feature = F.struct(
@@ -160,8 +160,8 @@ def geo_points(spark, sf):
     )
     block = F.floor(F.col("s_suppkey") / 1000).alias("block")
     collections = s.groupBy(block).agg(F.collect_list(feature).alias("features"))
-    collections.write.option("maxRecordsPerFile", 1).json(path)
-    points = tables.read_points(spark, path, "dist_label string, dist_num string")
+    collections.write.json(path)
+    points = tables.read_points(spark, path, "dist_label string, dist_num string", feature_start='{"properties":')
     return points.select(
         "dist_label", "dist_num", F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat")
     )

@@ -225,16 +225,31 @@ def write_matrix_csv(matrix: DataFrame, path: str) -> None:
     writer.option("escape", '"').csv(path)
 
 
-def read_points(spark: SparkSession, path: str, properties: str) -> DataFrame:
-    """Point features of GeoJSON collections, one collection per file.
+COLLECTION_HEAD = r'(?s)^\s*(\{.*"features"\s*:\s*\[\s*(\].*)?)?$'
+GEOMETRY_KEY = r'"geometry"\s*:'
 
-    ``properties`` is the DDL of the feature properties to keep.
+
+def read_points(spark: SparkSession, path: str, properties: str, *, feature_start: str | None = None) -> DataFrame:
+    """Point features of GeoJSON collections; null ``lon`` and ``lat`` where a feature has no geometry.
+
+    ``properties`` is the DDL of the feature properties to keep.  With ``feature_start``, the text every feature
+    begins with (say ``{ "type": "Feature",``), Spark splits the files there and features are parsed one by one
+    by many tasks; text that is neither a feature nor a collection's head, and features that begin otherwise, are
+    an error.  Without it a file is one collection and one task.
     """
     feature = f"struct<properties:struct<{properties}>,geometry:struct<coordinates:array<double>>>"
-    documents = (
-        spark.read.schema(f"features array<{feature}>").option("multiLine", True).json(path)
-    )
-    point = documents.select(F.explode("features").alias("f"))
+    if feature_start is None:
+        documents = spark.read.schema(f"features array<{feature}>").option("multiLine", True).json(path)
+        point = documents.select(F.explode("features").alias("f"))
+    else:
+        pieces = spark.read.option("lineSep", feature_start).text(path)
+        # What follows a feature in its piece (a comma, the collection's end) is not parsed.
+        parsed = pieces.select("value", F.from_json(F.concat(F.lit(feature_start), "value"), feature).alias("f"))
+        is_feature = F.col("f.properties").isNotNull() | F.col("f.geometry").isNotNull()
+        whole = is_feature & (F.regexp_count("value", F.lit(GEOMETRY_KEY)) <= 1)
+        error = F.raise_error(F.concat(F.lit("not one feature: "), F.substring("value", 1, 200)))
+        kept = F.when(whole, True).when(~is_feature & F.col("value").rlike(COLLECTION_HEAD), False).otherwise(error.cast("boolean"))
+        point = parsed.where(kept)
     return point.select(
         "f.properties.*",
         F.col("f.geometry.coordinates")[0].alias("lon"),

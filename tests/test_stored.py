@@ -135,3 +135,36 @@ def test_csv_incidents_are_split_unless_lines_are_quoted(spark, tmp_path):
         assert split.columns == ["arrest_id", "note"] and split.exceptAll(whole).count() == 0 and split.count() == 40_000
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def _features(n):
+    """One collection, laid out as common writers do: heads with nested objects, a null geometry, braces in values."""
+    head = '{\n"type": "FeatureCollection",\n"crs": { "type": "name", "properties": { "name": "x" } },\n"features": [\n'
+    rows = [
+        f'{{ "type": "Feature", "properties": {{ "label": "a}} {i}, é", "num": "{i}" }}, '
+        + ('"geometry": null }' if i == 7 else f'"geometry": {{ "type": "Point", "coordinates": [ {i / 8}, {-i / 4} ] }} }}')
+        for i in range(n)
+    ]
+    return head + ",\n".join(rows) + "\n]\n}\n"
+
+
+def test_one_large_collection_is_read_by_many_tasks(spark, tmp_path):
+    (tmp_path / "large.geojson").write_text(_features(20_000), encoding="utf-8")
+    (tmp_path / "none.geojson").write_text('{ "type": "FeatureCollection", "features": [ ] }\n')
+    ddl = "label string, num string"
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256k")
+    try:
+        found = tables.read_points(spark, str(tmp_path), ddl, feature_start='{ "type": "Feature",')
+        assert found.rdd.getNumPartitions() >= 8
+        rows = sorted(map(tuple, found.collect()), key=lambda r: int(r[1]))
+        whole = sorted(map(tuple, tables.read_points(spark, str(tmp_path), ddl).collect()), key=lambda r: int(r[1]))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert rows == whole == [(f"a}} {i}, é", str(i), None if i == 7 else i / 8, None if i == 7 else -i / 4) for i in range(20_000)]
+
+
+@pytest.mark.parametrize("start", ['{ "type": "Feature", "id"', '{ "type":  "Feature",', '"properties":'])
+def test_features_that_begin_otherwise_are_an_error(spark, tmp_path, start):
+    (tmp_path / "a.geojson").write_text(_features(5), encoding="utf-8")
+    with pytest.raises(Exception, match="not one feature"):
+        tables.read_points(spark, str(tmp_path), "label string, num string", feature_start=start).collect()
