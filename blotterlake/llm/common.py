@@ -48,6 +48,14 @@ def text_parts(docs: DataFrame, part_bytes: int) -> int:
     return max(1, -(-int(total) // part_bytes))
 
 
+def drop_stored(df: DataFrame) -> None:
+    """Delete a table that ``materialize`` stored, once nothing that is still to run reads it."""
+    spark = df.sparkSession
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def free_shuffles(spark: SparkSession) -> None:
     """Let Spark delete the files of shuffles that no table in use comes from.
 

@@ -5,6 +5,8 @@ sequence takes, among the examples that fit, the one whose demand has the larges
 the room left (each dimension as a share of its limit, weighted by the mean demand), until nothing
 fits.  With ``cut`` a gap is then filled with the head of the largest waiting example, whose
 rest waits on; so what is left open is one sequence per partition, which is cut at powers of two.
+Where segments or loss run out first, as they do for short examples, a sequence that would be padded by over 1/``FULL``
+of its room ends at a power of two and what is behind that waits on.
 
 Packing is local to a partition of the input and streams through it: a bounded number of waiting
 tokens is held, nothing is shuffled, no key or source gathers rows.
@@ -28,6 +30,7 @@ from pyspark.sql import DataFrame, functions as F
 from blotterlake.llm.common import by_bytes, task_of, texts
 from blotterlake.llm.tokens import encoder
 
+FULL = 64
 WAITING_TOKENS = 1 << 22  # packed down to a sixteenth of this whenever more wait
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, "
@@ -102,13 +105,18 @@ class Packer:
                 return
             if length < room.tokens and loss <= room.loss_tokens:
                 break
-            whole = example.head(room.tokens, room.loss_tokens) if self.cut else length
+            whole = self.unpadded(example.head(room.tokens, room.loss_tokens)) if self.cut else length
             self.emit(example, whole, 0, 0)
             self.sequence += 1
         self.wait(example)
         if self.tokens_waiting > WAITING_TOKENS:
             self.pack(WAITING_TOKENS // 16)
 
+    def unpadded(self, length: int) -> int:
+        """How much of a sequence to keep: all if it is nearly full, else a power of two."""
+        nearly = length >= self.limits.tokens - self.limits.tokens // FULL
+        return length if nearly or not length else 1 << (length.bit_length() - 1)
+
     def wait(self, example: Example) -> None:
         demand = example.demand()
         if demand[0]:
@@ -131,7 +139,7 @@ class Packer:
                 new_kinds += self.fill(kinds, demand, count, value, leave == 0)
 
     def fill(self, kinds: list, demand: np.ndarray, count: np.ndarray, value: np.ndarray, last: bool) -> int:
-        """Fill one sequence from the kinds; returns 1 if a rest of a new kind now waits."""
+        """Fill one sequence from the kinds; returns how many rests of new kinds now wait."""
         room = np.array([self.limits.tokens, self.limits.segments, self.limits.loss_tokens])
         chosen: list[tuple[Example, int]] = []
         while room[0] and room[1]:
@@ -162,14 +170,19 @@ class Packer:
         if self.cut and last and room[0] and rest is None and not self.waiting:
             self.close_at_powers(chosen)
             return 0
-        offset = 0
+        size = sum(length for _, length in chosen)
+        size = self.unpadded(size) if self.cut else size
+        offset, rests = 0, 0
         for segment, (example, length) in enumerate(chosen):
-            self.emit(example, length, offset, segment)
-            offset += length
+            length = min(length, size - offset)
+            if length:
+                self.emit(example, length, offset, segment)
+                offset += length
+            if example.start < len(example.ids):
+                self.wait(example)
+                rests += length > 0
         self.sequence += 1
-        if rest is not None:
-            self.wait(rest)
-        return int(rest is not None)
+        return rests
 
     def take(self, kind: tuple[int, int]) -> Example:
         found = self.waiting[kind]

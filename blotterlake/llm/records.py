@@ -9,12 +9,13 @@ A shard file is a run of frames, little-endian::
     end      u8    newline
 
 The mask is the rotation and constant that record files commonly use, so that a checksum stored
-in checksummed data is not taken for one.  Shards hold ascending ranges of doc_id and are written
+in checksummed data is not taken for one.  Frames are made where the texts lie and stored; only they are then dealt to shards.
+Shards hold ascending ranges of doc_id of about equal bytes, however long texts are spread, and are written
 by Spark's own file committer (hence the newline), so a task that is lost and run again leaves one
 file.  ``index`` is a Parquet table: shard, offset, length, doc_id, n_tokens, ids_crc32, start.
 
 Defined cases: a null text is empty and yields the end id alone; null doc_ids come first; rows that
-repeat a doc_id are ordered by text, equal rows are all kept; an empty table gives an empty index.
+repeat a doc_id are ordered by the first 64 characters of the text, then by a hash of it, equal rows are all kept; an empty table gives an empty index.
 Extra columns are not read.
 """
 
@@ -28,10 +29,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from blotterlake.llm.common import by_bytes, materialize, text_parts, texts
+from blotterlake.llm.common import by_bytes, drop_stored, materialize, task_of, texts
 from blotterlake.llm.tokens import encoder
 
-SHARD_BYTES = 32 << 20  # of text; a shard is read as one value, so it stays small
+SHARD_BYTES = 16 << 20  # of frames; a shard is read as one value, so it stays small
+HELD_WORDS = 1_000_000  # by an encoder; encoding tasks hold little else
+FRAMES = "doc_id long, prefix string, tie long, size long, record binary"
 MASK_DELTA = 0xA282EAD8  # fixed value of the masked-checksum convention
 HEAD = struct.Struct("<QI")
 PAYLOAD = struct.Struct("<Bq")
@@ -76,24 +79,45 @@ def ids_crc32(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
-def write_records(docs: DataFrame, path: str, tokenizer: str, *, shard_bytes: int = SHARD_BYTES) -> None:
-    """Encode all documents and write ``path``/data; rows are dealt to shards by doc_id ranges."""
+def frames(docs: DataFrame, tokenizer: str) -> DataFrame:
+    """A stored row per document: its frame, the frame's size, and what documents of one doc_id are ordered by."""
 
+    @task_of("record-frames")
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = encoder(tokenizer)
+        words = encoder(tokenizer, HELD_WORDS)
         for batch in by_bytes(batches, 1):
             ids, ends = words.texts(batch.column(1))
             rows = [frame(d, ids[a:b]) for d, a, b in zip(batch.column(0).to_pylist(), ends, ends[1:])]
-            yield pa.record_batch({"record": pa.array(rows, pa.binary())})
+            yield pa.record_batch({
+                "doc_id": batch.column(0), "prefix": batch.column(2), "tie": batch.column(3),
+                "size": pa.array(map(len, rows), pa.int64()), "record": pa.array(rows, pa.binary()),
+            })
+
+    rows = texts(docs).select("doc_id", "text", F.substring("text", 1, 64).alias("prefix"), F.xxhash64("text").alias("tie"))
+    # The number, stored, deals equal rows to several shards if they are many.
+    return materialize(rows.mapInArrow(encode, FRAMES).withColumn("row", F.monotonically_increasing_id()), "record-frames")
+
 
-    rows = texts(docs)
-    parts = text_parts(rows, shard_bytes)
-    sorted_rows = rows.repartitionByRange(parts, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
-    records = sorted_rows.mapInArrow(encode, "record binary")
+def write_records(docs: DataFrame, path: str, tokenizer: str, *, shard_bytes: int = SHARD_BYTES) -> None:
+    """Encode all documents and write ``path``/data; rows are dealt to shards by doc_id ranges.
+
+    Spark finds the ranges by sampled rows.  A frame counts as one row for each time it holds the mean size, and one more, so
+    equal shares of rows are at most ``shard_bytes`` of frames but for the sampling's error.
+    """
+    stored = frames(docs, tokenizer)
+    unit = int(stored.agg(F.avg("size")).first()[0] or 0) + 1
+    weight = 1 + F.floor(F.col("size") / unit)
+    parts = max(1, -(-int(stored.agg(F.sum(weight)).first()[0] or 0) * unit // shard_bytes))
+    weighted = stored.select("doc_id", "prefix", "tie", "row", "record", F.posexplode(F.array_repeat(F.lit(True), weight.cast("int"))).alias("place", "_"))
+    order = ["doc_id", "prefix", "tie", "row", "place"]
+    rows = weighted.select(*order, F.when(F.col("place") == 0, F.col("record")).alias("record"))
+    records = rows.repartitionByRange(parts, *order).where("place = 0").sortWithinPartitions(*order)
     # A text file of Spark's is the bytes of each value and the line end; the cast keeps all bytes.
     records.select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\n").text(f"{path}/data")
+    drop_stored(stored)
 
 
+@task_of("record-scan")
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for shard, file, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):

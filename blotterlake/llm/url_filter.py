@@ -6,7 +6,8 @@ share of its pages that a rule allows or blocks.  A host without links passes no
 if its distrust exceeds its trust by more than ``THRESHOLD``; a host without evidence is allowed.
 
 Pages are reduced to (page_id, host, path) and links to counted pairs of hosts before anything is shuffled by host;
-rounds run on host tables alone and are stored.
+rounds run on host tables alone and are stored, the one before is deleted.  Damping shrinks the sum of all changes by its share
+each round, so rounds end by themselves: when no host changes by more than ``TOLERANCE``.
 
 Defined cases: a null url or one without ``://`` has empty host and path, fits no rule, has no part in the graph and is allowed; null html
 has no links; null and repeated page_ids are rows like others; an empty table gives no rows.  Extra columns are not read.
@@ -20,12 +21,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from blotterlake.llm.common import materialize
+from blotterlake.llm.common import drop_stored, materialize
 
 DAMPING = 0.85
 THRESHOLD = 0.05
-TOLERANCE = 1e-9  # of the sum of changes in a round
-MAX_ROUNDS = 100
+TOLERANCE = 1e-9  # of the largest change of a host in a round
 LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s>]+)"""
 
 
@@ -92,8 +92,10 @@ def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING) -> D
         "host", *[(F.coalesce(c, F.lit(0.0)) * (1 - damping)).alias(c) for c in ("trust_seed", "distrust_seed")]
     )
     start = materialize(start, "host-seeds")
-    ranks = start.select("host", F.col("trust_seed").alias("trust"), F.col("distrust_seed").alias("distrust"))
-    for _ in range(MAX_ROUNDS):
+    before, ranks = None, start.select("host", F.col("trust_seed").alias("trust"), F.col("distrust_seed").alias("distrust"))
+    if not 0 <= damping < 1:
+        raise ValueError(f"damping {damping} is not in [0, 1)")
+    while True:
         trust = ranks.join(shares, F.col("host") == F.col("source")).select(
             F.col("target").alias("to"), (F.col("trust") * F.col("forward")).alias("trust"), F.lit(0.0).alias("distrust")
         )
@@ -107,11 +109,12 @@ def propagate(seeds: DataFrame, links: DataFrame, damping: float = DAMPING) -> D
             (F.col("distrust_seed") + damping * F.coalesce("d", F.lit(0.0))).alias("distrust"), "old_t", "old_d",
         )
         new = materialize(new, "host-ranks")
-        change = new.agg(F.sum(F.abs(F.col("trust") - F.col("old_t")) + F.abs(F.col("distrust") - F.col("old_d")))).first()[0]
-        ranks = new.select("host", "trust", "distrust")
+        change = new.agg(F.max(F.greatest(F.abs(F.col("trust") - F.col("old_t")), F.abs(F.col("distrust") - F.col("old_d"))))).first()[0]
+        if before is not None:
+            drop_stored(before)
+        before, ranks = new, new.select("host", "trust", "distrust")
         if (change or 0.0) <= TOLERANCE:
-            break
-    return ranks
+            return ranks
 
 
 def judge(pages: DataFrame, rules: Sequence[Rule] = RULES, *, damping: float = DAMPING, threshold: float = THRESHOLD) -> DataFrame:

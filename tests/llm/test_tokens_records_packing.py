@@ -166,3 +166,52 @@ def test_a_wrong_loss_mask_is_an_error(spark):
     df = spark.createDataFrame([(1, [1, 2], [True])], "example_id long, ids array<int>, loss array<boolean>")
     with pytest.raises(Exception, match="2 ids but 1 loss flags"):
         packing.pack_examples(df).collect()
+
+
+@pytest.mark.parametrize("tokens", [1, 5, 10, 20, 31, 40])
+def test_short_examples_are_packed_without_much_padding(tokens):
+    """Segments, not tokens, run out first."""
+    limits = packing.Limits()
+    packer = packing.Packer(limits, True, 0)
+    for i in range(20_000):
+        packer.add(packing.Example(i, np.full(tokens, i % 7, np.uint16), None))
+    packer.pack(0)
+    lengths, pieces, placed = Counter(), Counter(), defaultdict(list)
+    for doc_id, start, length, _, _, sequence, offset, _, _ in sorted(packer.rows, key=lambda r: (r[5], r[6])):
+        assert offset == lengths[sequence]
+        lengths[sequence] += length
+        pieces[sequence] += 1
+        placed[doc_id] += range(start, start + length)
+    assert len(placed) == 20_000 and all(sorted(p) == list(range(tokens)) for p in placed.values())
+    assert max(pieces.values()) <= limits.segments and max(lengths.values()) <= limits.tokens
+    padding = sum(limits.tokens - n for n in lengths.values() if n & (n - 1))
+    assert padding < 0.02 * 20_000 * tokens
+    assert len(lengths) < 2.1 * 20_000 / limits.segments * max(1, limits.segments * tokens / limits.tokens) + 16
+
+
+def test_examples_whose_loss_runs_out_first_are_cut_at_powers_of_two():
+    limits = packing.Limits(tokens=256, segments=8, loss_tokens=40)
+    packer, rng = packing.Packer(limits, True, 0), np.random.default_rng(5)
+    for i in range(2000):
+        n = int(rng.integers(0, 90))
+        mask = rng.random(n) < rng.random()
+        packer.add(packing.Example(i, np.zeros(n, np.uint16), np.concatenate(([0], np.cumsum(mask)))))
+    packer.pack(0)
+    lengths, loss = Counter(), Counter()
+    for row in packer.rows:
+        lengths[row[5]] += row[2]
+        loss[row[5]] += row[8]
+    assert max(loss.values()) <= 40 and max(lengths.values()) <= 256
+    assert all(n & (n - 1) == 0 or n >= 256 - 256 // packing.FULL for n in lengths.values())
+
+
+def test_shards_hold_about_equal_bytes_where_long_texts_lie_together(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, "ab " * int(rng.integers(1, 20))) for i in range(6000)] + [(6000 + i, "cd ef " * 15_000) for i in range(60)]
+    rows += [(None, "gh " * 2000)] * 300  # equal rows and no ids
+    path = scratch_path(spark, "records")
+    index = records.token_records(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), path, PATH, shard_bytes=400_000)
+    assert index.count() == len(rows)
+    assert [r.doc_id for r in index.orderBy("start").collect()] == [None] * 300 + list(range(6060))
+    sizes = [r.bytes for r in index.groupBy("shard").agg(F.sum("length").alias("bytes")).collect()]
+    assert max(sizes) <= 2 * 400_000 and len(sizes) <= 3 * sum(sizes) / 400_000
