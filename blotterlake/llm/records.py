@@ -111,7 +111,9 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, *, shard_bytes: in
     weighted = stored.select("doc_id", "prefix", "tie", "row", "record", F.posexplode(F.array_repeat(F.lit(True), weight.cast("int"))).alias("place", "_"))
     order = ["doc_id", "prefix", "tie", "row", "place"]
     rows = weighted.select(*order, F.when(F.col("place") == 0, F.col("record")).alias("record"))
-    records = rows.repartitionByRange(parts, *order).where("place = 0").sortWithinPartitions(*order)
+    dealt = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    # The partition's number keeps this filter behind the shuffle: the repeated rows must weigh on the ranges first.
+    records = dealt.where(F.when(F.col("place") == 0, F.spark_partition_id() >= 0).otherwise(False))
     # A text file of Spark's is the bytes of each value and the line end; the cast keeps all bytes.
     records.select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\n").text(f"{path}/data")
     drop_stored(stored)
