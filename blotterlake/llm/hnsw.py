@@ -27,6 +27,7 @@ from blotterlake.llm.common import materialize, ranges
 SHARD_ROWS = 8192
 LINKS = 16  # kept on upper layers, twice as many on the lowest
 CANDIDATES = 64
+DECIDE = 128  # nodes whose candidates are weighed against each other at a time
 EF = 160
 BLOCK = 256  # queries that travel together
 GRAPH = "dim int, shard long, ids binary, id_offsets binary, vectors binary, layers array<struct<members: binary, offsets: binary, neighbours: binary>>"
@@ -36,22 +37,21 @@ FOUND = "query_id long, vec_id long, score double"
 # ---- one shard ----------------------------------------------------------------------------
 
 
-def _diverse(near: np.ndarray, distances: np.ndarray, vectors: np.ndarray, most: int) -> list[int]:
-    """Of candidates in ascending distance those closer to the node than to any kept one, then the nearest others."""
+def _diverse(near: np.ndarray, distances: np.ndarray, vectors: np.ndarray, most: int) -> np.ndarray:
+    """For nodes with candidates in ascending distance: those closer to the node than to any kept one, then the nearest others.
+
+    Rows are nodes; all of them decide on their first candidate, then on their second, and so on.
+    """
     points = vectors[near]
-    between = ((points[:, None, :] - points[None, :, :]) ** 2).sum(2)
-    kept: list[int] = []
-    for i in range(len(near)):
-        if len(kept) == most:
-            break
-        if not kept or between[i, kept].min() > distances[i]:
-            kept.append(i)
-    for i in range(len(near)):
-        if len(kept) == most:
-            break
-        if i not in kept:
-            kept.append(i)
-    return near[kept].tolist()
+    squares = (points**2).sum(2)
+    between = squares[:, :, None] + squares[:, None, :] - 2 * points @ points.transpose(0, 2, 1)
+    to_kept, kept = np.full(near.shape, np.inf), np.zeros(near.shape, bool)
+    for i in range(near.shape[1]):
+        keep = (to_kept[:, i] > distances[:, i]) & (kept.sum(1) < most)
+        kept[keep, i] = True
+        to_kept[keep] = np.minimum(to_kept[keep], between[keep, i])
+    first = np.argsort(~kept, axis=1, kind="stable")[:, :most]
+    return np.take_along_axis(near, first, 1)
 
 
 def _layer(members: np.ndarray, vectors: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -70,8 +70,8 @@ def _layer(members: np.ndarray, vectors: np.ndarray, most: int) -> tuple[np.ndar
         value = np.take_along_axis(distance, near, 1)
         order = np.lexsort((near, value), axis=1)
         near, value = np.take_along_axis(near, order, 1), np.take_along_axis(value, order, 1)
-        for i in range(len(block)):
-            out[at + i] = _diverse(near[i], value[i], points, most)
+        for i in range(0, len(block), DECIDE):
+            out[at + i : at + i + DECIDE] = _diverse(near[i : i + DECIDE], value[i : i + DECIDE], points, most).tolist()
     links = [set(x) for x in out]
     for i, near in enumerate(out):
         for j in near:
@@ -193,6 +193,9 @@ def build_index(rows: DataFrame, shard_rows: int = SHARD_ROWS, k: int = 10) -> D
         })
 
     dealt = _dealt(rows, shard_rows, "shard").select("dim", "shard", "vec_id", "vector")
+    shards = rows.groupBy("dim").agg(F.ceil(F.count(F.lit(1)) / shard_rows).alias("n")).agg(F.sum("n")).first()[0] or 1
+    # A stated number of partitions, as adaptive execution would join shards, which are work more than bytes, into one task.
+    dealt = dealt.repartition(4 * int(shards), "dim", "shard")
     return materialize(dealt.groupBy("dim", "shard").applyInArrow(build, GRAPH), "graph-shards")
 
 
