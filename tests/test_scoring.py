@@ -84,6 +84,31 @@ def test_scores_of_a_million_words_are_the_same_in_every_layout(spark):
     assert found[0] == found[1] == found[2] and len(found[0]) == 5
 
 
+@pytest.mark.parametrize("pairs", [0, 9, 1 << 20])
+def test_words_in_or_beside_the_head_score_alike(spark, pairs):
+    train = train_rows(5)
+    model = bayes.fit(spark.createDataFrame(train, "text string, label string, n int"), "text", "label", weight_col="n")
+    texts = [f"{t} unseen unseen" for t, _, _ in train_rows(10, seed=3)] + ["", None, "unseen"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    whole = bayes.predict(model, rows, "id", "text")
+    parts = bayes.predict(model, rows, "id", "text", broadcast_bytes=0, head_pairs=pairs)
+    assert sorted(map(tuple, parts.collect())) == sorted(map(tuple, whole.collect())) and parts.count() == len(texts)
+    sizes = model.words.select("word", "base", "lifts", F.size("lifts").alias("size"))
+    head = bayes.head_of(sizes, F.col("base"), F.col("size"), pairs)
+    assert (head.agg(F.sum("size")).first()[0] or 0) <= pairs
+
+
+def test_frequent_words_are_stored_as_sums(spark):
+    """A large model's frequent words leave a row per (text, label), not one per (text, word)."""
+    words = [f"w{i}" for i in range(200)]
+    model = bayes.fit(spark.createDataFrame([(" ".join(words), c) for c in "ab"], "text string, label string"), "text", "label")
+    rows = spark.range(50).select("id", F.lit(" ".join(words)).alias("text"))
+    found = bayes.predict(model, rows, "id", "text", broadcast_bytes=0)
+    stored = {f.rsplit("/", 1)[0] for f in found.inputFiles() if "/nb-" in f} - {f.rsplit("/", 1)[0] for f in model.words.inputFiles()}
+    assert sum(spark.read.parquet(f).count() for f in stored) <= 50 * 3
+    assert found.count() == 50
+
+
 def test_equal_labels_tie_exactly(spark):
     train = spark.createDataFrame([("red car", "b"), ("red car", "a"), ("bus", "c")], "text string, label string")
     model = bayes.fit(train, "text", "label")
