@@ -45,6 +45,24 @@ def test_python_sees_each_distinct_word_once(spark):
     assert found == {"walking": ("walk", 2000), "dogs": ("dog", 2000)}
 
 
+@pytest.mark.parametrize("head", [0, 3, 1 << 20])
+def test_words_in_or_beside_the_head_are_stemmed_alike(spark, head):
+    rows = [(i, t) for i, t in enumerate(TEXTS * 3)]
+    df = spark.createDataFrame(rows, "n int, text string").repartition(5)
+    found = stemming.stem_texts(df, "text", broadcast_bytes=0, head_words=head)
+    assert sorted(map(tuple, found.collect())) == sorted((n, stems(t)) for n, t in rows)
+
+
+def test_frequent_words_without_a_change_are_not_shuffled(spark):
+    """Words that are their own stems and fill the texts are joined by broadcast, too, and folded where they lie."""
+    df = spark.createDataFrame([(i, "de la " * 500 + f"walking dogs{i}s") for i in range(20)], "id int, text string")
+    found = stemming.stem_texts(df, "text", broadcast_bytes=0, head_words=3)
+    head = next(d for d in found.inputFiles() if "/stems-" in d).rsplit("/", 1)[0]
+    ranked = spark.read.parquet(head).orderBy(F.desc("n"), "word").limit(3).collect()
+    assert [(r.word, r.stem, r.n) for r in ranked] == [("de", "de", 10_000), ("la", "la", 10_000), ("walking", "walk", 20)]
+    assert {r.text for r in found.collect()} == {"de la " * 500 + f"walk {stem_word(f'dogs{i}s')}" for i in range(20)}
+
+
 def test_no_rows_have_no_stems(spark):
     assert stemming.clean_texts(spark.createDataFrame([], "id int, text string"), "text", "clean").collect() == []
 
