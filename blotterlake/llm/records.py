@@ -9,7 +9,7 @@ A shard file is a run of frames, little-endian::
     end      u8    newline
 
 The mask is the rotation and constant that record files commonly use, so that a checksum stored
-in checksummed data is not taken for one.  Frames are made where the texts lie and stored; only they are then dealt to shards.
+in checksummed data is not taken for one.  Frames are made where the texts lie and stored compressed; only they are then dealt to shards.
 Shards hold ascending ranges of doc_id of about equal bytes, however long texts are spread, and are written
 by Spark's own file committer (hence the newline), so a task that is lost and run again leaves one
 file.  ``index`` is a Parquet table: shard, offset, length, doc_id, n_tokens, ids_crc32, start.
@@ -36,6 +36,7 @@ SHARD_BYTES = 16 << 20  # of frames; a shard is read as one value, so it stays s
 HELD_WORDS = 1_000_000  # by an encoder; encoding tasks hold little else
 FRAMES = "doc_id long, prefix string, tie long, size long, record binary"
 MASK_DELTA = 0xA282EAD8  # fixed value of the masked-checksum convention
+PACKING = "zstd"  # of frames between tasks; shard files hold them plain
 HEAD = struct.Struct("<QI")
 PAYLOAD = struct.Struct("<Bq")
 INDEX_SCHEMA = (
@@ -79,8 +80,17 @@ def ids_crc32(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
+@task_of("record-unpack")
+def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in by_bytes([batch], 0):
+            pairs = zip(part.column(0), part.column(1).to_pylist())
+            rows = [pa.decompress(r.as_buffer(), size, PACKING, asbytes=True) for r, size in pairs]
+            yield pa.record_batch({"record": pa.array(rows, pa.binary())})
+
+
 def frames(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """A stored row per document: its frame, the frame's size, and what documents of one doc_id are ordered by."""
+    """A stored row per document: its compressed frame, the frame's size, and what documents of one doc_id are ordered by."""
 
     @task_of("record-frames")
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,7 +100,7 @@ def frames(docs: DataFrame, tokenizer: str) -> DataFrame:
             rows = [frame(d, ids[a:b]) for d, a, b in zip(batch.column(0).to_pylist(), ends, ends[1:])]
             yield pa.record_batch({
                 "doc_id": batch.column(0), "prefix": batch.column(2), "tie": batch.column(3),
-                "size": pa.array(map(len, rows), pa.int64()), "record": pa.array(rows, pa.binary()),
+                "size": pa.array(map(len, rows), pa.int64()), "record": pa.array([pa.compress(r, PACKING, asbytes=True) for r in rows], pa.binary()),
             })
 
     rows = texts(docs).select("doc_id", "text", F.substring("text", 1, 64).alias("prefix"), F.xxhash64("text").alias("tie"))
@@ -108,12 +118,13 @@ def write_records(docs: DataFrame, path: str, tokenizer: str, *, shard_bytes: in
     unit = int(stored.agg(F.avg("size")).first()[0] or 0) + 1
     weight = 1 + F.floor(F.col("size") / unit)
     parts = max(1, -(-int(stored.agg(F.sum(weight)).first()[0] or 0) * unit // shard_bytes))
-    weighted = stored.select("doc_id", "prefix", "tie", "row", "record", F.posexplode(F.array_repeat(F.lit(True), weight.cast("int"))).alias("place", "_"))
+    weighted = stored.select("doc_id", "prefix", "tie", "row", "record", "size", F.posexplode(F.array_repeat(F.lit(True), weight.cast("int"))).alias("place", "_"))
     order = ["doc_id", "prefix", "tie", "row", "place"]
-    rows = weighted.select(*order, F.when(F.col("place") == 0, F.col("record")).alias("record"))
+    rows = weighted.select(*order, "size", F.when(F.col("place") == 0, F.col("record")).alias("record"))
     dealt = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     # The partition's number keeps this filter behind the shuffle: the repeated rows must weigh on the ranges first.
     records = dealt.where(F.when(F.col("place") == 0, F.spark_partition_id() >= 0).otherwise(False))
+    records = records.select("record", "size").mapInArrow(_unpack, "record binary")
     # A text file of Spark's is the bytes of each value and the line end; the cast keeps all bytes.
     records.select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\n").text(f"{path}/data")
     drop_stored(stored)

@@ -215,3 +215,10 @@ def test_shards_hold_about_equal_bytes_where_long_texts_lie_together(spark):
     assert [r.doc_id for r in index.orderBy("start").collect()] == [None] * 300 + list(range(6060))
     sizes = [r.bytes for r in index.groupBy("shard").agg(F.sum("length").alias("bytes")).collect()]
     assert max(sizes) <= 2 * 400_000 and len(sizes) <= 3 * sum(sizes) / 400_000
+
+
+def test_frames_are_compressed_between_tasks(spark):
+    docs = spark.range(40).selectExpr("id AS doc_id", "concat('the ', repeat(concat('time of year ', id, ' '), 300)) AS text")
+    stored, sizes = records.frames(docs, default_tokenizer()), ("sum(length(record))", "sum(size)")
+    held, plain = stored.selectExpr(*sizes).first()
+    assert held < 0.7 * plain
