@@ -9,9 +9,10 @@ A shard file is a run of frames, little-endian::
     end      u8    newline
 
 The mask is the rotation and constant that record files commonly use, so that a checksum stored
-in checksummed data is not taken for one.  Frames are made where the texts lie and stored compressed; only they are then dealt to shards.
-Shards hold ascending ranges of doc_id of about equal bytes, however long texts are spread, and are written
-by Spark's own file committer (hence the newline), so a task that is lost and run again leaves one
+in checksummed data is not taken for one.  The ranges of the shards are found first, from the sizes of the texts; frames are made where
+the texts lie, and go compressed into the one shuffle without being stored before.
+Shards hold ascending ranges of doc_id of about equal bytes, as estimated from the texts, however long texts are spread, and are
+written by Spark's own file committer (hence the newline), so a task that is lost and run again leaves one
 file.  ``index`` is a Parquet table: shard, offset, length, doc_id, n_tokens, ids_crc32, start.
 
 Defined cases: a null text is empty and yields the end id alone; null doc_ids come first; rows that
@@ -23,18 +24,22 @@ from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from blotterlake.llm.common import by_bytes, drop_stored, materialize, task_of, texts
 from blotterlake.llm.tokens import encoder
 
-SHARD_BYTES = 16 << 20  # of frames; a shard is read as one value, so it stays small
+SHARD_BYTES = 16 << 20  # of frames, as estimated from the texts; a shard is read as one value, so it stays small
 HELD_WORDS = 1_000_000  # by an encoder; encoding tasks hold little else
-FRAMES = "doc_id long, prefix string, tie long, size long, record binary"
+KEY = ["doc_id", "prefix", "tie"]
+FRAMES = "shard int, doc_id long, prefix string, tie long, size long, record binary"
+FRAME_BYTES, FRAME_EXTRA = 0.75, 28  # a frame's size by its text's bytes: prose has 0.7 to 0.8 with 2-byte ids, a token to a byte 2
 MASK_DELTA = 0xA282EAD8  # fixed value of the masked-checksum convention
 PACKING = "zstd"  # of frames between tasks; shard files hold them plain
 HEAD = struct.Struct("<QI")
@@ -89,45 +94,85 @@ def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch({"record": pa.array(rows, pa.binary())})
 
 
-def frames(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """A stored row per document: its compressed frame, the frame's size, and what documents of one doc_id are ordered by."""
+def shard_ends(docs: DataFrame, shard_bytes: int) -> list[tuple]:
+    """The largest key of each shard but the last, ascending; one key ends several shards if the documents that have it fill them.
+
+    Found before anything is encoded, from the texts' bytes, and by Spark, which samples rows for its ranges.  A document counts
+    as one row for each time it holds the mean size, and one more, so equal shares of rows are at most ``shard_bytes`` but for
+    the sampling's error.
+    """
+    sizes = texts(docs).select(*_key(), (FRAME_BYTES * F.octet_length("text") + FRAME_EXTRA).cast("long").alias("size"))
+    # The number, stored, deals equal rows to several shards if they are many.
+    stored = materialize(sizes.withColumn("row", F.monotonically_increasing_id()), "record-sizes")
+    unit = int(stored.agg(F.avg("size")).first()[0] or 0) + 1
+    weight = 1 + F.floor(F.col("size") / unit)
+    parts = max(1, -(-int(stored.agg(F.sum(weight)).first()[0] or 0) * unit // shard_bytes))
+    order = [*KEY, "row", "place"]
+    weighted = stored.select(*KEY, "row", F.posexplode(F.array_repeat(F.lit(True), weight.cast("int"))).alias("place", "_"))
+    dealt = weighted.select(*order).repartitionByRange(parts, *order).withColumn("shard", F.spark_partition_id())
+    ends = dealt.groupBy("shard").agg(F.max(F.struct(*KEY)).alias("end")).collect()  # one row per shard file
+    drop_stored(stored)
+    return sorted(_ordered(*r.end) for r in ends)[:-1]
+
+
+def _key() -> list[Column | str]:
+    """What documents are ordered by, of a table of doc_id and text; equal texts of one doc_id are equal rows."""
+    return ["doc_id", F.substring("text", 1, 64).alias("prefix"), F.xxhash64("text").alias("tie")]
+
+
+def _ordered(doc_id: int | None, prefix: str, tie: int) -> tuple:
+    return doc_id is not None, doc_id or 0, prefix, tie
+
+
+class Dealer:
+    """Shard numbers by key.  Rows whose key ends shards are dealt to these and the next in turn.
+
+    Turns are counted per key, so in whatever order a task that is run again meets its rows, each shard gets as many of them.
+    """
+
+    def __init__(self, ends: Sequence[tuple], first: int):
+        self.ends, self.first = ends, first
+        self.turns: dict[tuple, int] = {}  # of keys that end shards, so no more than there are shards
+
+    def shard(self, key: tuple) -> int:
+        low, high = bisect_left(self.ends, key), bisect_right(self.ends, key)
+        if low == high:
+            return low
+        turn = self.turns.get(key, self.first)
+        self.turns[key] = turn + 1
+        return low + turn % (high - low + 1)
+
+
+def frames(docs: DataFrame, tokenizer: str, ends: Sequence[tuple] = ()) -> DataFrame:
+    """A row per document: its shard, its compressed frame, the frame's size, and what documents of one doc_id are ordered by."""
 
     @task_of("record-frames")
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = encoder(tokenizer, HELD_WORDS)
+        words, dealer = encoder(tokenizer, HELD_WORDS), Dealer(ends, TaskContext.get().partitionId())
         for batch in by_bytes(batches, 1):
-            ids, ends = words.texts(batch.column(1))
-            rows = [frame(d, ids[a:b]) for d, a, b in zip(batch.column(0).to_pylist(), ends, ends[1:])]
+            ids, stops = words.texts(batch.column(1))
+            keys = [batch.column(i).to_pylist() for i in (0, 2, 3)]
+            rows = [frame(d, ids[a:b]) for d, a, b in zip(keys[0], stops, stops[1:])]
             yield pa.record_batch({
+                "shard": pa.array([dealer.shard(_ordered(*key)) for key in zip(*keys)], pa.int32()),
                 "doc_id": batch.column(0), "prefix": batch.column(2), "tie": batch.column(3),
                 "size": pa.array(map(len, rows), pa.int64()), "record": pa.array([pa.compress(r, PACKING, asbytes=True) for r in rows], pa.binary()),
             })
 
-    rows = texts(docs).select("doc_id", "text", F.substring("text", 1, 64).alias("prefix"), F.xxhash64("text").alias("tie"))
-    # The number, stored, deals equal rows to several shards if they are many.
-    return materialize(rows.mapInArrow(encode, FRAMES).withColumn("row", F.monotonically_increasing_id()), "record-frames")
+    doc_id, *rest = _key()
+    return texts(docs).select(doc_id, "text", *rest).mapInArrow(encode, FRAMES)
 
 
 def write_records(docs: DataFrame, path: str, tokenizer: str, *, shard_bytes: int = SHARD_BYTES) -> None:
     """Encode all documents and write ``path``/data; rows are dealt to shards by doc_id ranges.
 
-    Spark finds the ranges by sampled rows.  A frame counts as one row for each time it holds the mean size, and one more, so
-    equal shares of rows are at most ``shard_bytes`` of frames but for the sampling's error.
+    The ranges are known before, so frames go from the task that makes them into the shuffle, and are held nowhere else.
     """
-    stored = frames(docs, tokenizer)
-    unit = int(stored.agg(F.avg("size")).first()[0] or 0) + 1
-    weight = 1 + F.floor(F.col("size") / unit)
-    parts = max(1, -(-int(stored.agg(F.sum(weight)).first()[0] or 0) * unit // shard_bytes))
-    weighted = stored.select("doc_id", "prefix", "tie", "row", "record", "size", F.posexplode(F.array_repeat(F.lit(True), weight.cast("int"))).alias("place", "_"))
-    order = ["doc_id", "prefix", "tie", "row", "place"]
-    rows = weighted.select(*order, "size", F.when(F.col("place") == 0, F.col("record")).alias("record"))
-    dealt = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    # The partition's number keeps this filter behind the shuffle: the repeated rows must weigh on the ranges first.
-    records = dealt.where(F.when(F.col("place") == 0, F.spark_partition_id() >= 0).otherwise(False))
-    records = records.select("record", "size").mapInArrow(_unpack, "record binary")
+    ends = shard_ends(docs, shard_bytes)
+    dealt = frames(docs, tokenizer, ends).repartitionById(len(ends) + 1, "shard").sortWithinPartitions(*KEY)
+    records = dealt.select("record", "size").mapInArrow(_unpack, "record binary")
     # A text file of Spark's is the bytes of each value and the line end; the cast keeps all bytes.
     records.select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\n").text(f"{path}/data")
-    drop_stored(stored)
 
 
 @task_of("record-scan")

@@ -2,6 +2,7 @@
 
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -222,3 +223,41 @@ def test_frames_are_compressed_between_tasks(spark):
     stored, sizes = records.frames(docs, default_tokenizer()), ("sum(length(record))", "sum(size)")
     held, plain = stored.selectExpr(*sizes).first()
     assert held < 0.7 * plain
+
+
+def test_frames_are_stored_nowhere_before_the_shards(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    rows = [(i, " ".join(map(str, rng.integers(0, 100_000, 300)))) for i in range(400)]
+    held, store = [], records.materialize
+
+    def stored_bytes(df, name):
+        stored = store(df, name)
+        files = [Path(f.removeprefix("file:")) for f in stored.inputFiles()]
+        held.append(sum(f.stat().st_size for f in files))
+        return stored
+
+    monkeypatch.setattr(records, "materialize", stored_bytes)
+    path = scratch_path(spark, "records")
+    records.write_records(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), path, PATH, shard_bytes=200_000)
+    written = [f.stat().st_size for f in Path(path.removeprefix("file:"), "data").glob("part-*")]
+    assert len(written) > 2 and sum(written) > 400 * 300 * 2 and sum(held) < 0.1 * sum(written)
+
+
+def test_rows_that_end_shards_are_dealt_alike_in_any_order():
+    key = records._ordered
+    ends = [key(None, "a", 0), key(3, "b", 1), key(3, "b", 1), key(3, "b", 1), key(9, "é", -2)]
+    keys = [key(None, "", 5)] + [key(3, "b", 1)] * 11 + [key(3, "a", 7), key(3, "b", 2), key(9, "é", -3), key(9, "é", -2), key(10, "", 0)] * 2
+    dealt = [Counter((k, dealer.shard(k)) for k in order) for order in (keys, keys[::-1], sorted(keys)) for dealer in [records.Dealer(ends, 2)]]
+    assert dealt[0] == dealt[1] == dealt[2]
+    assert sorted(n for (k, _), n in dealt[0].items() if k == ends[1]) == [2, 3, 3, 3]
+    shards = [shard for _, shard in sorted(dealt[0])]
+    assert shards == sorted(shards) and set(shards) == set(range(6))
+
+
+def test_texts_of_one_doc_id_are_in_order_over_shards(spark):
+    rows = [(7, f"{i % 90:03d} " + "ab cd " * 50) for i in range(900)] + [(None, "x " * 40)] * 500 + [(8, None)] * 200
+    path = scratch_path(spark, "records")
+    index = records.token_records(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), path, PATH, shard_bytes=20_000)
+    found = index.select("doc_id", "start", "n_tokens", "ids_crc32").collect()
+    assert sorted(map(tuple, found), key=lambda r: r[1]) == expected_index(rows)
+    assert index.select("shard").distinct().count() > 10
