@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from blotterlake.llm.common import by_bytes, drop_stored, materialize, task_of, texts
+from blotterlake.llm.common import by_bytes, drop_stored, give_back, materialize, task_of, texts
 from blotterlake.llm.tokens import encoder
 
 SHARD_BYTES = 16 << 20  # of frames, as estimated from the texts; a shard is read as one value, so it stays small
@@ -99,7 +99,7 @@ def shard_ends(docs: DataFrame, shard_bytes: int) -> list[tuple]:
 
     Found before anything is encoded, from the texts' bytes, and by Spark, which samples rows for its ranges.  A document counts
     as one row for each time it holds the mean size, and one more, so equal shares of rows are at most ``shard_bytes`` but for
-    the sampling's error.
+    the sampling's error and the estimate's: texts of a token to each byte make frames of 2.7 times that (2-byte ids).
     """
     sizes = texts(docs).select(*_key(), (FRAME_BYTES * F.octet_length("text") + FRAME_EXTRA).cast("long").alias("size"))
     # The number, stored, deals equal rows to several shards if they are many.
@@ -153,6 +153,7 @@ def frames(docs: DataFrame, tokenizer: str, ends: Sequence[tuple] = ()) -> DataF
             ids, stops = words.texts(batch.column(1))
             keys = [batch.column(i).to_pylist() for i in (0, 2, 3)]
             rows = [frame(d, ids[a:b]) for d, a, b in zip(keys[0], stops, stops[1:])]
+            give_back()  # what the encoder needed for these texts; it holds its words
             yield pa.record_batch({
                 "shard": pa.array([dealer.shard(_ordered(*key)) for key in zip(*keys)], pa.int32()),
                 "doc_id": batch.column(0), "prefix": batch.column(2), "tie": batch.column(3),
@@ -166,7 +167,8 @@ def frames(docs: DataFrame, tokenizer: str, ends: Sequence[tuple] = ()) -> DataF
 def write_records(docs: DataFrame, path: str, tokenizer: str, *, shard_bytes: int = SHARD_BYTES) -> None:
     """Encode all documents and write ``path``/data; rows are dealt to shards by doc_id ranges.
 
-    The ranges are known before, so frames go from the task that makes them into the shuffle, and are held nowhere else.
+    The ranges are known before, so frames go from the task that makes them into the shuffle, and are held nowhere else.  For that,
+    ``docs`` is read twice; if it is costly to compute, store it first.
     """
     ends = shard_ends(docs, shard_bytes)
     dealt = frames(docs, tokenizer, ends).repartitionById(len(ends) + 1, "shard").sortWithinPartitions(*KEY)
