@@ -8,6 +8,7 @@ word once and gathers ids by position.  Equality with encoding the whole text is
 from __future__ import annotations
 
 import os
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +16,7 @@ import pyarrow.compute as pc
 
 from blotterlake.llm.common import WORKER_CACHES
 
-CACHE_WORDS = 400_000  # words an encoder remembers; a full memory is emptied
+CACHE_WORDS = 400_000  # words an encoder remembers; a full memory keeps those it meets most
 END_ID = 1
 _ENCODERS: dict[str, WordEncoder] = {}
 WORKER_CACHES.append(_ENCODERS)
@@ -36,6 +37,8 @@ def encoder(path: str, held_words: int = CACHE_WORDS) -> WordEncoder:
 
 
 class WordEncoder:
+    """Ids of words are held end to end in one array and found by a word's number, so a text's ids are a take of Arrow's."""
+
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
@@ -46,51 +49,111 @@ class WordEncoder:
         self.word_end = np.zeros(size, bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.word_end[i] = token.endswith("</w>")
-        self.memory: dict[str, bytes] = {}
         self.held_words = CACHE_WORDS
+        self.closing: dict[str, bool] = {}  # by character: whether signs after it are a piece of their own
+        self._hold({}, pa.array([np.array([END_ID], self.kind).tobytes()], pa.large_binary()), np.zeros(1, np.int64))
+
+    def _hold(self, memory: dict[str, int], coded: pa.Array, uses: np.ndarray) -> None:
+        """``memory`` gives the place of a word's ids in ``coded``; place 0, of no word, has the end id."""
+        self.memory, self.uses, self.filled = memory, uses, len(coded)
+        _, stops, ids = coded.buffers()
+        self.stops = np.frombuffer(stops, np.int64)[: len(coded) + 1].copy()  # in bytes
+        self.coded = np.frombuffer(ids, np.uint8)[: self.stops[-1]].copy()
+
+    def _held(self, places: np.ndarray) -> pa.Array:
+        buffers = [None, pa.py_buffer(self.stops), pa.py_buffer(self.coded)]
+        return pa.Array.from_buffers(pa.large_binary(), self.filled, buffers).take(pa.array(places))
+
+    def _add(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        """Remember new words by their ids, end to end, and how many bytes of these each has."""
+        ends = self.stops[self.filled] + np.cumsum(lengths)
+        more = self.filled + len(words)
+        if len(words):
+            self.stops = _room(self.stops, more + 1)
+            self.coded = _room(self.coded, int(ends[-1]))
+            self.uses = _room(self.uses, more)
+            self.coded[self.stops[self.filled] : ends[-1]] = ids.view(np.uint8)
+            self.stops[self.filled + 1 : more + 1] = ends
+            self.uses[self.filled : more] = 0
+            self.memory.update(zip(words, range(self.filled, more)))
+            self.filled = more
+
+    def _forget(self) -> None:
+        """Keep, of at most half the words a memory may have, those that the most calls met."""
+        half, uses = self.held_words // 2, self.uses[: self.filled]
+        least = np.partition(uses, -half - 1)[-half - 1] if half else uses.max()
+        kept = uses > least
+        kept[0] = True
+        renumbered = np.where(kept, np.cumsum(kept) - 1, -1).tolist()
+        memory = {w: place for w, at in self.memory.items() if (place := renumbered[at]) > 0}
+        places = np.flatnonzero(kept)
+        self._hold(memory, self._held(places), uses[places] // 2)
+
+    def _closes(self, char: str) -> bool:
+        """Whether the tokenizer splits between ``char`` and a full stop; both its marks and unknown letters may not be split."""
+        if char not in self.closing:
+            tidy, split = self.tokenizer.normalizer, self.tokenizer.pre_tokenizer
+            text = tidy.normalize_str(f"{char}.") if tidy else f"{char}."
+            self.closing[char] = split is not None and split.pre_tokenize_str(text)[-1][0] == "."
+        return self.closing[char]
 
     def encode(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind)
 
-    def _letters(self, words: list[str]) -> list[bytes]:
-        """Ids of words of letters only: a thousand in one call, cut where words end."""
-        out: list[bytes] = []
+    def _each(self, words: list[str]) -> None:
+        """Remember words that are encoded one by one."""
+        for at in range(0, len(words), 1000):
+            some = words[at : at + 1000]
+            found = [self.encode(w) for w in some]
+            self._add(some, np.concatenate(found), self.kind.itemsize * np.fromiter(map(len, found), np.int64, len(found)))
+
+    def _letters(self, words: list[str]) -> None:
+        """Remember words of letters only: a thousand in one call, cut where words end."""
         for at in range(0, len(words), 1000):
             some = words[at : at + 1000]
-            ids = self.encode(" ".join(some))
+            # Without offsets in the text, which nobody reads.
+            (found,) = self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)
+            ids = np.array(found.ids, self.kind)
             ends = np.flatnonzero(self.word_end[ids]) + 1
             if len(ends) != len(some):  # a letter whose lower case is more than letters
-                out += [self.encode(w).tobytes() for w in some]
-                continue
-            raw, width, start = ids.tobytes(), self.kind.itemsize, 0
-            for end in ends.tolist():
-                out.append(raw[width * start : width * end])
-                start = end
-        return out
-
-    def words(self, words: list[str]) -> list[bytes]:
-        """Ids of each word as bytes."""
-        memory = self.memory
-        if len(memory) > self.held_words:
-            memory.clear()
-        missing = [w for w in words if w not in memory]
-        if missing:
-            letters = [w for w in missing if w.isalpha()]
-            memory.update(zip(letters, self._letters(letters)))
-            split = [(w, w.rstrip(".,!?;:*#%&$")) for w in missing if not w.isalpha()]
-            tails = {w: (stem, w[len(stem) :]) for w, stem in split if stem.isalpha() and stem.isascii()}
-            parts = {p for pair in tails.values() for p in pair}
-            stems = [p for p in parts if p not in memory and p.isalpha()]
-            memory.update(zip(stems, self._letters(stems)))
-            for p in parts:
-                if p not in memory:
-                    memory[p] = self.encode(p).tobytes()
-            for w, (stem, tail) in tails.items():
-                memory[w] = memory[stem] + memory[tail]
-            for w, _ in split:
-                if w not in memory:
-                    memory[w] = self.encode(w).tobytes()
-        return [memory[w] for w in words]
+                self._each(some)
+            else:
+                self._add(some, ids, self.kind.itemsize * np.diff(ends, prepend=0))
+
+    def _tailed(self, words: list[str], stems: list[str]) -> None:
+        """Remember words of letters and signs after them, by the ids of both, which the tokenizer splits anyway."""
+        tails = [w[len(stem) :] for w, stem in zip(words, stems)]
+        self._letters([w for w in dict.fromkeys(stems) if w not in self.memory])
+        self._each([w for w in dict.fromkeys(tails) if w not in self.memory])
+        pairs = np.empty(2 * len(words), np.int64)
+        pairs[::2], pairs[1::2] = self._places(stems), self._places(tails)
+        self.uses[pairs] += 1
+        held = self._held(pairs)
+        _, stops, ids = held.buffers()
+        stops = np.frombuffer(stops, np.int64)[: len(held) + 1 : 2]
+        self._add(words, np.frombuffer(ids, np.uint8)[: stops[-1]], np.diff(stops))
+
+    def _places(self, words: list[str]) -> np.ndarray:
+        """Where the words are held; -1 of one that is not."""
+        return np.fromiter(map(self.memory.get, words, repeat(-1)), np.int64, len(words))
+
+    def words(self, words: list[str]) -> np.ndarray:
+        """Where the ids of each of the words, all different, are held."""
+        if self.filled > self.held_words:
+            self._forget()
+        places = self._places(words)
+        missing = np.flatnonzero(places < 0)
+        if len(missing):
+            new = [words[i] for i in missing.tolist()]
+            self._letters([w for w in new if w.isalpha()])
+            rest = [(w, w.rstrip(".,!?;:*#%&$")) for w in new if w not in self.memory]
+            tailed = [(w, stem) for w, stem in rest if stem != w and stem.isalpha() and self._closes(stem[-1])]
+            if tailed:
+                self._tailed(*map(list, zip(*tailed)))
+            self._each([w for w, _ in rest if w not in self.memory])
+            places[missing] = self._places(new)
+        self.uses[places] += 1
+        return places
 
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text's followed by ``END_ID``, and the len + 1 offsets of the texts."""
@@ -104,16 +167,20 @@ class WordEncoder:
             texts = pc.ascii_lower(texts)
         lists = pc.ascii_split_whitespace(texts)
         coded = lists.flatten().dictionary_encode()
-        known = self.words(coded.dictionary.to_pylist()) + [np.array([END_ID], self.kind).tobytes()]
-        flat = np.frombuffer(b"".join(known), self.kind)
-        sizes = np.fromiter(map(len, known), np.int64, len(known)) // self.kind.itemsize
-        starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # to_pylist makes a scalar of each word first
+        known = self._held(np.append(self.words(words), 0))
         counts = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
         ends = np.cumsum(counts)
         order = np.insert(coded.indices.to_numpy(), ends, len(known) - 1)
-        lengths = sizes[order]
-        total = np.concatenate(([0], np.cumsum(lengths)))
-        places = np.repeat((starts[order] - total[:-1]).astype(np.int32), lengths)
-        places += np.arange(total[-1], dtype=np.int32)
-        ids = flat[places]
-        return ids, np.concatenate(([0], total[ends + np.arange(1, len(ends) + 1)]))
+        _, stops, ids = known.take(pa.array(order)).buffers()
+        stops = np.frombuffer(stops, np.int64)[: len(order) + 1] // self.kind.itemsize
+        return np.frombuffer(ids, self.kind)[: stops[-1]], np.concatenate(([0], stops[ends + np.arange(1, len(ends) + 1)]))
+
+
+def _room(held: np.ndarray, size: int) -> np.ndarray:
+    """``held``, or a copy half as large again, with room for ``size`` values."""
+    if size <= len(held):
+        return held
+    wider = np.empty(size + size // 2, held.dtype)
+    wider[: len(held)] = held
+    return wider

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from blotterlake.llm import packing, records
 from blotterlake.llm.common import by_bytes, scratch_path
 from blotterlake.llm.queries import QUERIES
-from blotterlake.llm.tokens import default_tokenizer, encoder
+from blotterlake.llm.tokens import WordEncoder, default_tokenizer, encoder
 
 from .conftest import SF, odd_rows, sample_rows
 
@@ -46,6 +46,65 @@ def test_slices_of_a_batch_are_encoded_alike():
     assert found == [plain(t) for t in texts]
 
 
+class Asked:
+    """A tokenizer that notes each call that encodes."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.calls = tokenizer, []
+
+    def encode(self, text, **more):
+        self.calls.append(text)
+        return self.tokenizer.encode(text, **more)
+
+    def encode_batch_fast(self, texts, **more):
+        self.calls += texts
+        return self.tokenizer.encode_batch_fast(texts, **more)
+
+    def __getattr__(self, name):
+        return getattr(self.tokenizer, name)
+
+
+def encoded(words, texts):
+    ids, ends = words.texts(pa.array(texts, pa.string()))
+    return [ids[a:b].tolist() for a, b in zip(ends, ends[1:])]
+
+
+def test_words_that_end_in_signs_share_calls():
+    words = WordEncoder(PATH)
+    words.tokenizer = Asked(words.tokenizer)
+    texts = [" ".join(f"schö{a}{b}ß{sign}" for a in "abcdefghijñ" for b in "klmnopqé") for sign in (".", ",", "***")]
+    assert encoded(words, texts) == [plain(t) for t in texts]
+    assert len(words.tokenizer.calls) <= 5  # the stems, and each of the signs; a call per word before
+
+
+def test_frequent_words_are_kept_when_the_memory_is_full():
+    words = WordEncoder(PATH)
+    words.held_words = 40
+    words.tokenizer = Asked(words.tokenizer)
+    for turn in range(30):
+        rare = "".join(chr(97 + int(d)) for d in str(1000 + turn))
+        texts = [f"often über, met. {rare}a {rare}b, {rare}c.", "", f"{rare}é!"]
+        assert encoded(words, texts) == [plain(t) for t in texts]
+        assert len(words.memory) <= 40 + 14  # and what one call adds
+    assert sum("often" in text.split() for text in words.tokenizer.calls) == 1  # once more each time the memory was full, before
+    for held in (0, 1, 2):  # hardly room for anything
+        words.held_words = held
+        assert encoded(words, texts) == [plain(t) for t in texts]
+        assert encoded(words, texts[::-1]) == [plain(t) for t in texts[::-1]]
+
+
+# Letters whose lower case or composed form ends in a mark, which the tokenizer joins to signs after it; letters of other scripts; marks.
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text("aZéßİ\u0958\u0915\u093c\u0307\u0345ǅΣ中ᄀ\u11a8ª²७'s!.,;:*#$&% \u00a0\u2028", max_size=30), max_size=4), st.integers(0, 30))
+def test_letters_and_signs_of_any_script(texts, held):
+    words = WORDS
+    words.held_words = held
+    assert encoded(words, texts) == [plain(t) for t in texts]
+
+
+WORDS = WordEncoder(PATH)
+
+
 def expected_index(rows):
     ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
     out, start = [], 0
