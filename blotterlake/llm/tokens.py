@@ -51,7 +51,7 @@ class WordEncoder:
             self.word_end[i] = token.endswith("</w>")
         self.held_words = CACHE_WORDS
         self.closing: dict[str, bool] = {}  # by character: whether signs after it are a piece of their own
-        self._hold({}, pa.array([np.array([END_ID], self.kind).tobytes()], pa.large_binary()), np.zeros(1, np.int64))
+        self._hold({}, pa.array([np.array([END_ID], self.kind).tobytes()], pa.large_binary()), np.zeros(1, np.int32))
 
     def _hold(self, memory: dict[str, int], coded: pa.Array, uses: np.ndarray) -> None:
         """``memory`` gives the place of a word's ids in ``coded``; place 0, of no word, has the end id."""
@@ -178,9 +178,9 @@ class WordEncoder:
 
 
 def _room(held: np.ndarray, size: int) -> np.ndarray:
-    """``held``, or a copy half as large again, with room for ``size`` values."""
+    """``held``, or a copy with room for ``size`` values and a fifth more."""
     if size <= len(held):
         return held
-    wider = np.empty(size + size // 2, held.dtype)
+    wider = np.empty(size + size // 5, held.dtype)
     wider[: len(held)] = held
     return wider
