@@ -11,6 +11,9 @@ A word has a bounded number of words one edit away (alphabet times length), so n
 Forms (the most frequent near word, if at least ``RATIO`` times as frequent) lead to ever more frequent words, so they form trees of
 logarithmic depth; roots are found by pointer jumping over stored tables.
 
+Tables that grow with the vocabulary meet in merge joins.  Spark would size keys like the stored words they are made from, a
+hundredth and less of what they fill in a broadcast, and forms at a tenth.
+
 Defined cases: a null text has no words; a null doc_id counts as the empty text in the rule that deletes letters; rows that repeat an id
 count each; an empty table gives no rows.  Extra columns are not read.
 """
@@ -166,7 +169,7 @@ def near_words(words: DataFrame) -> DataFrame:
     shift, longer = F.col("other_place") - F.col("place"), F.length("other") - F.length("word")
     in_place = (shift == 0) | (shift == longer)
     apart = F.levenshtein("word", "other", EDITS) == EDITS
-    met = pivots.join(prefixes, "key").where((F.abs(longer) <= EDITS) & in_place & apart)
+    met = pivots.join(prefixes.hint("merge"), "key").where((F.abs(longer) <= EDITS) & in_place & apart)
     names = ("word", "n", "other", "other_n")
     turned = F.struct(*[F.col(c).alias(name) for c, name in zip(("other", "other_n", "word", "n"), names)])
     return met.select(F.explode(F.array(F.struct(*names), turned)).alias("pair")).select("pair.*").distinct()
@@ -180,7 +183,8 @@ def roots(forms: DataFrame) -> DataFrame:
     state = materialize(forms.select("word", F.col("form").alias("root")), "roots")
     while True:
         further = state.select(F.col("word").alias("root"), F.col("root").alias("further"))
-        moved = materialize(state.join(further, "root", "left").select("word", F.coalesce("further", "root").alias("root"), "further"), "roots")
+        joined = state.join(further.hint("merge"), "root", "left")
+        moved = materialize(joined.select("word", F.coalesce("further", "root").alias("root"), "further"), "roots")
         if moved.where("further is not null").isEmpty():
             return state
         state = moved.select("word", "root")
@@ -191,7 +195,7 @@ def spelling_variants(docs: DataFrame, *, least_count: int = LEAST_COUNT, ratio:
     words = materialize(vocabulary(docs, least_count), "vocabulary")
     most = F.min(F.struct((-F.col("other_n")).alias("least"), "other")).alias("most")
     near = near_words(words).groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), most)
-    joined = words.join(near, "word", "left")
+    joined = words.join(near.hint("merge"), "word", "left")
     frequent = -F.col("most.least") >= ratio * F.col("n")
     found = joined.select(
         "word", F.when(frequent, F.col("most.other")).alias("form"), "n", F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"),
@@ -199,4 +203,4 @@ def spelling_variants(docs: DataFrame, *, least_count: int = LEAST_COUNT, ratio:
     )
     found = materialize(found, "near-words")
     last = roots(found.where("form is not null"))
-    return found.join(last, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+    return found.join(last.hint("merge"), "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")

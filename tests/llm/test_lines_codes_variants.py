@@ -312,6 +312,21 @@ def test_roots_of_long_chains(spark):
     assert {(r.word, r.root) for r in found} == {(w, "w37") for w, _ in chain}
 
 
+def test_tables_of_words_are_not_broadcast(spark, monkeypatch):
+    """Small as the stored words are here, Spark would broadcast what is made of them, at any size under its threshold."""
+    plans, store = [], variants.materialize
+
+    def stored(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return store(df, name)
+
+    monkeypatch.setattr(variants, "materialize", stored)
+    plans.append(variants.spelling_variants(as_documents(spark, variant_rows()))._jdf.queryExecution().executedPlan().toString())
+    joins = [found for plan in plans for found in re.findall(r"(\w+Join) \[(\w+)#", plan)]
+    assert {key for _, key in joins} == {"key", "root", "word"}
+    assert {kind for kind, _ in joins} == {"SortMergeJoin"}
+
+
 @pytest.mark.parametrize("report", [line_report, variants.spelling_variants])
 def test_extra_columns_change_nothing(spark, report):
     rows = odd_rows()
